@@ -14,9 +14,8 @@ from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Statistics tables up to this many rows are held on the driver and joined by
-# broadcast.  Larger ones stay distributed (persisted) and are joined by a
-# shuffle join that AQE may still turn into a broadcast or split for skew.
+# Statistics tables fetched to the driver (``materialize``) are capped at this
+# many rows; beyond it they stay distributed.
 BROADCAST_MAX_ROWS = 100_000
 
 
@@ -35,7 +34,14 @@ class Model:
 
 @dataclass
 class StatsTable:
-    """A fitted statistics table and whether its size was proven small."""
+    """A fitted statistics table and whether its size was proven small.
+
+    ``small=True``: the rows were counted (at most ``BROADCAST_MAX_ROWS``) and
+    the table is joined by broadcast.  ``small=False``: the table stays a lazy
+    plan; adaptive execution measures its real size when the join runs and
+    broadcasts it only under ``spark.sql.adaptive.autoBroadcastJoinThreshold``,
+    otherwise it shuffle-joins (splitting skewed keys).  No extra job is run.
+    """
 
     df: DataFrame
     small: bool
@@ -45,6 +51,11 @@ class StatsTable:
         return df.join(side, on=on, how=how)
 
 
+def lazy(stats: DataFrame) -> StatsTable:
+    """A statistics table joined under adaptive execution's runtime size check."""
+    return StatsTable(stats, False)
+
+
 def materialize(stats: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> StatsTable:
     """Compute a statistics table once and decide how it is joined.
 

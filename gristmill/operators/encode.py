@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..core import Estimator, Model, col_of, materialize, scalar_row
+from ..core import Estimator, Model, col_of, lazy, scalar_row
 from .groupstats import ordinal_index
 
 MAX_LITERAL_LEVELS = 1_000
@@ -43,7 +43,7 @@ class Factorizer(Estimator):
         first = (df.where(F.col(self.column).isNotNull())
                    .groupBy(self.column).agg(F.min(self.order).alias("__first")))
         codes = ordinal_index(first, ["__first"], (), "__code").select(self.column, "__code")
-        return CodeTableModel(self.column, self.name, materialize(codes))
+        return CodeTableModel(self.column, self.name, lazy(codes))
 
 
 class CategoryCoder(Estimator):
@@ -55,7 +55,7 @@ class CategoryCoder(Estimator):
     def fit(self, df: DataFrame) -> "CodeTableModel":
         distinct = df.select(self.column).where(F.col(self.column).isNotNull()).distinct()
         codes = ordinal_index(distinct, [self.column], (), "__code")
-        return CodeTableModel(self.column, self.name, materialize(codes))
+        return CodeTableModel(self.column, self.name, lazy(codes))
 
 
 class CodeTableModel(Model):

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..core import Estimator, Model, StatsTable, col_of, materialize
+from ..core import Estimator, Model, StatsTable, col_of, lazy, materialize
 from .quantile import group_quantiles
 
 
@@ -81,7 +81,7 @@ class GroupStat(Estimator):
         if not self.by:
             row = table.collect()
             return GroupStatModel(self.by, self.name, None, scalar=row[0][self.name] if row else None)
-        return GroupStatModel(self.by, self.name, materialize(table))
+        return GroupStatModel(self.by, self.name, lazy(table))
 
 
 class GroupStatModel(Model):
@@ -125,7 +125,7 @@ def ordinal_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     w = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) if by \
         else Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    offsets = materialize(parts.select("__pid", *by, "__off", "__m"))
+    offsets = lazy(parts.select("__pid", *by, "__off", "__m"))
     out = offsets.attach(s, ["__pid", *by], "inner")
     return out.withColumn(name, F.col("__off") + F.col("__loc") - F.col("__m")) \
               .drop("__pid", "__loc", "__off", "__m")
@@ -179,7 +179,7 @@ def running_totals(df: DataFrame, order: Sequence[str], sums: Sequence[str],
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(w), F.lit(0.0)).alias(f"__o_{c}")
                                     for c in sums])
-    offs = materialize(offs)
+    offs = lazy(offs)
     out = offs.attach(loc, ["__pid"], "inner")
     return out.withColumns({prefix + c: F.col(prefix + c) + F.col(f"__o_{c}") for c in sums}) \
               .drop("__pid", *[f"__o_{c}" for c in sums])

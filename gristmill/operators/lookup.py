@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..core import materialize
+from ..core import lazy
 from .quantile import global_quantiles
 
 
@@ -22,7 +22,7 @@ def first_match_lookup(df: DataFrame, key: str, table: DataFrame, table_key: str
     best = (table.groupBy(table_key)
                  .agg(F.min_by(F.col(value), F.col(pos)).alias(name))
                  .withColumnRenamed(table_key, key))
-    out = materialize(best).attach(df, [key], "left")
+    out = lazy(best).attach(df, [key], "left")
     if default is not None:
         out = out.withColumn(name, F.coalesce(F.col(name), F.lit(default)))
     return out
@@ -37,7 +37,7 @@ def composite_lookup(df: DataFrame, keys: Sequence[str], table: DataFrame, value
         best = table.groupBy(*keys).agg(*[F.min_by(F.col(v), F.col(pos)).alias(v) for v in values])
     else:
         best = table.select(*keys, *values).dropDuplicates(keys)
-    out = materialize(best).attach(df, keys, "left")
+    out = lazy(best).attach(df, keys, "left")
     return out.withColumns({v: F.coalesce(F.col(v), F.lit(d)) for v, d in values.items()})
 
 

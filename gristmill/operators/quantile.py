@@ -37,16 +37,16 @@ def group_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     base = df.select(*[F.col(b) for b in by], col_of(value).cast("double").alias(_V)) \
              .where(F.col(_V).isNotNull())
-    counts = materialize(base.groupBy(*by).agg(F.count(F.lit(1)).alias(_N)))
-    max_n = counts.df.agg(F.max(_N)).collect()[0][0] or 0
+    # one job: the size of the largest group decides the method
+    max_n = base.groupBy(*by).agg(F.count(F.lit(1)).alias(_N)).agg(F.max(_N)).collect()[0][0] or 0
     if max_n <= max_exact:
         agg = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
                                     F.percentile(F.col(_V), probs).alias("__qa"))
         return agg.select(*by, "n", *[F.col("__qa")[i].alias(nm) for i, nm in enumerate(names)])
-    return _banded(base, counts, by, probs, names, max_exact, accuracy)
+    return _banded(base, by, probs, names, max_exact, accuracy)
 
 
-def _banded(base, counts, by, probs, names, max_exact, accuracy):
+def _banded(base, by, probs, names, max_exact, accuracy):
     spread = 3.0
     for _attempt in range(8):
         d = spread / accuracy

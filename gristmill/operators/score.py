@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..core import materialize
+from ..core import lazy
 from .quantile import group_quantiles
 
 NULL_LEVEL = "__null__"
@@ -56,7 +56,7 @@ def quantile_bin_long(long: DataFrame, bins: int) -> DataFrame:
     feature: bin = number of inner edges below the value (right-closed)."""
     probs = [i / bins for i in range(1, bins)]
     edges = group_quantiles(long, "value", probs, by=["feature"], names=[f"e{i}" for i in range(1, bins)])
-    edges = materialize(edges.select("feature", F.array(*[F.col(f"e{i}") for i in range(1, bins)]).alias("edges")))
+    edges = lazy(edges.select("feature", F.array(*[F.col(f"e{i}") for i in range(1, bins)]).alias("edges")))
     out = edges.attach(long, ["feature"], "left")
     b = F.aggregate(F.col("edges"), F.lit(0), lambda acc, e: acc + F.when(F.col("value") > e, 1).otherwise(0))
     return out.withColumn("x", F.when(F.col("value").isNull(), F.lit(-1)).otherwise(b).cast("string")).drop("edges")

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..core import col_of, materialize, scalar_row
+from ..core import col_of, lazy, scalar_row
 from .groupstats import ordinal_index, running_totals
 
 HASH_BUCKETS = 1_000_000
@@ -35,7 +35,7 @@ def stratified_holdout(df: DataFrame, label: str, hash_col: str, key: str, fract
     """Per class, the ``ceil(fraction * n_class)`` rows with the smallest
     (hash, key) form the test part (V2).  Exact per-class sizes, no single
     partition sort."""
-    counts = materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc")))
+    counts = lazy(df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc")))
     ranked = ordinal_index(df, [hash_col, key], [label], "__rk")
     out = counts.attach(ranked, [label], "left")
     return out.withColumn(name, (F.col("__rk") < F.ceil(F.col("__nc") * F.lit(fraction))).cast("int")) \
