@@ -42,8 +42,7 @@ def cast_numeric(df: DataFrame, fill: float | None = None, exclude: Sequence[str
 
 def to_number(c) -> Column:
     """Tolerant numeric parse: unparseable text becomes NULL."""
-    return F.try_cast(F.trim(col_of(c)), "double") if hasattr(F, "try_cast") else \
-        F.expr(f"try_cast(trim({c}) as double)")
+    return F.trim(col_of(c).cast("string")).try_cast("double")
 
 
 # ---- remaps (P8-P12) ---------------------------------------------------------------
@@ -108,24 +107,29 @@ def guarded_ratio(n, d, eps: float | None = None) -> Column:
 
 # ---- row-wise (horizontal) statistics, skipping nulls (A10) --------------------------
 
-def _arr(cols: Sequence) -> Column:
-    return F.filter(F.array(*[col_of(c).cast("double") for c in cols]), lambda x: x.isNotNull())
+def _arr(cols) -> Column:
+    """Non-null values of a column family (list of columns) or of an array column."""
+    if isinstance(cols, (str, Column)):
+        arr = F.transform(col_of(cols), lambda x: x.cast("double"))
+    else:
+        arr = F.array(*[col_of(c).cast("double") for c in cols])
+    return F.filter(arr, lambda x: x.isNotNull())
 
 
-def row_sum(cols: Sequence) -> Column:
+def row_sum(cols) -> Column:
     return F.aggregate(_arr(cols), F.lit(0.0), lambda acc, x: acc + x)
 
 
-def row_count(cols: Sequence) -> Column:
+def row_count(cols) -> Column:
     return F.size(_arr(cols))
 
 
-def row_mean(cols: Sequence) -> Column:
+def row_mean(cols) -> Column:
     n = row_count(cols)
     return F.when(n > 0, row_sum(cols) / n)
 
 
-def row_std(cols: Sequence) -> Column:
+def row_std(cols) -> Column:
     """Sample standard deviation (ddof=1) across columns, nulls skipped."""
     a = _arr(cols)
     n = F.size(a)
@@ -134,15 +138,19 @@ def row_std(cols: Sequence) -> Column:
     return F.when(n > 1, F.sqrt(ss / (n - 1)))
 
 
-def row_min(cols: Sequence) -> Column:
+def row_min(cols) -> Column:
+    if isinstance(cols, (str, Column)):
+        return F.array_min(_arr(cols))
     return F.least(*[col_of(c).cast("double") for c in cols])
 
 
-def row_max(cols: Sequence) -> Column:
+def row_max(cols) -> Column:
+    if isinstance(cols, (str, Column)):
+        return F.array_max(_arr(cols))
     return F.greatest(*[col_of(c).cast("double") for c in cols])
 
 
-def row_range(cols: Sequence) -> Column:
+def row_range(cols) -> Column:
     return row_max(cols) - row_min(cols)
 
 
