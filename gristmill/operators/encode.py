@@ -18,6 +18,12 @@ from .groupstats import ordinal_index
 MAX_LITERAL_LEVELS = 1_000
 
 
+def level_column(prefix: str, level) -> str:
+    """``prefix_level`` with characters outside [0-9A-Za-z] turned into '_'."""
+    import re
+    return f"{prefix}_{re.sub(r'[^0-9A-Za-z]+', '_', str(level))}"
+
+
 def levels(df: DataFrame, column: str, where: Column | None = None,
            max_levels: int = MAX_LITERAL_LEVELS) -> list:
     """Sorted distinct non-null levels of a categorical column, size-checked."""
@@ -93,7 +99,8 @@ class OneHotTimesModel(Model):
 
     def transform(self, df: DataFrame) -> DataFrame:
         m = col_of(self.measure)
-        return df.withColumns({f"{self.prefix}_{lvl}": F.when(F.col(self.column) == F.lit(lvl), m).otherwise(F.lit(0))
+        return df.withColumns({level_column(self.prefix, lvl): F.when(F.col(self.column) == F.lit(lvl), m)
+                               .otherwise(F.lit(0))
                                for lvl in self.levels})
 
 
@@ -114,7 +121,7 @@ class OneHotModel(Model):
 
     def transform(self, df: DataFrame) -> DataFrame:
         c = F.col(self.column)
-        return df.withColumns({f"{self.prefix}_{lvl}": F.coalesce((c == F.lit(lvl)).cast("int"), F.lit(0))
+        return df.withColumns({level_column(self.prefix, lvl): F.coalesce((c == F.lit(lvl)).cast("int"), F.lit(0))
                                for lvl in self.levels})
 
 
