@@ -27,17 +27,18 @@ def _long_form(df: DataFrame, features: Sequence[str], target: str, cast: str =
 
 def mi_from_counts(joint: DataFrame, bias_correct: bool = False) -> DataFrame:
     """(feature, x, y, n) counts -> (feature, mi) with natural logarithms."""
-    nx = joint.groupBy("feature", "x").agg(F.sum("n").alias("nx"))
-    ny = joint.groupBy("feature", "y").agg(F.sum("n").alias("ny"))
-    tot = joint.groupBy("feature").agg(F.sum("n").alias("N"),
-                                       F.countDistinct("x").alias("rx"),
-                                       F.countDistinct("y").alias("ry"))
+    nx = joint.groupBy("feature", "x").agg(F.sum("n").alias("__nx"))
+    ny = joint.groupBy("feature", "y").agg(F.sum("n").alias("__ny"))
+    tot = joint.groupBy("feature").agg(F.sum("n").alias("__tot"),
+                                       F.countDistinct("x").alias("__rx"),
+                                       F.countDistinct("y").alias("__ry"))
     j = joint.join(nx, ["feature", "x"]).join(ny, ["feature", "y"]).join(tot, ["feature"])
-    term = F.col("n") / F.col("N") * F.log(F.col("n") * F.col("N") / (F.col("nx") * F.col("ny")))
-    mi = j.groupBy("feature").agg(F.sum(term).alias("mi"), F.first("N").alias("N"),
-                                  F.first("rx").alias("rx"), F.first("ry").alias("ry"))
+    n, total = F.col("n"), F.col("__tot")
+    term = n / total * F.log(n * total / (F.col("__nx") * F.col("__ny")))
+    mi = j.groupBy("feature").agg(F.sum(term).alias("mi"), F.first("__tot").alias("__tot"),
+                                  F.first("__rx").alias("__rx"), F.first("__ry").alias("__ry"))
     if bias_correct:
-        corr = (F.col("rx") - 1) * (F.col("ry") - 1) / (2.0 * F.col("N"))
+        corr = (F.col("__rx") - 1) * (F.col("__ry") - 1) / (2.0 * F.col("__tot"))
         mi = mi.withColumn("mi", F.greatest(F.col("mi") - corr, F.lit(0.0)))
     return mi.select("feature", "mi")
 

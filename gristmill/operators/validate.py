@@ -75,18 +75,22 @@ def classification_metrics(df: DataFrame, label, pred, by: Sequence[str] = ()) -
                       F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0)).alias("f1"))
 
 
-def roc_auc(df: DataFrame, label, score) -> float | None:
-    """Exact ROC-AUC with ties counted half (Mann-Whitney, V5)."""
+def roc_auc_table(df: DataFrame, label, score) -> DataFrame:
+    """Exact ROC-AUC with ties counted half (Mann-Whitney, V5) as a one-row
+    DataFrame ``auc``: per distinct score the positive/negative counts (one
+    aggregation), running negatives below each score, one final sum."""
     per = (df.select(col_of(label).alias("__y"), col_of(score).cast("double").alias("__s"))
              .where(F.col("__s").isNotNull() & F.col("__y").isNotNull())
              .groupBy("__s").agg(F.sum((F.col("__y") == 1).cast("double")).alias("pos"),
                                  F.sum((F.col("__y") != 1).cast("double")).alias("neg")))
     cum = running_totals(per, ["__s"], ["neg"], prefix="below_", inclusive=False)
-    row = scalar_row(cum.agg(F.sum(F.col("pos") * (F.col("below_neg") + 0.5 * F.col("neg"))).alias("num"),
-                             F.sum("pos").alias("P"), F.sum("neg").alias("N")))
-    if not row["P"] or not row["N"]:
-        return None
-    return row["num"] / (row["P"] * row["N"])
+    tot = cum.agg(F.sum(F.col("pos") * (F.col("below_neg") + 0.5 * F.col("neg"))).alias("num"),
+                  F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    return tot.select(F.try_divide(F.col("num"), F.col("P") * F.col("N")).alias("auc"))
+
+
+def roc_auc(df: DataFrame, label, score) -> float | None:
+    return scalar_row(roc_auc_table(df, label, score))["auc"]
 
 
 def regression_metrics(df: DataFrame, label, pred, by: Sequence[str] = ()) -> DataFrame:

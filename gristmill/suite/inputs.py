@@ -68,4 +68,5 @@ OCN_SQL = OC_SQL + """,
 OCN AS (SELECT * FROM OC JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 S_SQL = O_SQL + """,
-S AS (SELECT *, ((o_orderkey * 37) % 1000) / 1000.0 AS p1, ((o_orderkey * 91) % 1000) / 1000.0 AS p2 FROM O)"""
+S AS (SELECT *, CAST((o_orderkey * 37) % 1000 AS DOUBLE) / 1000.0 AS p1,
+            CAST((o_orderkey * 91) % 1000 AS DOUBLE) / 1000.0 AS p2 FROM O)"""
