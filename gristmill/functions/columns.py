@@ -130,12 +130,18 @@ def row_mean(cols) -> Column:
 
 
 def row_std(cols) -> Column:
-    """Sample standard deviation (ddof=1) across columns, nulls skipped."""
-    a = _arr(cols)
-    n = F.size(a)
-    mean = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x) / n
-    ss = F.aggregate(a, F.lit(0.0), lambda acc, x: acc + (x - mean) * (x - mean))
-    return F.when(n > 1, F.sqrt(ss / (n - 1)))
+    """Sample standard deviation (ddof=1) across columns, nulls skipped.
+
+    One pass of Welford's update over the row's values (count, mean, sum of
+    squared deviations), numerically stable and linear in the row width."""
+    init = F.struct(F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("m"), F.lit(0.0).alias("q"))
+
+    def step(acc, x):
+        n1 = acc["n"] + 1
+        m1 = acc["m"] + (x - acc["m"]) / n1
+        return F.struct(n1.alias("n"), m1.alias("m"), (acc["q"] + (x - acc["m"]) * (x - m1)).alias("q"))
+
+    return F.aggregate(_arr(cols), init, step, lambda acc: F.when(acc["n"] > 1, F.sqrt(acc["q"] / (acc["n"] - 1))))
 
 
 def row_min(cols) -> Column:

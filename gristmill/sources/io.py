@@ -78,3 +78,35 @@ def prediction_table(df: DataFrame, id_col: str, pred_col: str, id_name: str | N
                      pred_name: str | None = None) -> DataFrame:
     """(id, prediction) with the domain's names."""
     return df.select(F.col(id_col).alias(id_name or id_col), F.col(pred_col).alias(pred_name or pred_col))
+
+
+def ensure_parallelism(df: DataFrame) -> DataFrame:
+    """Spread a small input before heavy row-local work.
+
+    A scan of one unsplittable file (one row group) is a single task, so
+    expensive per-row work (regular expressions over long texts, array
+    functions) would run on one core.  When the optimizer's size estimate of
+    the input is below one ``spark.sql.files.maxPartitionBytes`` split per core,
+    the rows are round-robin repartitioned to the cluster's parallelism.  A
+    large input is left untouched, so at scale this adds no shuffle.
+    """
+    spark = df.sparkSession
+    target = spark.sparkContext.defaultParallelism
+    try:
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001 - no estimate: leave the plan alone
+        return df
+    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
+    if target > 1 and size < target * split:
+        return df.repartition(target)
+    return df
+
+
+def _bytes(text: str) -> int:
+    text = str(text).strip().lower()
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
+    for suffix in ("kb", "mb", "gb", "tb", "k", "m", "g", "t", "b"):
+        if text.endswith(suffix):
+            num = text[: -len(suffix)]
+            return int(float(num) * units.get(suffix[0], 1))
+    return int(text)
