@@ -48,7 +48,7 @@ def group_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
 
 def _banded(base, by, probs, names, max_exact, accuracy):
     spread = 3.0
-    for _attempt in range(8):
+    for _attempt in range(16):
         d = spread / accuracy
         brackets = sorted({min(max(p + s * d, 0.0), 1.0) for p in probs for s in (-1, 1)})
         pos = {b: i for i, b in enumerate(brackets)}
@@ -57,11 +57,13 @@ def _banded(base, by, probs, names, max_exact, accuracy):
             F.percentile_approx(F.col(_V), brackets, accuracy).alias("__br"))
         cols = [F.col(b) for b in by] + [F.col(_N)]
         for i, p in enumerate(probs):
-            k_lo = F.floor(F.lit(p) * (F.col(_N) - 1))
+            exact_rank = F.lit(p) * (F.col(_N) - 1)
+            k_lo = F.floor(exact_rank)
+            # the upper neighbour is only needed when the rank is fractional
+            k_hi = F.when(exact_rank > k_lo, F.least(k_lo + 1, F.col(_N) - 1)).otherwise(k_lo)
             cols += [F.col("__br")[pos[min(max(p - d, 0.0), 1.0)]].alias(f"__L{i}"),
                      F.col("__br")[pos[min(max(p + d, 0.0), 1.0)]].alias(f"__H{i}"),
-                     k_lo.alias(f"__klo{i}"),
-                     F.least(k_lo + 1, F.col(_N) - 1).alias(f"__khi{i}")]
+                     k_lo.alias(f"__klo{i}"), k_hi.alias(f"__khi{i}")]
         bounds = materialize(sketch.select(*cols))
         joined = bounds.attach(base, by, "inner") if by else base.crossJoin(F.broadcast(bounds.df))
         band_aggs = []
