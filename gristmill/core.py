@@ -93,3 +93,18 @@ def safe_div(n, d) -> Column:
 
 def r6(c, places: int = 6) -> Column:
     return F.round(col_of(c).cast("double"), places)
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Materialise ``df`` into the session's checkpoint folder and continue from
+    the written data.
+
+    Cascaded fits (fill, then fit the next statistic on the filled data) would
+    otherwise re-run the whole growing plan for every statistic.  A reliable
+    checkpoint in the shared folder survives executor loss; ``localCheckpoint``
+    would not.
+    """
+    from .session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -46,3 +46,28 @@ def centroid_distances(columns: Sequence, centres: Sequence[Sequence[float]],
             sq = d * d if sq is None else sq + d * d
         out[f"{prefix}{i}"] = F.sqrt(sq)
     return out
+
+
+def cluster_with_distances(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 5, seed: int = 0,
+                           label: str = "Cluster", prefix: str = "Centroid", max_iter: int = 20) -> DataFrame:
+    """F3 + F4 on one DataFrame: z-score (sample std) the columns, fit k-means
+    with restarts, add the cluster label and the distance of every row to each
+    centre (computed in the z-scored space, as plain Column arithmetic)."""
+    from pyspark.ml.clustering import KMeans
+    from pyspark.ml.feature import VectorAssembler
+
+    scaler = Standardizer(columns, ddof=1, suffix="__z").fit(df)
+    zcols = [c + "__z" for c in columns]
+    data = scaler.transform(df)
+    vec = VectorAssembler(inputCols=zcols, outputCol="__kv", handleInvalid="keep").transform(data)
+    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
+    best = None
+    for r in range(restarts):
+        model = KMeans(k=k, seed=seed + r, featuresCol="__kv", predictionCol=label, maxIter=max_iter).fit(vec)
+        cost = model.summary.trainingCost
+        if best is None or cost < best[0]:
+            best = (cost, model)
+    model = best[1]
+    centres = [list(map(float, c)) for c in model.clusterCenters()]
+    out = model.transform(vec).withColumns(centroid_distances(zcols, centres, prefix))
+    return out.drop("__kv", *zcols)

@@ -38,7 +38,7 @@ class GlobalImputer(Estimator):
         if self.strategy == "mean":
             vals = scalar_row(src.agg(*[F.avg(c).alias(c) for c in cols]))
         elif self.strategy == "median":
-            vals = {c: _global_median(src, c) for c in cols}
+            vals = _global_medians(src, cols)
         elif self.strategy == "mode":
             vals = {c: global_stat(src, c, "mode") for c in cols}
         else:
@@ -46,9 +46,15 @@ class GlobalImputer(Estimator):
         return ConstantFillModel({c: v for c, v in vals.items() if v is not None})
 
 
-def _global_median(df, c):
-    row = group_quantiles(df, c, [0.5]).collect()
-    return row[0]["q0"] if row else None
+def _global_medians(df, cols):
+    """Exact medians of many columns in one pass: unpivot to (column, value) and
+    take a per-column quantile; one result row per column reaches the driver."""
+    if not cols:
+        return {}
+    pairs = ", ".join(f"'{c}', CAST(`{c}` AS DOUBLE)" for c in cols)
+    long = df.selectExpr(f"stack({len(cols)}, {pairs}) AS (__col, __val)")
+    rows = group_quantiles(long, "__val", [0.5], by=["__col"]).collect()
+    return {r["__col"]: r["q0"] for r in rows}
 
 
 class ConstantFillModel(Model):

@@ -21,22 +21,28 @@ NULL_LEVEL = "__null__"
 
 def _long_form(df: DataFrame, features: Sequence[str], target: str, cast: str = "string") -> DataFrame:
     pairs = ", ".join(f"'{f}', `{f}`" for f in features)
-    casted = df.select(*[F.col(f).cast(cast).alias(f) for f in features], F.col(target).alias("__y"))
+    casted = df.select(*[F.col(f"`{f}`").cast(cast).alias(f) for f in features], F.col(f"`{target}`").alias("__y"))
     return casted.selectExpr(f"stack({len(features)}, {pairs}) as (feature, value)", "__y")
 
 
 def mi_from_counts(joint: DataFrame, bias_correct: bool = False) -> DataFrame:
-    """(feature, x, y, n) counts -> (feature, mi) with natural logarithms."""
-    nx = joint.groupBy("feature", "x").agg(F.sum("n").alias("__nx"))
-    ny = joint.groupBy("feature", "y").agg(F.sum("n").alias("__ny"))
-    tot = joint.groupBy("feature").agg(F.sum("n").alias("__tot"),
-                                       F.countDistinct("x").alias("__rx"),
-                                       F.countDistinct("y").alias("__ry"))
-    j = joint.join(nx, ["feature", "x"]).join(ny, ["feature", "y"]).join(tot, ["feature"])
+    """(feature, x, y, n) counts -> (feature, mi) with natural logarithms.
+
+    The contingency table has one row per (feature, level, class), so the
+    marginals are window sums over it (each window holds one feature's or one
+    level's rows) -- one pass instead of re-joining three aggregates."""
+    from pyspark.sql import Window
+
+    by_x = Window.partitionBy("feature", "x")
+    by_y = Window.partitionBy("feature", "y")
+    by_f = Window.partitionBy("feature")
+    j = joint.select("feature", "x", "y", "n",
+                     F.sum("n").over(by_x).alias("__nx"), F.sum("n").over(by_y).alias("__ny"),
+                     F.sum("n").over(by_f).alias("__tot"))
     n, total = F.col("n"), F.col("__tot")
     term = n / total * F.log(n * total / (F.col("__nx") * F.col("__ny")))
     mi = j.groupBy("feature").agg(F.sum(term).alias("mi"), F.first("__tot").alias("__tot"),
-                                  F.first("__rx").alias("__rx"), F.first("__ry").alias("__ry"))
+                                  F.countDistinct("x").alias("__rx"), F.countDistinct("y").alias("__ry"))
     if bias_correct:
         corr = (F.col("__rx") - 1) * (F.col("__ry") - 1) / (2.0 * F.col("__tot"))
         mi = mi.withColumn("mi", F.greatest(F.col("mi") - corr, F.lit(0.0)))
@@ -91,7 +97,7 @@ def select_by_score(df: DataFrame, scores: DataFrame, threshold: float, keep: Se
         raise ValueError("too many selected features")
     chosen = {r["feature"] for r in rows}
     cols = [c for c in df.columns if c in chosen or c in keep]
-    return df.select(*cols), cols
+    return df.select(*[F.col(f"`{c}`") for c in cols]), cols
 
 
 def ranked_scores(scores: DataFrame) -> DataFrame:
