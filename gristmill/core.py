@@ -59,16 +59,17 @@ def lazy(stats: DataFrame) -> StatsTable:
 def materialize(stats: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> StatsTable:
     """Compute a statistics table once and decide how it is joined.
 
-    The table is persisted, then at most ``max_rows + 1`` rows are fetched.  If
-    it fits, it becomes a driver-held local relation (lineage cut, broadcast
-    join); otherwise the persisted distributed table is returned and joined
-    with a shuffle.  Nothing unbounded reaches the driver.
+    The table is persisted and at most ``max_rows + 1`` rows are fetched.  If it
+    fits, it becomes a driver-held local relation: the lineage is cut and the
+    join is a broadcast, so the big side is never shuffled.  Otherwise the
+    persisted distributed table is kept and joined by a shuffle join (AQE
+    splits skewed keys).  Nothing unbounded reaches the driver.
     """
     spark = stats.sparkSession
     stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     rows = stats.limit(max_rows + 1).collect()
     if len(rows) <= max_rows:
-        local = spark.createDataFrame(rows, stats.schema)
+        local = spark.createDataFrame(rows, stats.schema) if rows else spark.createDataFrame([], stats.schema)
         stats.unpersist()
         return StatsTable(local, True)
     return StatsTable(stats, False)

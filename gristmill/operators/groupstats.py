@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..core import Estimator, Model, StatsTable, col_of, lazy, materialize
+from ..core import Estimator, Model, StatsTable, col_of, materialize
 from .quantile import group_quantiles
 
 
@@ -81,7 +81,7 @@ class GroupStat(Estimator):
         if not self.by:
             row = table.collect()
             return GroupStatModel(self.by, self.name, None, scalar=row[0][self.name] if row else None)
-        return GroupStatModel(self.by, self.name, lazy(table))
+        return GroupStatModel(self.by, self.name, materialize(table))
 
 
 class GroupStatModel(Model):
@@ -94,6 +94,33 @@ class GroupStatModel(Model):
         return self.stats.attach(df, self.by, "left")
 
 
+ALGEBRAIC = ("mean", "sum", "min", "max", "count", "rate")
+
+
+def attach_group_stats(df: DataFrame, keys: Sequence[str], value, stat: str, names: Sequence[str],
+                       where: Column | None = None, fit_on: DataFrame | None = None) -> DataFrame:
+    """One statistic of ``value`` by each of several single keys (A3, A4): one
+    scan computes all of them as GROUPING SETS; the small result is split per
+    key and each part is attached by a size-checked broadcast join."""
+    keys, names = list(keys), list(names)
+    if stat not in ALGEBRAIC:
+        for k, n in zip(keys, names):
+            df = attach_group_stat(df, [k], value, stat, n, where, fit_on)
+        return df
+    src = df if fit_on is None else fit_on
+    src = src if where is None else src.where(where)
+    table = (src.groupingSets([[k] for k in keys], *keys)
+                .agg(_agg_expr(stat, col_of(value)).alias("__v"), F.grouping_id().alias("__gid")))
+    stats = materialize(table)
+    out = df
+    for i, (k, n) in enumerate(zip(keys, names)):
+        # grouping_id has a 1 bit for every key not grouped in the set
+        gid = sum(1 << (len(keys) - 1 - j) for j in range(len(keys)) if j != i)
+        part = stats.df.where(F.col("__gid") == gid).select(k, F.col("__v").alias(n))
+        out = StatsTable(part, stats.small).attach(out, [k], "left")
+    return out
+
+
 def attach_group_stat(df: DataFrame, by, value, stat: str, name: str,
                       where: Column | None = None, fit_on: DataFrame | None = None) -> DataFrame:
     """Fit on ``fit_on`` (default ``df``) and attach."""
@@ -125,7 +152,7 @@ def ordinal_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     w = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) if by \
         else Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    offsets = lazy(parts.select("__pid", *by, "__off", "__m"))
+    offsets = materialize(parts.select("__pid", *by, "__off", "__m"))
     out = offsets.attach(s, ["__pid", *by], "inner")
     return out.withColumn(name, F.col("__off") + F.col("__loc") - F.col("__m")) \
               .drop("__pid", "__loc", "__off", "__m")
@@ -179,7 +206,7 @@ def running_totals(df: DataFrame, order: Sequence[str], sums: Sequence[str],
     w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(w), F.lit(0.0)).alias(f"__o_{c}")
                                     for c in sums])
-    offs = lazy(offs)
+    offs = materialize(offs)
     out = offs.attach(loc, ["__pid"], "inner")
     return out.withColumns({prefix + c: F.col(prefix + c) + F.col(f"__o_{c}") for c in sums}) \
               .drop("__pid", *[f"__o_{c}" for c in sums])

@@ -21,33 +21,34 @@ from .groupstats import running_totals
 
 def blend_sweep(df: DataFrame, label, pred_a, pred_b, metric: str = "accuracy", step: float = 0.01,
                 cutoff: float = 0.5) -> DataFrame:
-    """Evaluate ``w*a + (1-w)*b`` for w = 0, step, ..., 1 in one aggregation.
-
-    Returns (w, metric, best); ``best`` marks the first weight that strictly
-    improves on all smaller weights' best (ties -> lowest weight).  Metrics:
-    accuracy (``> cutoff``, maximised), rmsle and mae (minimised).
+    """Evaluate ``w*a + (1-w)*b`` for w = 0, step, ..., 1 in one pass.
+
+    Every row is expanded over the weight grid by a generator and the metric is
+    aggregated per weight; the aggregation combines map-side, so only one
+    partial row per weight and task is shuffled.  Returns (w, metric, best, i);
+    ``best`` marks the first weight reaching the best value (ties -> lowest
+    weight, as a strict ``>`` sweep keeps).  Metrics: accuracy (``> cutoff``,
+    maximised), rmsle and mae (minimised).
     """
     n = int(round(1 / step)) + 1
     y, a, b = col_of(label).cast("double"), col_of(pred_a).cast("double"), col_of(pred_b).cast("double")
-    aggs = []
-    for i in range(n):
-        w = i * step
-        p = F.lit(w) * a + F.lit(1.0 - w) * b
-        if metric == "accuracy":
-            aggs.append(F.avg(((p > cutoff).cast("double") == y).cast("double")))
-        elif metric == "rmsle":
-            d = F.log1p(p) - F.log1p(y)
-            aggs.append(F.sqrt(F.avg(d * d)))
-        elif metric == "mae":
-            aggs.append(F.avg(F.abs(p - y)))
-        else:
-            raise ValueError(metric)
-    row = df.agg(F.array(*aggs).alias("m"))
-    larger = metric == "accuracy"
-    best_val = F.array_max("m") if larger else F.array_min("m")
-    out = row.select(F.posexplode("m").alias("i", "metric"), best_val.alias("bv"))
-    out = out.withColumn("w", F.col("i") * F.lit(step))
-    first_best = F.min(F.when(F.col("metric") == F.col("bv"), F.col("i"))).over(Window.partitionBy())
+    grid = df.select(y.alias("__y"), a.alias("__a"), b.alias("__b"),
+                     F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
+    w = F.col("i") * F.lit(step)
+    p = w * F.col("__a") + (F.lit(1.0) - w) * F.col("__b")
+    if metric == "accuracy":
+        agg = F.avg(((p > cutoff).cast("double") == F.col("__y")).cast("double"))
+    elif metric == "rmsle":
+        d = F.log1p(p) - F.log1p(F.col("__y"))
+        agg = F.sqrt(F.avg(d * d))
+    elif metric == "mae":
+        agg = F.avg(F.abs(p - F.col("__y")))
+    else:
+        raise ValueError(metric)
+    out = grid.groupBy("i").agg(agg.alias("metric")).withColumn("w", F.col("i") * F.lit(step))
+    # the candidate table has n rows: a window without keys over it is bounded
+    best_val = (F.max if metric == "accuracy" else F.min)("metric").over(Window.partitionBy())
+    first_best = F.min(F.when(F.col("metric") == best_val, F.col("i"))).over(Window.partitionBy())
     return out.select("w", "metric", (F.col("i") == first_best).cast("int").alias("best"), "i")
 
 

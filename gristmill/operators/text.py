@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..core import Estimator, Model, col_of, lazy
+from ..core import Estimator, Model, col_of, materialize
 
 # Python's (?u)\b\w\w+\b: maximal runs of two or more word characters.
 TOKEN_PATTERN = r"[\p{L}\p{N}_]{2,}"
@@ -49,7 +49,7 @@ class TfidfLong(Estimator):
         stats = tc.groupBy("term").agg(F.sum("tf").alias("freq"), F.count(F.lit(1)).alias("df"))
         vocab = stats.orderBy(F.desc("freq"), F.asc("term")).limit(self.max_features)
         vocab = vocab.withColumn("idf", F.log((F.lit(1.0) + n_docs) / (F.lit(1.0) + F.col("df"))) + 1.0)
-        return TfidfLongModel(self.doc, self.text, lazy(vocab.select("term", "idf")))
+        return TfidfLongModel(self.doc, self.text, materialize(vocab.select("term", "idf"), max_rows=max(self.max_features, 1)))
 
 
 class TfidfLongModel(Model):

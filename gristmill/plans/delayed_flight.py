@@ -11,7 +11,7 @@ from ..functions import binning as B
 from ..functions import columns as C
 from ..functions import dates as D
 from ..functions import strings as S
-from ..operators.groupstats import attach_group_stat
+from ..operators.groupstats import attach_group_stats
 from .common import drop_uninformative
 
 TARGET = "dep_delayed_15min"
@@ -52,8 +52,8 @@ def preprocess(df: DataFrame, select: bool = True, threshold: float = 1e-5, refe
                          "DepHourCarrier": S.concat_keys("DepHour", "UniqueCarrier"),
                          "DestDepHourCarrier": S.concat_keys("Dest", "DepHour", "UniqueCarrier")}).drop("DepHour")
     known = F.col(TARGET) != -1
-    for key, name in [("Origin", "OriginDelayRate"), ("Dest", "DestDelayRate"), ("UniqueCarrier", "CarrierDelayRate")]:
-        df = attach_group_stat(df, [key], TARGET, "rate", name, where=known)
+    df = attach_group_stats(df, ["Origin", "Dest", "UniqueCarrier"], TARGET, "rate",
+                            ["OriginDelayRate", "DestDelayRate", "CarrierDelayRate"], where=known)
 
     dist = F.col("Distance")
     df = df.withColumns({"DistanceS": dist * dist,

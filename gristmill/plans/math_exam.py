@@ -10,7 +10,7 @@ from ..core import cut_lineage
 from ..functions import binning as B
 from ..functions import columns as C
 from ..operators.cluster import cluster_with_distances
-from ..operators.groupstats import attach_group_stat
+from ..operators.groupstats import attach_group_stat, attach_group_stats
 from .common import drop_uninformative
 
 CLUSTER_FEATURES = ["lesson_subject_binary", "lesson_experience", "square_price", "lesson_qualification",
@@ -32,9 +32,8 @@ def preprocess(df: DataFrame, k: int = 10, restarts: int = 5, select: bool = Tru
     df = df.withColumns({"log_month_of_experience": C.ln("month_of_experience"),
                          "age_bin": B.ladder("age", [20, 30, 40, 50, 60], [1, 2, 3, 4, 5], 6)})
     df = df.withColumn("square_price", F.col("lesson_price") * F.col("lesson_price"))
-    for key, name in [("age_bin", "mean_price_by_age_bin"), ("years_of_experience", "mean_price_by_experience"),
-                      ("qualification", "mean_price_by_qualification")]:
-        df = attach_group_stat(df, [key], "lesson_price", "mean", name)
+    df = attach_group_stats(df, ["age_bin", "years_of_experience", "qualification"], "lesson_price", "mean",
+                            ["mean_price_by_age_bin", "mean_price_by_experience", "mean_price_by_qualification"])
     df = df.withColumns({"lesson_age": F.col("lesson_price") / F.col("mean_price_by_age_bin"),
                          "lesson_experience": F.col("lesson_price") / F.col("mean_price_by_experience"),
                          "lesson_qualification": F.col("lesson_price") / F.col("mean_price_by_qualification"),

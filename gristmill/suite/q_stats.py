@@ -9,7 +9,7 @@ from ..functions import columns as C
 from ..operators import encode as E
 from ..operators import impute as I
 from ..operators import lookup as J
-from ..operators.groupstats import GroupStat, attach_group_stat, global_stat
+from ..operators.groupstats import GroupStat, attach_group_stat, attach_group_stats, global_stat
 from .inputs import O, O_SQL, OC, OC_SQL, OCN, OCN_SQL, T as tbl
 from .registry import register
 
@@ -46,9 +46,8 @@ def _ocn_year(spark, d):
 
 
 def _encode(df, stat, value, prefix):
-    for name, key in _TE_KEYS:
-        df = attach_group_stat(df, [key], value, stat, prefix + name[3:], where=F.col("is_train"))
-    return df
+    return attach_group_stats(df, [k for _, k in _TE_KEYS], value, stat, [prefix + n[3:] for n, _ in _TE_KEYS],
+                              where=F.col("is_train"))
 
 
 _TE_SQL = f"""WITH {OCN_SQL},
@@ -85,8 +84,7 @@ SELECT o_orderkey, round(sqrt(a.v * b.v), 6) AS te_geo
 FROM X LEFT JOIN a USING (n_name) LEFT JOIN b USING (c_mktsegment)""")
 def target_encode_geo(spark, d):
     df = _ocn_year(spark, d).withColumn("lp", C.log1p("price_n"))
-    df = attach_group_stat(df, ["n_name"], "lp", "mean", "a", where=F.col("is_train"))
-    df = attach_group_stat(df, ["c_mktsegment"], "lp", "mean", "b", where=F.col("is_train"))
+    df = attach_group_stats(df, ["n_name", "c_mktsegment"], "lp", "mean", ["a", "b"], where=F.col("is_train"))
     return df.select("o_orderkey", r(F.sqrt(F.col("a") * F.col("b"))).alias("te_geo"))
 
 
