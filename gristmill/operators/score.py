@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..core import materialize
+from ..core import StatsTable, materialize
 from .quantile import group_quantiles
 
 NULL_LEVEL = "__null__"
@@ -28,17 +28,20 @@ def _long_form(df: DataFrame, features: Sequence[str], target: str, cast: str =
 def mi_from_counts(joint: DataFrame, bias_correct: bool = False) -> DataFrame:
     """(feature, x, y, n) counts -> (feature, mi) with natural logarithms.
 
-    The contingency table has one row per (feature, level, class), so the
-    marginals are window sums over it (each window holds one feature's or one
-    level's rows) -- one pass instead of re-joining three aggregates."""
+    The contingency table is persisted once.  Level totals are a window over
+    (feature, level) -- at most one row per class in each window -- while the
+    class totals and feature totals (one row per feature and class) are small
+    aggregates joined by broadcast.  A high-cardinality feature is thus never
+    gathered into one task."""
+    from pyspark import StorageLevel
     from pyspark.sql import Window
 
-    by_x = Window.partitionBy("feature", "x")
-    by_y = Window.partitionBy("feature", "y")
-    by_f = Window.partitionBy("feature")
-    j = joint.select("feature", "x", "y", "n",
-                     F.sum("n").over(by_x).alias("__nx"), F.sum("n").over(by_y).alias("__ny"),
-                     F.sum("n").over(by_f).alias("__tot"))
+    joint = joint.persist(StorageLevel.MEMORY_AND_DISK)
+    ny = materialize(joint.groupBy("feature", "y").agg(F.sum("n").alias("__ny")))
+    # feature totals from the (already computed) class totals: one row per feature
+    tot = StatsTable(ny.df.groupBy("feature").agg(F.sum("__ny").alias("__tot")), ny.small)
+    j = joint.withColumn("__nx", F.sum("n").over(Window.partitionBy("feature", "x")))
+    j = tot.attach(ny.attach(j, ["feature", "y"], "inner"), ["feature"], "inner")
     n, total = F.col("n"), F.col("__tot")
     term = n / total * F.log(n * total / (F.col("__nx") * F.col("__ny")))
     mi = j.groupBy("feature").agg(F.sum(term).alias("mi"), F.first("__tot").alias("__tot"),
