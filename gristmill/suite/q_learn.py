@@ -431,3 +431,43 @@ def impute_model_rf(spark, d):
         "p_size", F.when(F.col("p_partkey") % 9 == 0, F.lit(None).cast("int")).otherwise(F.col("p_size")))
     model = ModelImputer("p_size", ["p_brand", "p_type"], ["p_retailprice"], num_trees=10).fit(p)
     return model.transform(p).select("p_partkey", "p_size")
+
+
+# ---- S5, S6: sinks ---------------------------------------------------------------------
+
+def _shared_path(spark, stem):
+    import uuid
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{stem}-{uuid.uuid4().hex}"
+
+
+@register("write_predictions", sql=f"""
+WITH {S_SQL}
+SELECT o_orderkey AS id, round(0.7 * p1 + (CAST(1.0 AS DOUBLE) - CAST(0.7 AS DOUBLE)) * p2, 6) AS prediction
+FROM S WHERE NOT is_train""")
+def write_predictions(spark, d):
+    """(id, prediction) of the test part written as header CSV and read back."""
+    from pyspark.sql import types as T
+
+    from ..sources import io
+    s = S(spark, d).where(~F.col("is_train"))
+    pred = s.select("o_orderkey", r(M.apply_blend("p1", "p2", 0.7)).alias("pred"))
+    path = _shared_path(spark, "predictions")
+    io.write_csv(io.prediction_table(pred, "o_orderkey", "pred", "id", "prediction"), path)
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("prediction", T.DoubleType())])
+    return io.read_csv(spark, path, schema)
+
+
+@register("write_feature_scores", sql=_MI_DISCRETE_SQL.replace(
+    "SELECT feature, round(sum(n / tot * ln(n * tot / (nx * ny))), 6) AS mi",
+    "SELECT feature AS \"Feature\", round(sum(n / tot * ln(n * tot / (nx * ny))), 6) AS \"MI Score\""))
+def write_feature_scores(spark, d):
+    """The (Feature, MI Score) table, sorted by score, written as CSV and read back."""
+    from pyspark.sql import types as T
+
+    from ..sources import io
+    mi = SC.ranked_scores(SC.mi_discrete(OC(spark, d), MI_FEATURES, "y"))
+    table = mi.select(F.col("feature").alias("Feature"), r("mi").alias("MI Score"))
+    path = _shared_path(spark, "feature-scores")
+    io.write_csv(table.coalesce(1), path)
+    schema = T.StructType([T.StructField("Feature", T.StringType()), T.StructField("MI Score", T.DoubleType())])
+    return io.read_csv(spark, path, schema)
