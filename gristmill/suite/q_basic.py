@@ -218,39 +218,41 @@ def count_positive(spark, d):
 
 # ---- P16: ratio / interaction features ----------------------------------------------
 
-LSUM = """G AS (SELECT l_orderkey, sum(l_extendedprice) AS price, sum(l_quantity) AS qty,
-  sum(l_discount) AS disc, sum(l_tax) AS tax FROM lineitem GROUP BY l_orderkey)"""
+# Sums of 2-decimal values are rounded back to 2 places, so both engines continue
+# from the same doubles whatever their summation order.
+LSUM = """G AS (SELECT l_orderkey, round(sum(l_extendedprice), 2) AS price, round(sum(l_quantity), 2) AS qty,
+  round(sum(l_discount), 2) AS disc, round(sum(l_tax), 2) AS tax FROM lineitem GROUP BY l_orderkey)"""
 
 
 def _line_totals(spark, d):
     return tbl(spark, d, "lineitem").groupBy("l_orderkey").agg(
-        F.sum("l_extendedprice").alias("price"), F.sum("l_quantity").alias("qty"),
-        F.sum("l_discount").alias("disc"), F.sum("l_tax").alias("tax"))
+        *[F.round(F.sum(c), 2).alias(n) for c, n in [("l_extendedprice", "price"), ("l_quantity", "qty"),
+                                                      ("l_discount", "disc"), ("l_tax", "tax")]])
 
 
 @register("ratio_features", sql=f"""
 WITH {LSUM}
-SELECT l_orderkey, round(price / qty, 4) AS unit_price,
-  round(tax / (disc + 1e-6), 4) AS tax_per_disc,
-  round(CASE WHEN disc = 0 THEN NULL ELSE tax / disc END, 4) AS tax_disc_ratio
+SELECT l_orderkey, price / qty AS unit_price,
+  tax / (disc + CAST(1e-6 AS DOUBLE)) AS tax_per_disc,
+  CASE WHEN disc = 0 THEN NULL ELSE tax / disc END AS tax_disc_ratio
 FROM G""")
 def ratio_features(spark, d):
     g = _line_totals(spark, d)
-    return g.select("l_orderkey", r(C.guarded_ratio("price", "qty"), 4).alias("unit_price"),
-                    r(C.guarded_ratio("tax", "disc", eps=1e-6), 4).alias("tax_per_disc"),
-                    r(C.guarded_ratio("tax", "disc"), 4).alias("tax_disc_ratio"))
+    return g.select("l_orderkey", C.guarded_ratio("price", "qty").alias("unit_price"),
+                    C.guarded_ratio("tax", "disc", eps=1e-6).alias("tax_per_disc"),
+                    C.guarded_ratio("tax", "disc").alias("tax_disc_ratio"))
 
 
 @register("interaction_features", sql=f"""
 WITH {LSUM}
-SELECT l_orderkey, round(disc * price, 4) AS disc_price, round(price * qty * (1 + tax), 2) AS weighted,
-  round(price - 100 * qty, 4) AS price_gap
+SELECT l_orderkey, disc * price AS disc_price, price * qty * (1 + tax) AS weighted,
+  price - 100 * qty AS price_gap
 FROM G""")
 def interaction_features(spark, d):
     g = _line_totals(spark, d)
-    return g.select("l_orderkey", r(F.col("disc") * F.col("price"), 4).alias("disc_price"),
-                    r(F.col("price") * F.col("qty") * (1 + F.col("tax")), 2).alias("weighted"),
-                    r(F.col("price") - 100 * F.col("qty"), 4).alias("price_gap"))
+    return g.select("l_orderkey", (F.col("disc") * F.col("price")).alias("disc_price"),
+                    (F.col("price") * F.col("qty") * (1 + F.col("tax"))).alias("weighted"),
+                    (F.col("price") - 100 * F.col("qty")).alias("price_gap"))
 
 
 # ---- P17: bit-packed flags -----------------------------------------------------------
@@ -400,13 +402,13 @@ def bin_quantile(spark, d):
 SELECT c_custkey, round(c_acctbal * CASE WHEN c_acctbal / 10000.0 >= 0.5 AND c_acctbal / 10000.0 < 0.6 THEN 1.2
   WHEN c_acctbal / 10000.0 >= 0.6 AND c_acctbal / 10000.0 < 0.7 THEN 1.375
   WHEN c_acctbal / 10000.0 >= 0.7 AND c_acctbal / 10000.0 < 0.8 THEN 1.55
-  WHEN c_acctbal / 10000.0 >= 0.8 AND c_acctbal / 10000.0 < 0.9 THEN 1.725 ELSE 1.9 END, 4) AS scaled
+  WHEN c_acctbal / 10000.0 >= 0.8 AND c_acctbal / 10000.0 < 0.9 THEN 1.725 ELSE 1.9 END, 6) AS scaled
 FROM customer""")
 def bin_left_multiplier(spark, d):
     c = tbl(spark, d, "customer")
     mult = B.band(F.col("c_acctbal") / 10000.0, [(0.5, 0.6, 1.2), (0.6, 0.7, 1.375), (0.7, 0.8, 1.55),
                                                  (0.8, 0.9, 1.725)], 1.9, closed="left")
-    return c.select("c_custkey", r(F.col("c_acctbal") * mult, 4).alias("scaled"))
+    return c.select("c_custkey", r(F.col("c_acctbal") * mult, 6).alias("scaled"))
 
 
 @register("bin_ordinal", sql="""
