@@ -322,7 +322,9 @@ def fit_gbt_regressor(spark, d):
 def fit_gbt_classifier(spark, d):
     from pyspark.ml.functions import vector_to_array
     oc, stages = _oc_features(spark, d)
-    est = M.gbt_classifier("label_cls", max_iter=5, max_depth=3)
+    # early stopping on a 10 % hash hold-out of the train rows (M2)
+    oc = oc.withColumn("is_val", V.holdout_flag(_hash(), 0.1, 10007).cast("boolean"))
+    est = M.gbt_classifier("label_cls", max_iter=5, max_depth=3, validation_col="is_val")
     _, pred = M.fit_apply(stages + [est], oc.where(F.col("is_train")), oc.where(~F.col("is_train")))
     return pred.select("o_orderkey", vector_to_array("probability")[1].alias("p_default"),
                        F.col("prediction").cast("int").alias("prediction"))
@@ -471,3 +473,24 @@ def write_feature_scores(spark, d):
     io.write_csv(table.coalesce(1), path)
     schema = T.StructType([T.StructField("Feature", T.StringType()), T.StructField("MI Score", T.DoubleType())])
     return io.read_csv(spark, path, schema)
+
+
+_UPTO = "(CASE WHEN {x} <= g THEN 0 ELSE ({x} - 1 - g) // 5 + 1 END)"
+
+
+@register("fold_assign_stratified", sql=f"""
+WITH c AS (SELECT o_orderstatus, count(*) AS n FROM orders GROUP BY 1),
+s AS (SELECT o_orderstatus, n,
+        coalesce(sum(n) OVER (ORDER BY o_orderstatus ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS st
+      FROM c),
+b AS (SELECT o_orderstatus, list_transform(range(1, 6), lambda f: list_sum(list_transform(range(0, f),
+        lambda g: {_UPTO.format(x='(st + n)')} - {_UPTO.format(x='st')}))) AS upper FROM s),
+r AS (SELECT o_orderkey, o_orderstatus, row_number() OVER (PARTITION BY o_orderstatus ORDER BY o_orderkey) - 1 AS rk
+      FROM orders)
+SELECT o_orderkey, CAST(len(list_filter(upper, lambda x: rk >= x)) AS INTEGER) AS fold_stratified
+FROM r JOIN b USING (o_orderstatus)""")
+def fold_assign_stratified(spark, d):
+    """Unshuffled stratified 5-fold by order status, in order-key order (V3)."""
+    o = tbl(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    return V.stratified_folds(o, "o_orderkey", "o_orderstatus", 5, "fold_stratified") \
+        .select("o_orderkey", "fold_stratified")

@@ -323,3 +323,19 @@ def test_stratified_holdout_sizes(spark):
     out = V.stratified_holdout(df, "c", "h", "k", 0.1).collect()
     assert sum(r.is_test for r in out if r.c == "A") == 6  # ceil(0.1 * 60)
     assert sum(r.is_test for r in out if r.c == "B") == 3  # ceil(0.1 * 30)
+
+
+def test_stratified_folds_follow_round_robin_allocation(spark):
+    rows = [(i, "A" if i % 3 else "B") for i in range(23)]
+    df = spark.createDataFrame(rows, "k int, c string")
+    got = {r.k: r.fold for r in V.stratified_folds(df, "k", "c", 4).collect()}
+    # brute force: deal the sorted labels round-robin into folds, then fill each
+    # class's folds in row order
+    labels = sorted(c for _, c in rows)
+    alloc = {c: [sum(1 for x in labels[f::4] if x == c) for f in range(4)] for c in "AB"}
+    want = {}
+    for c in "AB":
+        folds = [f for f in range(4) for _ in range(alloc[c][f])]
+        for (k, _), f in zip([r for r in rows if r[1] == c], folds):
+            want[k] = f
+    assert got == want
