@@ -43,6 +43,8 @@ def blend_sweep(df: DataFrame, label, pred_a, pred_b, metric: str = "accuracy",
         agg = F.sqrt(F.avg(d * d))
     elif metric == "mae":
         agg = F.avg(F.abs(p - F.col("__y")))
+    elif metric == "rmse":
+        agg = F.sqrt(F.avg((p - F.col("__y")) * (p - F.col("__y"))))
     else:
         raise ValueError(metric)
     out = grid.groupBy("i").agg(agg.alias("metric")).withColumn("w", F.col("i") * F.lit(step))
