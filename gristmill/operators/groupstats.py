@@ -60,9 +60,10 @@ def group_mode_table(df: DataFrame, by: Sequence[str], value, name: str) -> Data
     by = list(by)
     counts = (df.select(*by, col_of(value).alias("__val")).where(F.col("__val").isNotNull())
                 .groupBy(*by, "__val").agg(F.count(F.lit(1)).alias("__cnt")))
+    if not by:  # global mode: the top entry of the (value, count) table
+        return counts.orderBy(F.desc("__cnt"), F.asc("__val")).limit(1).select(F.col("__val").alias(name))
     top = counts.groupBy(*by).agg(F.max("__cnt").alias("__top"))
-    joined = counts.join(top, by, "inner") if by else counts.crossJoin(F.broadcast(top))
-    return (joined.where(F.col("__cnt") == F.col("__top"))
+    return (counts.join(top, by, "inner").where(F.col("__cnt") == F.col("__top"))
                   .groupBy(*by).agg(F.min("__val").alias(name)))
 
 

@@ -65,7 +65,7 @@ def _banded(base, by, probs, names, max_exact, accuracy):
                      F.col("__br")[pos[min(max(p + d, 0.0), 1.0)]].alias(f"__H{i}"),
                      k_lo.alias(f"__klo{i}"), k_hi.alias(f"__khi{i}")]
         bounds = materialize(sketch.select(*cols))
-        joined = bounds.attach(base, by, "inner") if by else base.crossJoin(F.broadcast(bounds.df))
+        joined = _attach(base, bounds, by)
         band_aggs = []
         for i in range(len(probs)):
             L, H, v = F.col(f"__L{i}"), F.col(f"__H{i}"), F.col(_V)
@@ -98,9 +98,18 @@ def _banded(base, by, probs, names, max_exact, accuracy):
     raise RuntimeError("group_quantiles: could not bracket the quantiles in bounded memory")
 
 
+def _attach(base, table, by):
+    """Join a per-group bounds table; for the global case its single row is
+    added as literals."""
+    if by:
+        return table.attach(base, by, "inner")
+    row = table.df.collect()[0]  # one row: a global aggregate
+    return base.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in table.df.schema.fields})
+
+
 def _pick(base, bands, by, probs, names):
     bcols = [c for c in bands.df.columns if c not in by]
-    joined = bands.attach(base, by, "inner") if by else base.crossJoin(F.broadcast(bands.df))
+    joined = _attach(base, bands, by)
     keep = [F.first(F.col(c)).alias(c) for c in bcols]
     inner = [F.array_sort(F.collect_list(F.when((F.col(_V) > F.col(f"__L{i}")) & (F.col(_V) < F.col(f"__H{i}")),
                                                 F.col(_V)))).alias(f"__band{i}") for i in range(len(probs))]
