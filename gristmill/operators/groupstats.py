@@ -182,7 +182,6 @@ def running_totals(df: DataFrame, order: Sequence[str], sums: Sequence[str],
     sums (``mapInPandas`` over the sorted partition), and per-partition totals
     -- one row per partition, a bounded table -- give each task its offset.
     """
-    import pandas as pd
     from pyspark.sql import types as T
 
     order, sums = list(order), list(sums)

@@ -14,7 +14,7 @@ from ..functions.dates import season
 from ..operators.quantile import global_quantiles
 from ..session import ensure_checkpoint_dir
 from ..sources import io
-from .inputs import O, O_SQL, OC, OC_SQL, T as tbl
+from .inputs import O, O_SQL, T as tbl
 from .registry import register
 
 R6 = 6

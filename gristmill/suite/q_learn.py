@@ -11,7 +11,7 @@ from ..operators import validate as V
 from ..operators.cluster import centroid_distances, kmeans_label
 from ..operators.encode import pca_project
 from ..session import ensure_checkpoint_dir
-from .inputs import O, OC, OC_SQL, S, S_SQL, T as tbl
+from .inputs import OC, OC_SQL, S, S_SQL, T as tbl
 from .registry import register
 
 
