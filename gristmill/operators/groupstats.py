@@ -136,7 +136,7 @@ def global_stat(df: DataFrame, value, stat: str, where: Column | None = None):
 # ---- ordering within groups (W3, W4, E1, V3) ------------------------------------------
 
 def ordinal_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
-                  name: str = "__idx") -> DataFrame:
+                  name: str = "__idx", with_count: bool = False):
     """0-based position of each row in ``order`` within its ``by`` group.
 
     Skew-safe: a range-partitioned sort spreads even a hot group over many
@@ -153,10 +153,15 @@ def ordinal_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
     w = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) if by \
         else Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    offsets = materialize(parts.select("__pid", *by, "__off", "__m"))
+    offsets = materialize(parts.select("__pid", *by, "__off", "__m", "__c"))
     out = offsets.attach(s, ["__pid", *by], "inner")
-    return out.withColumn(name, F.col("__off") + F.col("__loc") - F.col("__m")) \
-              .drop("__pid", "__loc", "__off", "__m")
+    out = out.withColumn(name, F.col("__off") + F.col("__loc") - F.col("__m")) \
+             .drop("__pid", "__loc", "__off", "__m", "__c")
+    if not with_count:
+        return out
+    # total rows from the (already computed) per-partition counts: no extra pass
+    total = offsets.df.agg(F.sum("__c")).collect()[0][0] or 0
+    return out, int(total)
 
 
 def dense_rank_in_group(df: DataFrame, by: Sequence[str], order: str, name: str) -> DataFrame:

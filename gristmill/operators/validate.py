@@ -45,9 +45,8 @@ def stratified_holdout(df: DataFrame, label: str, hash_col: str, key: str, fract
 def contiguous_folds(df: DataFrame, order: str, k: int, name: str = "fold") -> DataFrame:
     """Unshuffled k-fold: rows in ``order`` cut into k contiguous blocks, the
     first ``n % k`` one row larger (V3)."""
-    n = df.count()
+    idx, n = ordinal_index(df, [order], (), "__i", with_count=True)
     q, r = divmod(n, k)
-    idx = ordinal_index(df, [order], (), "__i")
     big = r * (q + 1)
     fold = F.when(F.col("__i") < big, F.floor(F.col("__i") / F.lit(q + 1))) \
             .otherwise(F.lit(r) + F.floor((F.col("__i") - big) / F.lit(max(q, 1))))
