@@ -122,6 +122,33 @@ def attach_group_stats(df: DataFrame, keys: Sequence[str], value, stat: str, nam
     return out
 
 
+def attach_stats(df: DataFrame, specs: Sequence[tuple], fit_on: DataFrame | None = None) -> DataFrame:
+    """Several algebraic statistics, each by its own single key and with its own
+    row filter, in ONE scan: ``specs`` holds ``(key, value, stat, name, where)``.
+    Filters become conditional aggregates, keys become GROUPING SETS, and each
+    statistic is attached by a size-checked join."""
+    keys: list[str] = []
+    for k, *_ in specs:
+        if k not in keys:
+            keys.append(k)
+    aggs = []
+    for i, (k, v, stat, name, where) in enumerate(specs):
+        if stat not in ALGEBRAIC:
+            raise ValueError(f"{stat} is not algebraic; use attach_group_stat")
+        val = col_of(v) if where is None else F.when(where, col_of(v))
+        aggs.append(_agg_expr(stat, val).alias(f"__s{i}"))
+    src = df if fit_on is None else fit_on
+    stats = materialize(src.groupingSets([[k] for k in keys], *keys)
+                           .agg(*aggs, F.grouping_id().alias("__gid")))
+    out = df
+    for i, (k, _v, _stat, name, _where) in enumerate(specs):
+        j = keys.index(k)
+        gid = sum(1 << (len(keys) - 1 - m) for m in range(len(keys)) if m != j)
+        part = stats.df.where(F.col("__gid") == gid).select(k, F.col(f"__s{i}").alias(name))
+        out = StatsTable(part, stats.small).attach(out, [k], "left")
+    return out
+
+
 def attach_group_stat(df: DataFrame, by, value, stat: str, name: str,
                       where: Column | None = None, fit_on: DataFrame | None = None) -> DataFrame:
     """Fit on ``fit_on`` (default ``df``) and attach."""

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.binning import cut_right
-from ..operators.groupstats import GroupStat
+from ..operators.groupstats import attach_stats
 from ..operators.impute import GroupImputer
 from ..operators.quantile import global_quantiles
 from .inputs import OC, OC_SQL
@@ -22,9 +22,10 @@ QUARTILE_LABELS = ["Low", "Medium", "High", "Very High"]
 def order_features(df):
     """The flagship feature plan on an OC-shaped DataFrame."""
     df = GroupImputer("price_n", ["o_orderpriority"], "median").fit(df).transform(df)
-    df = GroupStat(["c_mktsegment"], "price_n", "mean", "__seg_mean").fit(df).transform(df)
+    # segment mean (all rows) and nation delay rate (train rows): one scan
+    df = attach_stats(df, [("c_mktsegment", "price_n", "mean", "__seg_mean", None),
+                           ("c_nationkey", "y", "rate", "nation_rate", F.col("is_train"))])
     edges = global_quantiles(df, "price_n", [0.0, 0.25, 0.5, 0.75, 1.0])
-    df = GroupStat(["c_nationkey"], "y", "rate", "nation_rate", where=F.col("is_train")).fit(df).transform(df)
     return df.select(
         "o_orderkey",
         F.round("price_n", 4).alias("price_f"),

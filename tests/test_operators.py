@@ -339,3 +339,15 @@ def test_stratified_folds_follow_round_robin_allocation(spark):
         for (k, _), f in zip([r for r in rows if r[1] == c], folds):
             want[k] = f
     assert got == want
+
+
+def test_attach_stats_matches_separate_stats(spark):
+    from gristmill.operators.groupstats import attach_group_stat, attach_stats
+    rows = [("a", "x", 1.0, 1, True), ("a", "y", 3.0, 0, True), ("b", "x", 5.0, 1, False),
+            ("b", "y", None, 1, True), ("c", "z", 7.0, 0, False)]
+    df = spark.createDataFrame(rows, "g string, h string, v double, y int, tr boolean")
+    fused = attach_stats(df, [("g", "v", "mean", "m", None), ("h", "y", "rate", "r", F.col("tr"))])
+    sep = attach_group_stat(df, ["g"], "v", "mean", "m")
+    sep = attach_group_stat(sep, ["h"], "y", "rate", "r", where=F.col("tr"))
+    key = lambda r: (r.g, r.h, r.v)
+    assert sorted((key(r), r.m, r.r) for r in fused.collect()) == sorted((key(r), r.m, r.r) for r in sep.collect())
