@@ -9,10 +9,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gristmill.llm import linededup, simhash
+import public_tokenizers
+from gristmill.llm import bpe, decontaminate, linededup, quality, simhash
 from gristmill.llm.common import Scratch
 
 
+def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier rejects go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality")
+    return quality.score_documents(docs, labels, threshold=0.3).where("predicted = 1").drop("score", "predicted")
+
+
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut lines that many documents share; every document stays."""
     out = linededup.dedup_lines(docs).drop("_n_lines", "_n_dropped")
@@ -24,9 +31,22 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.drop_near_duplicates(docs, shingle_words=3, max_bits=2)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document's token count, and digests of its ids and of the decoded bytes."""
+    return bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 STAGES = [
+    ("quality filter", quality_filter),
     ("line dedup", line_dedup),
     ("simhash near-dedup", simhash_dedup),
+    ("benchmark decontamination", decontamination),
+    ("byte-level BPE", byte_bpe),
 ]
 
 #: The stages run a trained model, hashing and a tokenizer that SQL cannot express.

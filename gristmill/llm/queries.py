@@ -1,13 +1,22 @@
 """The registered ``opN_<name>`` queries and the oracle SQL of those that SQL can express."""
 
-from . import linededup, sharding, simhash
+from . import bpe, decontaminate, htmltext, licenses, linededup, quality, sharding, simhash, suffixes, topk
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
+    "op2_byte_bpe": bpe.op2_byte_bpe,
+    "op3_quality": quality.op3_quality,
+    "op4_exact_topk": topk.op4_exact_topk,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_stratified_shards": sharding.op6_stratified_shards,
+    "op7_license_scan": licenses.op7_license_scan,
+    "op8_suffix_dedup": suffixes.op8_suffix_dedup,
     "op9_line_dedup": linededup.op9_line_dedup,
+    "op10_html_text": htmltext.op10_html_text,
 }
 
 ORACLE = {
+    "op4_exact_topk": topk.OP4_SQL,
+    "op5_decontaminate": decontaminate.OP5_SQL,
     "op9_line_dedup": linededup.OP9_SQL,
 }
