@@ -15,7 +15,7 @@ Texts of at most ``chunk_chars`` are one piece and need no shuffle.  Decoding
 concatenates the raw bytes of the ids.
 
 Edge cases: a null text counts as empty (no tokens); repeated rows get equal
-results; an empty table gives an empty result; other columns pass through.
+results; an empty table gives an empty result; other columns pass through, whatever their names.
 Merging a single very long pre-token takes O(n log n) steps.
 """
 
@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ship_by_value, text_or_empty
+from .common import Scratch, fresh, ship_by_value, text_or_empty
 
 RESULT = "n_tokens long, ids_sha256 string, decoded_sha256 string"
 _CACHED = 400_000  # pre-tokens remembered per task
@@ -45,19 +45,34 @@ def read_ranks(path: str) -> bytes:
         return f.read()
 
 
-def _merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    parts = [piece[i:i + 1] for i in range(len(piece))]
-    none = len(ranks) + 1
-    pairs = [ranks.get(a + b, none) for a, b in zip(parts, parts[1:])]
-    while pairs and (low := min(pairs)) != none:
-        i = pairs.index(low)
-        parts[i:i + 2] = [parts[i] + parts[i + 1]]
-        del pairs[i]
-        if i < len(pairs):
-            pairs[i] = ranks.get(parts[i] + parts[i + 1], none)
+def _pair_ranks(ranks: dict[bytes, int], base: int) -> dict[int, int]:
+    """left * base + right -> rank, for every way to put a token together from two."""
+    out = {}
+    get = ranks.get
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            a, b = get(token[:i]), get(token[i:])
+            if a is not None and b is not None:
+                out[a * base + b] = rank
+    return out
+
+
+def _merge_short(ids: list[int], pairs: dict[int, int], base: int) -> list[int]:
+    """Merge the adjacent pair of least rank, again and again; a token's id is its rank."""
+    get = pairs.get
+    ranks = [get(a * base + b, base) for a, b in zip(ids, ids[1:])]
+    while ranks:
+        low = min(ranks)
+        if low == base:
+            break
+        i = ranks.index(low)
+        ids[i:i + 2] = [low]
+        del ranks[i]
+        if i < len(ranks):
+            ranks[i] = get(low * base + ids[i + 1], base)
         if i:
-            pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], none)
-    return [ranks[p] for p in parts]
+            ranks[i - 1] = get(ids[i - 1] * base + low, base)
+    return ids
 
 
 def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -96,23 +111,37 @@ class Codec:
 
     def __init__(self, ranks_file: bytes, pattern: str):
         self.ranks = {base64.b64decode(t): int(r) for t, r in map(bytes.split, ranks_file.splitlines()) if t}
+        self.base = max(self.ranks.values()) + 1
+        self.byte_rank = [self.ranks[bytes([c])] for c in range(256)]
+        self.pairs = _pair_ranks(self.ranks, self.base)
         self.bytes_of = {r: t for t, r in self.ranks.items()}
         self.text_of = {r: str(r) for r in self.bytes_of}
         self.find = regex.compile(pattern).findall
         self.scan = regex.compile(pattern).finditer
         self.space_after_space = re.compile(r"\s ").search
-        self.cuts_at_spaces = all(not regex.search(r"(?=\S\s)", w) for probe in _PROBES for w in self.find(probe))
+        self.cuts_at_spaces = all(not regex.search(r"\S\s", w) for probe in _PROBES for w in self.find(probe))
+        self.merged: dict[str, list[int]] = {}
         self.seen: dict[str, list[int]] = {}
 
     def merge(self, text: str) -> list[int]:
-        ids = []
+        ids, merged = [], self.merged.get
         for word in self.find(text):
-            piece = word.encode("utf-8", "replace")
-            whole = self.ranks.get(piece)
-            if whole is not None:
-                ids.append(whole)
-            else:
-                ids += (_merge_short if len(piece) <= _SHORT else _merge_long)(piece, self.ranks)
+            ids += merged(word) or self._merge_word(word)
+        return ids
+
+    def _merge_word(self, word: str) -> list[int]:
+        piece = word.encode("utf-8", "replace")
+        whole = self.ranks.get(piece)
+        if whole is not None:
+            ids = [whole]
+        elif len(piece) <= _SHORT:
+            byte_rank = self.byte_rank
+            ids = _merge_short([byte_rank[c] for c in piece], self.pairs, self.base)
+        else:
+            return _merge_long(piece, self.ranks)
+        if len(self.merged) >= _CACHED:
+            self.merged.clear()
+        self.merged[word] = ids
         return ids
 
     def _remember(self, word: str) -> list[int]:
@@ -207,7 +236,8 @@ def _encode_pieces(shared, pattern: str, size: int):
 
 def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text_col: str = "text",
                      chunk_chars: int = 32768, overlap: int = 1024) -> DataFrame:
-    """``docs`` plus n_tokens, ids_sha256 and decoded_sha256.
+    """``docs`` without the text, plus n_tokens, ids_sha256 and decoded_sha256 (columns
+    of these names are replaced).
 
     ``vocabulary`` is the path of a rank file, read by the driver and broadcast
     (its size is that of the vocabulary, not of the data).
@@ -242,7 +272,9 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text_col: s
     cuts_of = F.pandas_udf(_cuts, "array<int>")
     text = text_or_empty(text_col)
     is_long = F.length(text) > chunk_chars
-    short = docs.where(~is_long).withColumn("_e", whole_texts(F.col(text_col))).select(*docs.columns, "_e.*")
+    keep = [c for c in docs.columns if c not in (text_col, "n_tokens", "ids_sha256", "decoded_sha256")]
+    e, of, digest = fresh(docs, "e", "of", "digest")
+    short = docs.where(~is_long).select(*keep, whole_texts(F.col(text_col)).alias(e)).select(*keep, f"{e}.*")
 
     scratch = Scratch(spark, "bpe")
     windows = scratch.table(
@@ -258,11 +290,10 @@ def encode_documents(docs: DataFrame, vocabulary: str, pattern: str, text_col: s
               .mapInPandas(_encode_pieces(shared, pattern, chunk_chars), "digest string, k int, ids array<int>, rest string"))
     one = pieces.groupBy("digest", "k").agg(F.first("ids").alias("ids"), F.first("rest").alias("rest"))
     encoded = scratch.table(one.groupBy("digest").agg(F.collect_list(F.struct("k", "ids", "rest")).alias("pieces"))
-                            .select(F.col("digest").alias("_digest"), finish("pieces").alias("_e")), "encoded")
-    long = (docs.where(is_long).withColumn("_of", F.sha2(F.col(text_col), 256)).drop(text_col)
-            .join(encoded, F.col("_of") == F.col("_digest")))
-    keep = [c for c in docs.columns if c != text_col]
-    return short.select(*keep, "n_tokens", "ids_sha256", "decoded_sha256").unionByName(long.select(*keep, "_e.*"))
+                            .select(F.col("digest").alias(digest), finish("pieces").alias(e)), "encoded")
+    long = (docs.where(is_long).select(*keep, F.sha2(F.col(text_col), 256).alias(of))
+            .join(encoded, F.col(of) == F.col(digest)))
+    return short.unionByName(long.select(*keep, f"{e}.*"))
 
 
 def op2_byte_bpe(spark, sf_dir: str) -> DataFrame:

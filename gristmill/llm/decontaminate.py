@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch
+from .common import Scratch, fresh
 
 #: What separates words: every ASCII character that is no letter or digit (fixed value).
 NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -80,12 +80,12 @@ def find_items(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
               .select("id", "tkey", F.explode(_shingle_hashes(k)).alias("hash")))
     found = probes.join(sketches, "hash").select("id", "tkey", "item_id").distinct()
     found = scratch.table(found.groupBy(F.col("id").alias("c_id"), F.col("tkey").alias("c_key"))
-                          .agg(F.collect_list("item_id").alias("item_ids")), "candidates")
+                          .agg(F.collect_list(F.struct("item_id")).alias("item_ids"))  # in a struct, a null id counts, "candidates")
 
     whole = (keyed.join(found, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("tkey") == F.col("c_key")))
              .dropDuplicates(["id", "tkey"])
              .select("id", "tkey", "item_ids", words("text").alias("w"))
-             .select("id", "tkey", _shingle_texts(k).alias("doc_shingles"), F.explode("item_ids").alias("c_item")))
+             .select("id", "tkey", _shingle_texts(k).alias("doc_shingles"), F.explode(F.col("item_ids")["item_id"]).alias("c_item")))
     n, hit = F.size("shingles"), F.size(F.array_intersect("shingles", "doc_shingles"))
     verified = (whole.join(items, F.col("c_item").eqNullSafe(F.col("item_id")))
                 .select("id", "tkey", "item_id", n.alias("n_shingles"), hit.alias("n_found"))
@@ -100,9 +100,10 @@ def find_items(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
 def drop_contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text", **kw) -> DataFrame:
     """``docs`` without the rows whose text holds a benchmark item."""
     hits = find_items(docs, bench, id_col, text_col, **kw)
+    hit_id, hit_key = fresh(docs, "hit_id", "hit_key")
     hits = Scratch(docs.sparkSession, "contaminated").table(
-        hits.select(F.col(id_col).alias("_id"), F.col("_text_key").alias("_key")).distinct(), "hits")
-    return docs.join(hits, F.col(id_col).eqNullSafe(F.col("_id")) & (F.xxhash64(text_col) == F.col("_key")), "left_anti")
+        hits.select(F.col(id_col).alias(hit_id), F.col("_text_key").alias(hit_key)).distinct(), "hits")
+    return docs.join(hits, F.col(id_col).eqNullSafe(F.col(hit_id)) & (F.xxhash64(text_col) == F.col(hit_key)), "left_anti")
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ship_by_value
+from .common import Scratch, fresh, ship_by_value
 
 #: Elements by role, from the HTML standard, and the usual class words (fixed values).
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -208,9 +208,10 @@ def extract(html: str | None, template: set[str] | None) -> str:
 
 
 def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = 3) -> DataFrame:
-    """``pages`` plus ``text``."""
+    """``pages`` plus ``text`` (a column of this name is replaced)."""
     found = Scratch(pages.sparkSession, "htmltext").table(templates(pages, url_col, html_col, min_pages), "templates")
-    found = found.select(F.col("host").alias("_of"), F.col("template").alias("_template"))
+    host, of, known = fresh(pages, "host", "of", "template")
+    found = found.select(F.col("host").alias(of), F.col("template").alias(known))
 
     @F.pandas_udf("string")
     def texts(html: pd.Series, template: pd.Series) -> pd.Series:
@@ -225,9 +226,8 @@ def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html"
             out.append(extract(h, known))
         return pd.Series(out, dtype=object)
 
-    joined = pages.withColumn("_host", host_of(url_col)).join(found, F.col("_host") == F.col("_of"), "left")
-    return joined.withColumn("_main", texts(F.col(html_col), F.col("_template"))).select(
-        *[c for c in pages.columns if c != "text"], F.col("_main").alias("text"))
+    joined = pages.withColumn(host, host_of(url_col)).join(found, F.col(host) == F.col(of), "left")
+    return joined.select(*[c for c in pages.columns if c != "text"], texts(F.col(html_col), F.col(known)).alias("text"))
 
 
 def op10_html_text(spark, sf_dir: str) -> DataFrame:

@@ -23,10 +23,10 @@ passes through).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, ascii_lower, shuffle_partitions, text_or_empty
+from .common import Scratch, ascii_lower, fresh, shuffle_partitions, text_or_empty
 
 #: White space stripped from a line's ends (fixed value).
 LINE_SPACE = " \t\n\x0b\x0c\r"
@@ -73,23 +73,24 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the kept text in ``text_col``, and structs' worth of counts in
-    ``_n_lines`` (before) and ``_n_dropped``.  Every row of ``docs`` stays."""
+    """``docs`` with the kept text in ``text_col``, and the counts ``_n_lines`` (before) and
+    ``_n_dropped`` (columns of these names are replaced).  Every row of ``docs`` stays."""
     text = text_or_empty(text_col)
-    cols = docs.columns
-    b = bitmaps.select(F.col(id_col).alias("_doc"), F.col("tkey").alias("_tkey"), F.col("keep_bitmap").alias("_bits"))
-    joined = (docs.withColumn("_text_key", F.xxhash64(text_col))
-              .join(b, (F.col(id_col) == F.col("_doc")) & (F.col("_text_key") == F.col("_tkey")), "left"))
-    words = F.map_from_entries("_bits")
+    cols = [c for c in docs.columns if c not in ("_n_lines", "_n_dropped")]
+    doc, tkey, bits, key, kept_lines, lines = fresh(docs, "doc", "tkey", "bits", "text_key", "kept_lines", "lines")
+    b = bitmaps.select(F.col(id_col).alias(doc), F.col("tkey").alias(tkey), F.col("keep_bitmap").alias(bits))
+    joined = (docs.select(*cols, F.xxhash64(text_col).alias(key))
+              .join(b, (F.col(id_col) == F.col(doc)) & (F.col(key) == F.col(tkey)), "left"))
+    words = F.map_from_entries(bits)
     kept = F.filter(F.split(text, "\n", -1),
                     lambda line, i: F.coalesce(F.getbit(F.try_element_at(words, F.shiftright(i, 6)), i % 64), F.lit(1)) == 1)
     n_lines = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
-    cut = joined.withColumn("_kept", F.when(F.col("_bits").isNotNull(), kept)).withColumn("_n_lines", n_lines)
+    cut = joined.withColumns({kept_lines: F.when(F.col(bits).isNotNull(), kept), lines: n_lines})
+    whole = F.col(kept_lines).isNull()
     return cut.select(
-        *[F.when(F.col("_kept").isNull(), text).otherwise(F.array_join("_kept", "\n")).alias(c) if c == text_col
-          else F.col(c) for c in cols],
-        F.col("_n_lines").cast("long").alias("_n_lines"),
-        F.when(F.col("_kept").isNull(), F.lit(0)).otherwise(F.col("_n_lines") - F.size("_kept")).cast("long").alias("_n_dropped"))
+        *[F.when(whole, text).otherwise(F.array_join(kept_lines, "\n")).alias(c) if c == text_col else F.col(c) for c in cols],
+        F.col(lines).cast("long").alias("_n_lines"),
+        F.when(whole, F.lit(0)).otherwise(F.col(lines) - F.size(kept_lines)).cast("long").alias("_n_dropped"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

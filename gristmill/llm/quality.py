@@ -160,8 +160,9 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
         return pd.Series(list(matrix(texts)), dtype=object)
 
     # The labels are bounded by max_labels rows of two numbers, so they are broadcast.
-    rows = (docs.join(F.broadcast(known), F.col(id_col) == F.col("_id"))
-            .select("_id", "_y", statistics_of(F.col(text_col).cast("binary")).alias("x"))
+    rows = (docs.select(F.col(id_col).alias("of"), F.col(text_col).cast("binary").alias("text"))
+            .join(F.broadcast(known), F.col("of") == F.col("_id"))
+            .select("_id", "_y", statistics_of("text").alias("x"))
             .groupBy("_id").agg(F.min(F.struct("_y", "x")).alias("r"))  # one row per id
             .select("_id", "r._y", "r.x").toPandas().sort_values("_id"))
     x = np.array(rows["x"].tolist(), np.float64).reshape(len(rows), len(STATISTICS))
@@ -178,7 +179,8 @@ def score_column(trees: Trees, text_col: str = "text") -> Column:
 
 def score_documents(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     threshold: float = 0.3, **options) -> DataFrame:
-    """``docs`` plus ``score`` and ``predicted`` (1 if the score reaches the threshold)."""
+    """``docs`` plus ``score`` and ``predicted`` (1 if the score reaches the threshold);
+    columns of these names are replaced."""
     trees = train(docs, labels, id_col=id_col, text_col=text_col, **options)
     return (docs.withColumn("score", score_column(trees, text_col))
             .withColumn("predicted", (F.col("score") >= threshold).cast("int")))

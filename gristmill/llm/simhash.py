@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import Scratch, ship_by_value
+from .common import Scratch, fresh, ship_by_value
 from .components import components
 
 #: Shingle hash seed (fixed value).
@@ -124,18 +124,19 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                                      simhash_column(text_col, shingle_words).alias("fp")), "rows")
     grouped = _grouped(rows, scratch, max_bits).select(F.col("fp").alias("g_fp"), "root")
     members = scratch.table(rows.join(grouped, rows["fp"] == grouped["g_fp"]).select("id", "tkey", "root"), "members")
+    lost_id, lost_key, key = fresh(docs, "lost_id", "lost_key", "text_key")
     order = F.struct(F.col("id").isNull().alias("none"), "id", "tkey")
     best = scratch.table(members.groupBy(F.col("root").alias("b_root")).agg(F.min(order).alias("best")), "best")
     losers = (members.join(best, F.col("root") == F.col("b_root"))
               .where(~(F.col("id").eqNullSafe(F.col("best.id")) & (F.col("tkey") == F.col("best.tkey"))))
-              .select(F.col("id").alias("_id"), F.col("tkey").alias("_tkey")))
+              .select(F.col("id").alias(lost_id), F.col("tkey").alias(lost_key)))
     losers = scratch.table(losers.distinct(), "losers")
     repeats = rows.groupBy("id", "tkey").count().where("count > 1").limit(1).count() > 0
-    kept = (docs.withColumn("_text_key", F.xxhash64(text_col))
-            .join(losers, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_text_key") == F.col("_tkey")), "left_anti"))
+    kept = (docs.withColumn(key, F.xxhash64(text_col))
+            .join(losers, F.col(id_col).eqNullSafe(F.col(lost_id)) & (F.col(key) == F.col(lost_key)), "left_anti"))
     if repeats:
-        kept = kept.dropDuplicates([id_col, "_text_key"])
-    return kept.drop("_text_key")
+        kept = kept.dropDuplicates([id_col, key])
+    return kept.drop(key)
 
 
 def op1_simhash(spark, sf_dir: str) -> DataFrame:
