@@ -79,8 +79,9 @@ def find_items(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_c
     probes = (keyed.select("id", "tkey", words("text").alias("w")).where(F.size("w") > 0)
               .select("id", "tkey", F.explode(_shingle_hashes(k)).alias("hash")))
     found = probes.join(sketches, "hash").select("id", "tkey", "item_id").distinct()
+    # collect_list leaves nulls out, so the item id (which may be null) is put in a struct
     found = scratch.table(found.groupBy(F.col("id").alias("c_id"), F.col("tkey").alias("c_key"))
-                          .agg(F.collect_list(F.struct("item_id")).alias("item_ids"))  # in a struct, a null id counts, "candidates")
+                          .agg(F.collect_list(F.struct("item_id")).alias("item_ids")), "candidates")
 
     whole = (keyed.join(found, F.col("id").eqNullSafe(F.col("c_id")) & (F.col("tkey") == F.col("c_key")))
              .dropDuplicates(["id", "tkey"])
