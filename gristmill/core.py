@@ -10,13 +10,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Statistics tables fetched to the driver (``materialize``) are capped at this
 # many rows; beyond it they stay distributed.
 BROADCAST_MAX_ROWS = 100_000
+# ... and at this many bytes.
+BROADCAST_MAX_BYTES = 32 << 20
 
 
 class Estimator:
@@ -57,22 +58,28 @@ def lazy(stats: DataFrame) -> StatsTable:
 
 
 def materialize(stats: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> StatsTable:
-    """Compute a statistics table once and decide how it is joined.
-
-    The table is persisted and at most ``max_rows + 1`` rows are fetched.  If it
-    fits, it becomes a driver-held local relation: the lineage is cut and the
-    join is a broadcast, so the big side is never shuffled.  Otherwise the
-    persisted distributed table is kept and joined by a shuffle join (AQE
-    splits skewed keys).  Nothing unbounded reaches the driver.
+    """Compute a statistics table once, if it is small, and decide how it is joined.
+
+    At most ``max_rows + 1`` rows are fetched.  If they fit, in number and in
+    bytes, the table becomes a driver-held relation with a broadcast hint: the
+    lineage is cut and the big side is never shuffled.  Otherwise the fetched
+    rows are dropped and the table stays a lazy plan, joined by a shuffle join
+    (AQE splits skewed keys).  Nothing unbounded reaches the driver, and
+    nothing is cached.
     """
-    spark = stats.sparkSession
-    stats = stats.persist(StorageLevel.MEMORY_AND_DISK)
     rows = stats.limit(max_rows + 1).collect()
-    if len(rows) <= max_rows:
-        local = spark.createDataFrame(rows, stats.schema) if rows else spark.createDataFrame([], stats.schema)
-        stats.unpersist()
-        return StatsTable(local, True)
-    return StatsTable(stats, False)
+    if len(rows) <= max_rows and _bytes_of(rows) <= BROADCAST_MAX_BYTES:
+        return StatsTable(stats.sparkSession.createDataFrame(rows, stats.schema), True)
+    return lazy(stats)
+
+
+def _bytes_of(rows: list) -> int:
+    """Rough size of collected rows: 16 bytes a value, and texts' and lists' lengths."""
+    size = 0
+    for row in rows:
+        for v in row:
+            size += 16 + (len(v) * (8 if isinstance(v, list) else 2) if isinstance(v, (str, bytes, list)) else 0)
+    return size
 
 
 def scalar_row(df: DataFrame) -> dict:

@@ -99,9 +99,10 @@ def normalise(c) -> Column:
     return F.lower(F.trim(col_of(c)))
 
 
-def concat_keys(*cols, sep: str = "_") -> Column:
-    """Interaction key of several columns."""
-    return F.concat_ws(sep, *[col_of(x).cast("string") for x in cols])
+def concat_keys(*cols, sep: str = "_", null: str = "nan") -> Column:
+    """Interaction key of several columns (T9); a NULL part shows as ``null``, so
+    it keeps its place.  With an empty ``sep`` parts must have fixed widths."""
+    return F.concat_ws(sep, *[F.coalesce(col_of(x).cast("string"), F.lit(null)) for x in cols])
 
 
 def has_repeated_chars(c) -> Column:

@@ -4,35 +4,51 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..core import col_of
+from ..core import col_of, cut_lineage
 from .encode import Standardizer
 
 
-def kmeans_label(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 5, seed: int = 0,
-                 standardize: bool = True, label: str = "Cluster", max_iter: int = 20):
+def kmeans_label(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 50, seed: int = 0,
+                 standardize: bool = True, label: str = "Cluster", max_iter: int = 300):
     """Z-score the columns (sample std), fit ``restarts`` k-means models with
-    seeds ``seed..seed+restarts-1`` on the cached input and keep the lowest
-    training cost.  Returns (model, centres, labelled df)."""
+    seeds ``seed..seed+restarts-1`` on the complete rows and keep the lowest
+    training cost.  Returns (model, centres, labelled df).
+
+    Every row stays: the label is the nearest centre, as Column arithmetic, and
+    NULL where a column is NULL or NaN.  Centres live in the z-scored space."""
+    labelled, model, centres, _ = _clustered(df, columns, k, restarts, seed, standardize, label, max_iter)
+    return model, centres, labelled
+
+
+def _clustered(df, columns, k, restarts, seed, standardize, label, max_iter):
     from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-    data = Standardizer(columns, ddof=1, suffix="__z").fit(df).transform(df) if standardize else df
-    zcols = [c + "__z" for c in columns] if standardize else list(columns)
-    vec = VectorAssembler(inputCols=zcols, outputCol="__kv", handleInvalid="skip").transform(data)
-    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
+    from pyspark.ml.functions import array_to_vector
+    # NaN counts as missing, for the scale as well as for the rows
+    numbers = [F.col(f"`{c}`").cast("double") for c in columns]
+    scaled = [F.when(~F.isnan(x), x) for x in numbers]
+    if standardize:
+        names = [f"c{i}" for i in range(len(columns))]
+        stats = Standardizer(names, ddof=1).fit(df.select(*[x.alias(n) for n, x in zip(names, scaled)])).stats
+        scaled = [(x - F.lit(m)) / F.lit(s if s not in (None, 0.0) else 1.0)
+                  for x, (m, s) in zip(scaled, (stats[n] for n in names))]
+    complete = df.select(F.array(*scaled).alias("__v")).where(F.forall("__v", lambda x: x.isNotNull()))
+    # iterative fits read the narrow, written copy of the complete rows
+    vectors = cut_lineage(complete.select(array_to_vector("__v").alias("__kv")))
     best = None
     for r in range(restarts):
-        model = KMeans(k=k, seed=seed + r, featuresCol="__kv", predictionCol=label, maxIter=max_iter).fit(vec)
+        model = KMeans(k=k, seed=seed + r, featuresCol="__kv", predictionCol=label, maxIter=max_iter).fit(vectors)
         cost = model.summary.trainingCost
         if best is None or cost < best[0]:
             best = (cost, model)
     model = best[1]
-    out = model.transform(vec).drop("__kv", *[c for c in zcols if c not in columns])
-    vec.unpersist()
-    return model, [list(map(float, c)) for c in model.clusterCenters()], out
+    centres = [list(map(float, c)) for c in model.clusterCenters()]
+    distances = list(centroid_distances(scaled, centres).values())
+    near = F.array(*distances)
+    nearest = F.when(F.forall(near, lambda x: x.isNotNull()), F.array_position(near, F.array_min(near)) - 1)
+    return df.withColumn(label, nearest.cast("int")), model, centres, distances
 
 
 def centroid_distances(columns: Sequence, centres: Sequence[Sequence[float]],
@@ -48,26 +64,9 @@ def centroid_distances(columns: Sequence, centres: Sequence[Sequence[float]],
     return out
 
 
-def cluster_with_distances(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 5, seed: int = 0,
-                           label: str = "Cluster", prefix: str = "Centroid", max_iter: int = 20) -> DataFrame:
-    """F3 + F4 on one DataFrame: z-score (sample std) the columns, fit k-means
-    with restarts, add the cluster label and the distance of every row to each
-    centre (computed in the z-scored space, as plain Column arithmetic)."""
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    scaler = Standardizer(columns, ddof=1, suffix="__z").fit(df)
-    zcols = [c + "__z" for c in columns]
-    data = scaler.transform(df)
-    vec = VectorAssembler(inputCols=zcols, outputCol="__kv", handleInvalid="keep").transform(data)
-    vec = vec.persist(StorageLevel.MEMORY_AND_DISK)
-    best = None
-    for r in range(restarts):
-        model = KMeans(k=k, seed=seed + r, featuresCol="__kv", predictionCol=label, maxIter=max_iter).fit(vec)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    model = best[1]
-    centres = [list(map(float, c)) for c in model.clusterCenters()]
-    out = model.transform(vec).withColumns(centroid_distances(zcols, centres, prefix))
-    return out.drop("__kv", *zcols)
+def cluster_with_distances(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 50, seed: int = 0,
+                           label: str = "Cluster", prefix: str = "Centroid", max_iter: int = 300) -> DataFrame:
+    """F3 + F4 on one DataFrame: the cluster label and the distance of every row
+    to each centre (in the z-scored space; NULL where a column is NULL)."""
+    out, _, _, distances = _clustered(df, columns, k, restarts, seed, True, label, max_iter)
+    return out.withColumns({f"{prefix}{i}": d for i, d in enumerate(distances)})

@@ -1,8 +1,7 @@
 """Encoding and scaling.
 
-Level lists are bounded results (one row per distinct level of a categorical
-column) and are checked before they become literals; codes for unbounded
-level sets stay in a distributed table joined back.
+One-hot columns need their level list, one name per output column; codes for
+unbounded level sets stay in a distributed table joined back.
 """
 
 from __future__ import annotations
@@ -15,8 +14,6 @@ from pyspark.sql import functions as F
 from ..core import Estimator, Model, col_of, materialize, scalar_row
 from .groupstats import ordinal_index
 
-MAX_LITERAL_LEVELS = 1_000
-
 
 def level_column(prefix: str, level) -> str:
     """``prefix_level`` with characters outside [0-9A-Za-z] turned into '_'."""
@@ -24,15 +21,12 @@ def level_column(prefix: str, level) -> str:
     return f"{prefix}_{re.sub(r'[^0-9A-Za-z]+', '_', str(level))}"
 
 
-def levels(df: DataFrame, column: str, where: Column | None = None,
-           max_levels: int = MAX_LITERAL_LEVELS) -> list:
-    """Sorted distinct non-null levels of a categorical column, size-checked."""
+def levels(df: DataFrame, column: str, where: Column | None = None) -> list:
+    """Sorted distinct non-null levels of a categorical column.  They name the
+    output's columns, so the schema holds as many; for a high-cardinality column
+    use :class:`OneHotVector`."""
     src = df if where is None else df.where(where)
-    rows = (src.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).distinct()
-               .orderBy("v").limit(max_levels + 1).collect())
-    if len(rows) > max_levels:
-        raise ValueError(f"{column} has more than {max_levels} levels; use a code table instead")
-    return [r["v"] for r in rows]
+    return [r["v"] for r in src.select(F.col(column).alias("v")).where(F.col("v").isNotNull()).distinct().orderBy("v").collect()]
 
 
 class Factorizer(Estimator):
@@ -125,6 +119,34 @@ class OneHotModel(Model):
                                for lvl in self.levels})
 
 
+class OneHotVector(Estimator):
+    """One-hot as a sparse vector column for any number of levels: codes come
+    from the distributed code table (:class:`CategoryCoder`), so no level list
+    reaches the driver; an unknown level or NULL gives the zero vector."""
+
+    def __init__(self, column: str, output: str, where: Column | None = None):
+        self.column, self.output, self.where = column, output, where
+
+    def fit(self, df: DataFrame) -> "OneHotVectorModel":
+        src = df if self.where is None else df.where(self.where)
+        size = src.where(F.col(self.column).isNotNull()).agg(F.count_distinct(F.col(self.column)).alias("n")).first()["n"]
+        return OneHotVectorModel(CategoryCoder(self.column, "__level").fit(src), size, self.output)
+
+
+class OneHotVectorModel(Model):
+    def __init__(self, codes, size, output):
+        self.codes, self.size, self.output = codes, size, output
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        from pyspark.ml.feature import OneHotEncoder
+        coded = self.codes.transform(df)
+        # the encoder drops its last category: the one that stands for unknown levels
+        code = F.when(F.col("__level") >= 0, F.col("__level")).otherwise(F.lit(self.size)).cast("double")
+        encoder = OneHotEncoder(inputCol="__level", outputCol=self.output, dropLast=True)
+        known = df.sparkSession.range(self.size, self.size + 1).select(F.col("id").cast("double").alias("__level"))
+        return encoder.fit(known).transform(coded.withColumn("__level", code)).drop("__level")
+
+
 class Standardizer(Estimator):
     """z-score ``(x - mean) / std`` with sample (ddof=1, E7) or population
     (ddof=0, E8) standard deviation fitted on ``where`` rows."""

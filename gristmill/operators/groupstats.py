@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..core import Estimator, Model, StatsTable, col_of, materialize
 from .quantile import group_quantiles
+from .ranges import attach_offsets, offsets, with_bucket
 
 
 def _agg_expr(stat: str, value: Column) -> Column:
@@ -54,17 +55,15 @@ def group_mode_table(df: DataFrame, by: Sequence[str], value, name: str) -> Data
     """Most frequent non-null value per group, ties -> smallest value.
 
     Two partial aggregations instead of ``mode()`` (whose value->count map for
-    a hot group would sit in one task): counts per (group, value), the top
-    count per group, then the smallest value holding it.
+    a hot group would sit in one task): counts per (group, value), then the
+    value with the smallest (-count, value) per group.
     """
     by = list(by)
     counts = (df.select(*by, col_of(value).alias("__val")).where(F.col("__val").isNotNull())
                 .groupBy(*by, "__val").agg(F.count(F.lit(1)).alias("__cnt")))
-    if not by:  # global mode: the top entry of the (value, count) table
-        return counts.orderBy(F.desc("__cnt"), F.asc("__val")).limit(1).select(F.col("__val").alias(name))
-    top = counts.groupBy(*by).agg(F.max("__cnt").alias("__top"))
-    return (counts.join(top, by, "inner").where(F.col("__cnt") == F.col("__top"))
-                  .groupBy(*by).agg(F.min("__val").alias(name)))
+    # the most frequent value, ties to the smallest: one more partial aggregation
+    best = F.min_by("__val", F.struct((-F.col("__cnt")).alias("c"), "__val"))
+    return counts.groupBy(*by).agg(best.alias(name))
 
 
 class GroupStat(Estimator):
@@ -163,32 +162,23 @@ def global_stat(df: DataFrame, value, stat: str, where: Column | None = None):
 # ---- ordering within groups (W3, W4, E1, V3) ------------------------------------------
 
 def ordinal_index(df: DataFrame, order: Sequence[str], by: Sequence[str] = (),
-                  name: str = "__idx", with_count: bool = False):
-    """0-based position of each row in ``order`` within its ``by`` group.
-
-    Skew-safe: a range-partitioned sort spreads even a hot group over many
-    tasks; positions are per-partition counters plus offsets from a table with
-    one row per (partition, group).  ``order`` (with ``by``) must be unique.
+                  name: str = "__idx", with_count: bool = False) -> DataFrame:
+    """0-based position of each row in ``order`` within its ``by`` group (null
+    groups are groups of their own).
+
+    Skew-safe: rows get a range bucket of the first order column, counts per
+    (group, bucket) give offsets, and ``row_number`` runs inside a bucket, so a
+    hot group is spread over all buckets.  ``order`` (with ``by``) must be
+    unique.  ``with_count`` adds the size of the group as ``{name}_n``.
     """
     by, order = list(by), list(order)
-    s = (df.repartitionByRange(*by, *order).sortWithinPartitions(*by, *order)
-           .withColumn("__pid", F.spark_partition_id())
-           .withColumn("__mid", F.monotonically_increasing_id()))
-    s = s.withColumn("__loc", F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)).drop("__mid")
-    s = s.persist()
-    parts = s.groupBy("__pid", *by).agg(F.count(F.lit(1)).alias("__c"), F.min("__loc").alias("__m"))
-    w = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1) if by \
-        else Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("__off", F.coalesce(F.sum("__c").over(w), F.lit(0)))
-    offsets = materialize(parts.select("__pid", *by, "__off", "__m", "__c"))
-    out = offsets.attach(s, ["__pid", *by], "inner")
-    out = out.withColumn(name, F.col("__off") + F.col("__loc") - F.col("__m")) \
-             .drop("__pid", "__loc", "__off", "__m", "__c")
-    if not with_count:
-        return out
-    # total rows from the (already computed) per-partition counts: no extra pass
-    total = offsets.df.agg(F.sum("__c")).collect()[0][0] or 0
-    return out, int(total)
+    s = with_bucket(df, order[0], "__bucket")
+    table = offsets(s, by, "__bucket", {"__c": F.count(F.lit(1))})
+    w = Window.partitionBy(*by, "__bucket").orderBy(*order)
+    out = attach_offsets(s, table, by, "__bucket").withColumn(name, F.col("__c_before") + F.row_number().over(w) - 1)
+    if with_count:
+        out = out.withColumn(f"{name}_n", F.col("__c_all"))
+    return out.drop("__bucket", "__c_before", "__c_all")
 
 
 def dense_rank_in_group(df: DataFrame, by: Sequence[str], order: str, name: str) -> DataFrame:
@@ -208,37 +198,15 @@ def days_since_first(df: DataFrame, by: Sequence[str], date_col: str, name: str)
 
 def running_totals(df: DataFrame, order: Sequence[str], sums: Sequence[str],
                    prefix: str = "cum_", inclusive: bool = True) -> DataFrame:
-    """Global running sums of ``sums`` along ``order`` (unique), skew-safe.
-
-    A range-partitioned sort spreads the rows; each task adds its own running
-    sums (``mapInPandas`` over the sorted partition), and per-partition totals
-    -- one row per partition, a bounded table -- give each task its offset.
-    """
-    from pyspark.sql import types as T
-
+    """Global running sums of ``sums`` along ``order`` (unique), skew-safe: sums
+    per range bucket give offsets, a window inside each bucket adds the rest."""
     order, sums = list(order), list(sums)
-    s = (df.repartitionByRange(*order).sortWithinPartitions(*order)
-           .withColumn("__pid", F.spark_partition_id()))
-    out_fields = list(s.schema.fields) + [T.StructField(prefix + c, T.DoubleType()) for c in sums]
-    schema = T.StructType(out_fields)
-
-    def local(it):
-        carry = {c: 0.0 for c in sums}
-        for pdf in it:
-            for c in sums:
-                v = pdf[c].astype("float64").fillna(0.0)
-                cs = v.cumsum() + carry[c]
-                pdf[prefix + c] = cs if inclusive else cs - v
-                carry[c] = float(cs.iloc[-1]) if len(cs) else carry[c]
-            yield pdf
-
-    s = s.persist()
-    loc = s.mapInPandas(local, schema)
-    totals = s.groupBy("__pid").agg(*[F.sum(F.col(c).cast("double")).alias(f"__t_{c}") for c in sums])
-    w = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select("__pid", *[F.coalesce(F.sum(f"__t_{c}").over(w), F.lit(0.0)).alias(f"__o_{c}")
-                                    for c in sums])
-    offs = materialize(offs)
-    out = offs.attach(loc, ["__pid"], "inner")
-    return out.withColumns({prefix + c: F.col(prefix + c) + F.col(f"__o_{c}") for c in sums}) \
-              .drop("__pid", *[f"__o_{c}" for c in sums])
+    s = with_bucket(df, order[0], "__bucket")
+    value = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in sums}
+    table = offsets(s, [], "__bucket", {f"__t{i}": F.sum(value[c]) for i, c in enumerate(sums)})
+    w = Window.partitionBy("__bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    out = attach_offsets(s, table, [], "__bucket")
+    for i, c in enumerate(sums):
+        total = F.col(f"__t{i}_before") + F.sum(value[c]).over(w)
+        out = out.withColumn(prefix + c, total if inclusive else total - value[c])
+    return out.drop("__bucket", *[f"__t{i}_{k}" for i in range(len(sums)) for k in ("before", "all")])

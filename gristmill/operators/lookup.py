@@ -29,14 +29,11 @@ def first_match_lookup(df: DataFrame, key: str, table: DataFrame, table_key: str
 
 
 def composite_lookup(df: DataFrame, keys: Sequence[str], table: DataFrame, values: Mapping[str, object],
-                     pos: str | None = None) -> DataFrame:
-    """Attach several values by a composite key; first listed entry wins when
-    ``pos`` is given; missing -> the given defaults (J3)."""
+                     pos: str) -> DataFrame:
+    """Attach several values by a composite key; the entry listed first (smallest
+    ``pos``) wins; missing -> the given defaults (J3)."""
     keys = list(keys)
-    if pos is not None:
-        best = table.groupBy(*keys).agg(*[F.min_by(F.col(v), F.col(pos)).alias(v) for v in values])
-    else:
-        best = table.select(*keys, *values).dropDuplicates(keys)
+    best = table.groupBy(*keys).agg(*[F.min_by(F.col(v), F.col(pos)).alias(v) for v in values])
     out = materialize(best).attach(df, keys, "left")
     return out.withColumns({v: F.coalesce(F.col(v), F.lit(d)) for v, d in values.items()})
 

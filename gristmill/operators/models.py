@@ -1,8 +1,7 @@
 """Models, ensembling and decision rules.
 
 Sweeps (blend weights, decision thresholds) are one pass over the data:
-all candidates are evaluated inside a single aggregation (blend) or from
-running totals over the distinct scores (threshold), and the arg-best is
+all candidates are evaluated inside a single aggregation, and the arg-best is
 picked inside Spark -- nothing but the final small table reaches the driver.
 """
 
@@ -14,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core import col_of
-from .groupstats import running_totals
+from .ranges import bucket_of
 
 
 # ---- blend weight sweep (M7-M10) -------------------------------------------------------
@@ -23,31 +22,33 @@ def blend_sweep(df: DataFrame, label, pred_a, pred_b, metric: str = "accuracy",
                 cutoff: float = 0.5) -> DataFrame:
     """Evaluate ``w*a + (1-w)*b`` for w = 0, step, ..., 1 in one pass.
 
-    Every row is expanded over the weight grid by a generator and the metric is
-    aggregated per weight; the aggregation combines map-side, so only one
-    partial row per weight and task is shuffled.  Returns (w, metric, best, i);
-    ``best`` marks the first weight reaching the best value (ties -> lowest
-    weight, as a strict ``>`` sweep keeps).  Metrics: accuracy (``> cutoff``,
-    maximised), rmsle and mae (minimised).
+    One aggregation with a column per weight, so no row is multiplied; its one
+    row is then unpivoted.  Returns (w, metric, best, i); ``best`` marks the
+    first weight reaching the best value (ties -> lowest weight, as a strict
+    ``>`` sweep keeps).  Metrics: accuracy (``> cutoff``, maximised), rmsle, mae
+    and rmse (minimised).
     """
     n = int(round(1 / step)) + 1
-    y, a, b = col_of(label).cast("double"), col_of(pred_a).cast("double"), col_of(pred_b).cast("double")
-    grid = df.select(y.alias("__y"), a.alias("__a"), b.alias("__b"),
-                     F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("i"))
-    w = F.col("i") * F.lit(step)
-    p = w * F.col("__a") + (F.lit(1.0) - w) * F.col("__b")
-    if metric == "accuracy":
-        agg = F.avg(((p > cutoff).cast("double") == F.col("__y")).cast("double"))
-    elif metric == "rmsle":
-        d = F.log1p(p) - F.log1p(F.col("__y"))
-        agg = F.sqrt(F.avg(d * d))
-    elif metric == "mae":
-        agg = F.avg(F.abs(p - F.col("__y")))
-    elif metric == "rmse":
-        agg = F.sqrt(F.avg((p - F.col("__y")) * (p - F.col("__y"))))
-    else:
+    cols = df.select(col_of(label).cast("double").alias("__y"), col_of(pred_a).cast("double").alias("__a"),
+                     col_of(pred_b).cast("double").alias("__b"))
+    y = F.col("__y")
+
+    def of(i: int) -> Column:
+        w = F.lit(i) * F.lit(step)
+        p = w * F.col("__a") + (F.lit(1.0) - w) * F.col("__b")
+        if metric == "accuracy":
+            return F.avg(((p > cutoff).cast("double") == y).cast("double"))
+        if metric == "rmsle":
+            d = F.log1p(p) - F.log1p(y)
+            return F.sqrt(F.avg(d * d))
+        if metric == "mae":
+            return F.avg(F.abs(p - y))
+        if metric == "rmse":
+            return F.sqrt(F.avg((p - y) * (p - y)))
         raise ValueError(metric)
-    out = grid.groupBy("i").agg(agg.alias("metric")).withColumn("w", F.col("i") * F.lit(step))
+
+    row = cols.agg(F.array(*[of(i) for i in range(n)]).alias("m"))
+    out = row.select(F.posexplode("m").alias("i", "metric")).withColumn("w", F.col("i") * F.lit(step))
     # the candidate table has n rows: a window without keys over it is bounded
     best_val = (F.max if metric == "accuracy" else F.min)("metric").over(Window.partitionBy())
     first_best = F.min(F.when(F.col("metric") == best_val, F.col("i"))).over(Window.partitionBy())
@@ -63,27 +64,27 @@ def apply_blend(pred_a, pred_b, w: float) -> Column:
 def threshold_sweep(df: DataFrame, label, score, thresholds: DataFrame) -> DataFrame:
     """tp, fp, fn, f1 of ``score > t`` for every threshold in ``thresholds(t)``.
 
-    One aggregation of the data by distinct score (pos/neg counts), then running
-    totals in descending score order over scores and thresholds together; a
-    threshold sorts before an equal score because the rule is strict.
+    The thresholds are a grid of candidates (collected, so it must be small;
+    repeated ones are answered once).  Each score is bucketed by the number of
+    thresholds below it, one aggregation counts classes per bucket, and running
+    sums over the grid give every threshold's counts.
     """
     y, s = col_of(label), col_of(score).cast("double")
-    per = (df.select(y.alias("__y"), s.alias("v")).where(F.col("v").isNotNull())
-             .groupBy("v").agg(F.sum((F.col("__y") == 1).cast("double")).alias("pos"),
-                               F.sum((F.col("__y") != 1).cast("double")).alias("neg"))
-             .withColumn("is_t", F.lit(0)))
-    totals = per.agg(F.sum("pos").alias("P")).collect()[0]["P"] or 0.0
-    thr = thresholds.select(F.col("t").cast("double").alias("v")) \
-                    .withColumn("pos", F.lit(0.0)).withColumn("neg", F.lit(0.0)).withColumn("is_t", F.lit(1))
-    u = per.unionByName(thr).withColumn("__o1", -F.col("v")).withColumn("__o2", 1 - F.col("is_t"))
-    cum = running_totals(u, ["__o1", "__o2"], ["pos", "neg"], prefix="cum_")
-    tp, fp = F.col("cum_pos"), F.col("cum_neg")
-    fn = F.lit(totals) - tp
-    out = cum.where(F.col("is_t") == 1).select(
-        F.col("v").alias("threshold"), tp.cast("long").alias("tp"), fp.cast("long").alias("fp"),
-        fn.cast("long").alias("fn"),
-        F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0)).alias("f1"))
-    return out
+    grid = sorted({float(r["t"]) for r in thresholds.select(F.col("t").cast("double").alias("t")).collect()})
+    per = (df.select(y.alias("__y"), bucket_of(s, grid, "double").alias("at"), s.alias("v")).where(F.col("v").isNotNull())
+             .groupBy("at").agg(F.sum((F.col("__y") == 1).cast("long")).alias("pos"),
+                                F.sum((F.col("__y") != 1).cast("long")).alias("neg")))
+    at_grid = df.sparkSession.createDataFrame(list(enumerate([None, *grid])), "i int, threshold double")
+    per = at_grid.join(per, F.col("i") == F.col("at"), "left")
+    whole = Window.partitionBy(F.lit(0))  # one row per threshold
+    above = whole.orderBy(F.desc("i")).rowsBetween(Window.unboundedPreceding, 0)
+    zero = F.lit(0)
+    tp = F.coalesce(F.sum("pos").over(above), zero)
+    fp = F.coalesce(F.sum("neg").over(above), zero)
+    fn = F.coalesce(F.sum("pos").over(whole), zero) - tp
+    out = per.select("threshold", tp.alias("tp"), fp.alias("fp"), fn.alias("fn")).where(F.col("threshold").isNotNull())
+    tp, fp, fn = (F.col(c).cast("double") for c in ("tp", "fp", "fn"))
+    return out.withColumn("f1", F.coalesce(F.try_divide(2 * tp, 2 * tp + fp + fn), F.lit(0.0)))
 
 
 def mark_best(df: DataFrame, metric: str, order: str, larger: bool = True) -> DataFrame:
@@ -112,7 +113,8 @@ def feature_assembler(numeric: Sequence[str], categorical: Sequence[str], output
                       scale: bool = True):
     """Column-type router (E9): impute + scale numerics, one-hot categoricals
     (unknown -> zeros), assemble one vector.  Returns a list of ML stages."""
-    from pyspark.ml.feature import Imputer, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+    from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
+    from .scaling import PopulationScaler
     stages = []
     num_in = list(numeric)
     if num_in:
@@ -120,7 +122,7 @@ def feature_assembler(numeric: Sequence[str], categorical: Sequence[str], output
         stages.append(Imputer(inputCols=num_in, outputCols=imp, strategy="mean"))
         stages.append(VectorAssembler(inputCols=imp, outputCol="__num", handleInvalid="keep"))
         if scale:
-            stages.append(StandardScaler(inputCol="__num", outputCol="__nums", withMean=True, withStd=True))
+            stages.append(PopulationScaler("__num", "__nums"))
     cat_out = []
     if categorical:
         idx = [f"__idx_{c}" for c in categorical]

@@ -1,142 +1,81 @@
 """Exact quantiles (linear interpolation, as numpy/pandas/`percentile`) per group,
-in bounded memory per group.
-
-Spark's exact ``percentile`` keeps a value -> count map per group.  That is fine
-when every group is small, but one hot group holding a third of 100 TB would
-put all its distinct values into one task.  So:
-
-1. count rows per group (partial aggregation, cheap);
-2. if the largest group has at most ``max_exact`` rows, use ``percentile``;
-3. otherwise bracket each target rank with ``percentile_approx`` (bounded
-   buffer), count the rows below / equal to the bracket ends, and collect only
-   the values strictly inside the bracket, whose number is checked first.
-   Brackets that miss the rank are widened; bands that are too large raise
-   the sketch accuracy.  The result is exact either way.
+in bounded memory per task, by one method at every size.
+
+``percentile`` keeps a value -> count map per group, and a hot group holding a
+third of 100 TB would put all its distinct values into one task.  Instead:
+
+1. values get a range bucket (boundaries from a fixed-size sketch, drawn once);
+2. rows are counted per (group, bucket, value), which combines map-side and
+   spreads a hot group, and equal values collapse to one row;
+3. counts per (group, bucket) tell in which buckets the wanted ranks lie; only
+   those buckets' distinct values are put in order, inside the bucket, and the
+   values at the ranks are interpolated.
+
+The result is exact whatever the boundaries are.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..core import col_of, materialize
-
-_V = "__qv"
-_N = "__qn"
+from ..core import col_of
+from .ranges import attach_offsets, bucket_of, default_buckets, offsets
 
 
 def group_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[str] = (),
-                    names: Sequence[str] | None = None, max_exact: int = 200_000,
-                    accuracy: int = 10_000) -> DataFrame:
-    """Return ``by`` columns, ``n`` (non-null count) and one column per prob."""
+                    names: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
+    """Return ``by`` columns, ``n`` (non-null count) and one column per prob.
+
+    ``buckets`` only sets how the work is dealt out, never the result."""
     by = list(by)
     probs = [float(p) for p in probs]
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
-    base = df.select(*[F.col(b) for b in by], col_of(value).cast("double").alias(_V)) \
-             .where(F.col(_V).isNotNull())
-    # one job: the size of the largest group decides the method
-    max_n = base.groupBy(*by).agg(F.count(F.lit(1)).alias(_N)).agg(F.max(_N)).collect()[0][0] or 0
-    if max_n <= max_exact:
-        agg = base.groupBy(*by).agg(F.count(F.lit(1)).alias("n"),
-                                    F.percentile(F.col(_V), probs).alias("__qa"))
-        return agg.select(*by, "n", *[F.col("__qa")[i].alias(nm) for i, nm in enumerate(names)])
-    return _banded(base, by, probs, names, max_exact, accuracy)
-
-
-def _banded(base, by, probs, names, max_exact, accuracy):
-    spread = 3.0
-    for _attempt in range(16):
-        d = spread / accuracy
-        brackets = sorted({min(max(p + s * d, 0.0), 1.0) for p in probs for s in (-1, 1)})
-        pos = {b: i for i, b in enumerate(brackets)}
-        sketch = base.groupBy(*by).agg(
-            F.count(F.lit(1)).alias(_N),
-            F.percentile_approx(F.col(_V), brackets, accuracy).alias("__br"))
-        cols = [F.col(b) for b in by] + [F.col(_N)]
-        for i, p in enumerate(probs):
-            exact_rank = F.lit(p) * (F.col(_N) - 1)
-            k_lo = F.floor(exact_rank)
-            # the upper neighbour is only needed when the rank is fractional
-            k_hi = F.when(exact_rank > k_lo, F.least(k_lo + 1, F.col(_N) - 1)).otherwise(k_lo)
-            cols += [F.col("__br")[pos[min(max(p - d, 0.0), 1.0)]].alias(f"__L{i}"),
-                     F.col("__br")[pos[min(max(p + d, 0.0), 1.0)]].alias(f"__H{i}"),
-                     k_lo.alias(f"__klo{i}"), k_hi.alias(f"__khi{i}")]
-        bounds = materialize(sketch.select(*cols))
-        joined = _attach(base, bounds, by)
-        band_aggs = []
-        for i in range(len(probs)):
-            L, H, v = F.col(f"__L{i}"), F.col(f"__H{i}"), F.col(_V)
-            band_aggs += [F.count_if(v < L).alias(f"__below{i}"),
-                          F.count_if(v == L).alias(f"__eqL{i}"),
-                          F.count_if((v > L) & (v < H)).alias(f"__in{i}"),
-                          F.count_if(v == H).alias(f"__eqH{i}")]
-        bands = joined.groupBy(*by, *[c for i in range(len(probs))
-                                      for c in (f"__L{i}", f"__H{i}", f"__klo{i}", f"__khi{i}")],
-                               _N).agg(*band_aggs)
-        bands = materialize(bands)
-        checks = []
-        for i in range(len(probs)):
-            below, eql, inn, eqh = (F.col(f"__{k}{i}") for k in ("below", "eqL", "in", "eqH"))
-            covered = (below <= F.col(f"__klo{i}")) & \
-                      (below + eql + inn + F.when(F.col(f"__L{i}") != F.col(f"__H{i}"), eqh).otherwise(0)
-                       > F.col(f"__khi{i}"))
-            checks += [F.sum(F.when(covered, 0).otherwise(1)).alias(f"miss{i}"),
-                       F.max(inn).alias(f"band{i}")]
-        summary = bands.df.agg(*checks).collect()[0].asDict()
-        missed = any((summary[f"miss{i}"] or 0) > 0 for i in range(len(probs)))
-        too_wide = any((summary[f"band{i}"] or 0) > max_exact for i in range(len(probs)))
-        if too_wide:
-            accuracy *= 10
-            continue
-        if missed:
-            spread *= 4
-            continue
-        return _pick(base, bands, by, probs, names)
-    raise RuntimeError("group_quantiles: could not bracket the quantiles in bounded memory")
-
-
-def _attach(base, table, by):
-    """Join a per-group bounds table; for the global case its single row is
-    added as literals."""
-    if by:
-        return table.attach(base, by, "inner")
-    row = table.df.collect()[0]  # one row: a global aggregate
-    return base.withColumns({f.name: F.lit(row[f.name]).cast(f.dataType) for f in table.df.schema.fields})
-
-
-def _pick(base, bands, by, probs, names):
-    bcols = [c for c in bands.df.columns if c not in by]
-    joined = _attach(base, bands, by)
-    keep = [F.first(F.col(c)).alias(c) for c in bcols]
-    inner = [F.array_sort(F.collect_list(F.when((F.col(_V) > F.col(f"__L{i}")) & (F.col(_V) < F.col(f"__H{i}")),
-                                                F.col(_V)))).alias(f"__band{i}") for i in range(len(probs))]
-    got = joined.groupBy(*by).agg(*keep, *inner)
-
-    def at(i, k):
-        j = F.col(k) - F.col(f"__below{i}")
-        eql, inn = F.col(f"__eqL{i}"), F.col(f"__in{i}")
-        return (F.when(j < eql, F.col(f"__L{i}"))
-                 .when(j < eql + inn, F.element_at(F.col(f"__band{i}"), (j - eql + 1).cast("int")))
-                 .otherwise(F.col(f"__H{i}")))
-
-    out = [F.col(b) for b in by] + [F.col(_N).alias("n")]
-    for i, (p, nm) in enumerate(zip(probs, names)):
-        lo, hi = at(i, f"__klo{i}"), at(i, f"__khi{i}")
-        frac = F.lit(p) * (F.col(_N) - 1) - F.col(f"__klo{i}")
-        out.append((lo + (hi - lo) * frac).alias(nm))
+    base = df.select(*[F.col(b) for b in by], col_of(value).cast("double").alias("__v")).where(F.col("__v").isNotNull())
+    n_buckets = buckets or default_buckets(df)
+    bounds = []
+    if n_buckets > 1:  # a sketch of fixed size, whatever the input
+        shares = [i / n_buckets for i in range(1, n_buckets)]
+        sketch = base.agg(F.percentile_approx("__v", shares, 10 * n_buckets).alias("s")).first()["s"]
+        bounds = sorted(set(sketch or []))
+    counts = (base.withColumn("__b", bucket_of(F.col("__v"), bounds, "double"))
+              .groupBy(*by, "__b", "__v").agg(F.count(F.lit(1)).alias("__c")))
+    table = offsets(counts, by, "__b", {"__k": F.sum("__c")})
+    table = table.withColumn("__upto", F.lead("__k_before").over(_by(table).orderBy("__at")))
+    table = table.withColumn("__upto", F.coalesce("__upto", "__k_all"))
+    at = [F.lit(p) * (F.col("__k_all") - 1) for p in probs]  # positions, from 0
+    lo, hi = [F.floor(a) for a in at], [F.ceil(a) for a in at]
+    wanted = F.lit(False)
+    for rank in lo + hi:
+        wanted = wanted | ((F.col("__k_before") <= rank) & (rank < F.col("__upto")))
+    placed = attach_offsets(counts, table.where(wanted), by, "__b")
+    w = Window.partitionBy(*by, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    last = F.col("__k_before") + F.sum("__c").over(w)
+    placed = placed.withColumns({"__last": last}).withColumn("__first", F.col("__last") - F.col("__c"))
+
+    def value_at(rank):
+        return F.max(F.when((F.col("__first") <= rank) & (rank < F.col("__last")), F.col("__v")))
+
+    got = placed.groupBy(*by, "__k_all").agg(*[x for i in range(len(probs)) for x in (
+        value_at(lo[i]).alias(f"__l{i}"), value_at(hi[i]).alias(f"__h{i}"))])
+    out = [F.col(b) for b in by] + [F.col("__k_all").alias("n")]
+    for i, name in enumerate(names):
+        low, high = F.col(f"__l{i}"), F.col(f"__h{i}")
+        between = (hi[i] - at[i]) * low + (at[i] - lo[i]) * high
+        out.append(F.when(low == high, low).otherwise(between).alias(name))
     return got.select(*out)
 
 
+def _by(table: DataFrame):
+    names = [c for c in table.columns if c.startswith("__by")]
+    return Window.partitionBy(*names) if names else Window.partitionBy(F.lit(0))
+
+
 def global_quantiles(df: DataFrame, value, probs: Sequence[float], **kw) -> list[float | None]:
     """Exact global quantiles as Python floats (a bounded, one-row result)."""
     row = group_quantiles(df, value, probs, by=(), **kw).collect()
     if not row:
         return [None] * len(probs)
     return [row[0][f"q{i}"] for i in range(len(probs))]
-
-
-def nan_safe(x):
-    return None if x is None or (isinstance(x, float) and math.isnan(x)) else x

@@ -28,15 +28,12 @@ def _long_form(df: DataFrame, features: Sequence[str], target: str, cast: str =
 def mi_from_counts(joint: DataFrame, bias_correct: bool = False) -> DataFrame:
     """(feature, x, y, n) counts -> (feature, mi) with natural logarithms.
 
-    The contingency table is persisted once.  Level totals are a window over
-    (feature, level) -- at most one row per class in each window -- while the
+    Level totals are a window over (feature, level) -- at most one row per class in each window -- while the
     class totals and feature totals (one row per feature and class) are small
     aggregates joined by broadcast.  A high-cardinality feature is thus never
     gathered into one task."""
-    from pyspark import StorageLevel
     from pyspark.sql import Window
 
-    joint = joint.persist(StorageLevel.MEMORY_AND_DISK)
     ny = materialize(joint.groupBy("feature", "y").agg(F.sum("n").alias("__ny")))
     # feature totals from the (already computed) class totals: one row per feature
     tot = StatsTable(ny.df.groupBy("feature").agg(F.sum("__ny").alias("__tot")), ny.small)
@@ -61,15 +58,22 @@ def mi_discrete(df: DataFrame, features: Sequence[str], target: str) -> DataFram
     return mi_from_counts(joint)
 
 
-def quantile_bin_long(long: DataFrame, bins: int) -> DataFrame:
-    """Quantile-bin the numeric ``value`` of a (feature, value, ...) table per
-    feature: bin = number of inner edges below the value (right-closed)."""
+def quantile_bins(df: DataFrame, features: Sequence[str], bins: int) -> dict:
+    """Quantile-bin columns per feature: bin = number of inner edges below the
+    value (right-closed), NULL -> -1.  The edges (features x bins numbers) come
+    from one job over all features and become literals of plain comparisons."""
     probs = [i / bins for i in range(1, bins)]
-    edges = group_quantiles(long, "value", probs, by=["feature"], names=[f"e{i}" for i in range(1, bins)])
-    edges = materialize(edges.select("feature", F.array(*[F.col(f"e{i}") for i in range(1, bins)]).alias("edges")))
-    out = edges.attach(long, ["feature"], "left")
-    b = F.aggregate(F.col("edges"), F.lit(0), lambda acc, e: acc + F.when(F.col("value") > e, 1).otherwise(0))
-    return out.withColumn("x", F.when(F.col("value").isNull(), F.lit(-1)).otherwise(b).cast("string")).drop("edges")
+    long = _long_form(df.withColumn("__none", F.lit(0)), features, "__none", cast="double")
+    rows = group_quantiles(long, "value", probs, by=["feature"], names=[f"e{i}" for i in range(1, bins)]).collect()
+    edges = {r["feature"]: [r[f"e{i}"] for i in range(1, bins)] for r in rows}
+    out = {}
+    for f in features:
+        value = F.col(f"`{f}`").cast("double")
+        above = F.lit(0)
+        for e in edges.get(f, []):
+            above = above + (value > F.lit(e)).cast("int")
+        out[f] = F.when(value.isNull(), F.lit(-1)).otherwise(above)
+    return out
 
 
 def mi_binned(df: DataFrame, features: Sequence[str], target: str, bins: int = 10,
@@ -85,20 +89,17 @@ def mi_binned(df: DataFrame, features: Sequence[str], target: str, bins: int = 1
                          lambda acc, e: acc + F.when(F.col(target) > e, 1).otherwise(0))
         src = src.withColumn("__ybin", yb)
         target = "__ybin"
-    long = _long_form(src, features, target, cast="double")
-    binned = quantile_bin_long(long, bins)
-    joint = binned.groupBy("feature", "x", F.col("__y").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    binned = src.select(*[b.alias(f) for f, b in quantile_bins(src, features, bins).items()], F.col(f"`{target}`").alias("__t"))
+    long = _long_form(binned, features, "__t").withColumnRenamed("value", "x")
+    joint = long.groupBy("feature", "x", F.col("__y").alias("y")).agg(F.count(F.lit(1)).alias("n"))
     return mi_from_counts(joint, bias_correct=True)
 
 
-def select_by_score(df: DataFrame, scores: DataFrame, threshold: float, keep: Sequence[str] = (),
-                    max_features: int = 10_000) -> tuple[DataFrame, list[str]]:
+def select_by_score(df: DataFrame, scores: DataFrame, threshold: float,
+                    keep: Sequence[str] = ()) -> tuple[DataFrame, list[str]]:
     """Keep the columns whose score is > ``threshold`` plus ``keep``.
-    The score table has one row per feature (bounded), so it is collected."""
-    rows = scores.where(F.col("mi") > threshold).select("feature").limit(max_features + 1).collect()
-    if len(rows) > max_features:
-        raise ValueError("too many selected features")
-    chosen = {r["feature"] for r in rows}
+    The score table has one row per column of the schema, so it is collected."""
+    chosen = {r["feature"] for r in scores.where(F.col("mi") > threshold).select("feature").collect()}
     cols = [c for c in df.columns if c in chosen or c in keep]
     return df.select(*[F.col(f"`{c}`") for c in cols]), cols
 

@@ -8,13 +8,12 @@ distinct scores.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..core import col_of, materialize, scalar_row
+from ..core import col_of, scalar_row
 from .groupstats import ordinal_index, running_totals
 
 HASH_BUCKETS = 1_000_000
@@ -35,22 +34,20 @@ def stratified_holdout(df: DataFrame, label: str, hash_col: str, key: str, fract
     """Per class, the ``ceil(fraction * n_class)`` rows with the smallest
     (hash, key) form the test part (V2).  Exact per-class sizes, no single
     partition sort."""
-    counts = materialize(df.groupBy(label).agg(F.count(F.lit(1)).alias("__nc")))
-    ranked = ordinal_index(df, [hash_col, key], [label], "__rk")
-    out = counts.attach(ranked, [label], "left")
-    return out.withColumn(name, (F.col("__rk") < F.ceil(F.col("__nc") * F.lit(fraction))).cast("int")) \
-              .drop("__rk", "__nc")
+    ranked = ordinal_index(df, [hash_col, key], [label], "__rk", with_count=True)
+    return ranked.withColumn(name, (F.col("__rk") < F.ceil(F.col("__rk_n") * F.lit(fraction))).cast("int")) \
+                 .drop("__rk", "__rk_n")
 
 
 def contiguous_folds(df: DataFrame, order: str, k: int, name: str = "fold") -> DataFrame:
     """Unshuffled k-fold: rows in ``order`` cut into k contiguous blocks, the
     first ``n % k`` one row larger (V3)."""
-    idx, n = ordinal_index(df, [order], (), "__i", with_count=True)
-    q, r = divmod(n, k)
+    idx = ordinal_index(df, [order], (), "__i", with_count=True)
+    i, n = F.col("__i"), F.col("__i_n")
+    q, r = F.floor(n / F.lit(k)), n % F.lit(k)
     big = r * (q + 1)
-    fold = F.when(F.col("__i") < big, F.floor(F.col("__i") / F.lit(q + 1))) \
-            .otherwise(F.lit(r) + F.floor((F.col("__i") - big) / F.lit(max(q, 1))))
-    return idx.withColumn(name, fold.cast("int")).drop("__i")
+    fold = F.when(i < big, F.floor(i / (q + 1))).otherwise(r + F.floor((i - big) / F.greatest(q, F.lit(1))))
+    return idx.withColumn(name, fold.cast("int")).drop("__i", "__i_n")
 
 
 def hashed_folds(hash_col, k: int) -> Column:
@@ -164,47 +161,28 @@ def random_search(estimator, evaluator, df: DataFrame, fold_col: str, space: dic
     return model, list(zip(maps, scores))
 
 
-def nan_to_none(x):
-    return None if x is None or (isinstance(x, float) and math.isnan(x)) else x
-
-
-def stratified_fold_bounds(class_counts: list[tuple[object, int]], k: int) -> dict:
-    """Per class, the rank bounds of its k folds for unshuffled stratified k-fold.
-
-    The labels sorted by class are dealt round-robin into k folds; fold ``f``
-    receives, of class ``c``, as many rows as the positions ``p`` in the class's
-    block ``[start_c, start_c + n_c)`` of the sorted labels with ``p % k == f``.
-    The class's rows, in their original order, fill fold 0 first, then fold 1, ...
-    Returns ``{class: [b_0 = 0, b_1, ..., b_k = n_c]}`` (a small, bounded table:
-    classes x folds)."""
-    def count_mod(lo: int, hi: int, f: int) -> int:  # #p in [lo, hi) with p % k == f
-        def upto(x):  # #p in [0, x)
-            return 0 if x <= f else (x - 1 - f) // k + 1
-        return upto(hi) - upto(lo)
-
-    bounds, start = {}, 0
-    for cls, n in sorted(class_counts, key=lambda t: t[0]):
-        acc, b = 0, [0]
-        for f in range(k):
-            acc += count_mod(start, start + n, f)
-            b.append(acc)
-        bounds[cls] = b
-        start += n
-    return bounds
-
-
-def stratified_folds(df: DataFrame, order: str, label: str, k: int, name: str = "fold",
-                     max_classes: int = 10_000) -> DataFrame:
-    """Unshuffled stratified k-fold (V3, classifier form): fold sizes per class
-    follow the round-robin allocation of the sorted labels; within a class the
-    rows keep their order.  Class counts (bounded, checked) reach the driver;
-    ranks come from the skew-safe ordinal index."""
-    rows = df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(max_classes + 1).collect()
-    if len(rows) > max_classes:
-        raise ValueError(f"more than {max_classes} classes")
-    bounds = stratified_fold_bounds([(r[label], r["n"]) for r in rows if r[label] is not None], k)
-    pairs = [x for cls, b in bounds.items() for x in (F.lit(cls), F.array(*[F.lit(v) for v in b[1:]]))]
-    upper = F.element_at(F.create_map(*pairs), F.col(label)) if pairs else F.lit(None)
-    ranked = ordinal_index(df, [order], [label], "__r")
-    fold = F.aggregate(upper, F.lit(0), lambda acc, b: acc + F.when(F.col("__r") >= b, 1).otherwise(0))
-    return ranked.withColumn(name, fold.cast("int")).drop("__r")
+def stratified_folds(df: DataFrame, order: str, label: str, k: int, name: str = "fold") -> DataFrame:
+    """Unshuffled stratified k-fold (V3, classifier form), for any number of classes.
+
+    The labels sorted by class are dealt round-robin into k folds: fold ``f``
+    receives, of class ``c``, as many rows as there are positions ``p`` with
+    ``p % k == f`` in the class's block ``[start_c, start_c + n_c)`` of the
+    sorted labels.  The class's rows, in their original order, fill fold 0
+    first, then fold 1, ...  Class starts come from running totals over the
+    class counts, ranks from the skew-safe ordinal index; rows with a NULL label
+    get a NULL fold."""
+    classes = df.where(F.col(label).isNotNull()).groupBy(F.col(label).alias("__class")).agg(F.count(F.lit(1)).alias("__n"))
+    starts = running_totals(classes, ["__class"], ["__n"], prefix="__start", inclusive=False)
+    starts = starts.select("__class", "__n", F.col("__start__n").cast("long").alias("__s"))
+
+    def dealt(x, f):  # positions p in [0, x) with p % k == f
+        return F.when(x <= f, F.lit(0).cast("long")).otherwise(F.floor((x - 1 - f) / F.lit(k)) + 1)
+
+    rows_of = F.transform(F.sequence(F.lit(0), F.lit(k - 1)), lambda f: dealt(F.col("__s") + F.col("__n"), f) - dealt(F.col("__s"), f))
+    starts = starts.withColumn("__rows", rows_of).drop("__s", "__n")
+    ranked = ordinal_index(df, [order], [label], "__r").join(starts, F.col(label) == F.col("__class"), "left")
+    # folds whose rows all come before this one
+    full = F.aggregate("__rows", F.struct(F.col("__r").cast("long").alias("left"), F.lit(0).alias("fold")),
+                       lambda a, n: F.struct((a["left"] - n).alias("left"),
+                                             (a["fold"] + F.when(a["left"] >= n, 1).otherwise(0)).alias("fold")))
+    return ranked.withColumn(name, full["fold"].cast("int")).drop("__r", "__rows", "__class")

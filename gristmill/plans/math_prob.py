@@ -1,6 +1,6 @@
 """C7 math_prob: cleaned question text and its count/flag features, the label
 distribution, and the text model (TF-IDF block + scaled numerics, two-stage
-classifier, pseudo-labelling)."""
+classifier, pseudo-labelling with a last fit over all labels)."""
 
 from __future__ import annotations
 
@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import strings as S
 from ..operators import models as M
 from ..operators.groupstats import attach_group_stat
+from ..operators.scaling import PopulationScaler
 from ..operators.text import tfidf_vector_pipeline
 
 # Topic patterns and keyword groups of the math-text features.
@@ -57,15 +58,16 @@ def numeric_columns(df: DataFrame) -> list[str]:
 def fit_predict(df: DataFrame, group_map: dict[int, int], max_features: int = 5000, num_trees: int = 20,
                 pseudo: bool = True) -> DataFrame:
     """TF-IDF on train questions, population-scaled numerics, one feature
-    vector; two-stage classification; optional pseudo-label refit."""
+    vector; two-stage classification; with ``pseudo``, one global model is then
+    fitted on the known rows and the guessed ones."""
     from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StandardScaler, VectorAssembler
+    from pyspark.ml.feature import VectorAssembler
 
     train, test = df.where(F.col("id") == -1), df.where(F.col("id") != -1)
     tfidf = tfidf_vector_pipeline("Question", "__text", max_features).fit(train)
     nums = numeric_columns(df)
     scale = Pipeline(stages=[VectorAssembler(inputCols=nums, outputCol="__num", handleInvalid="keep"),
-                             StandardScaler(inputCol="__num", outputCol="__nums", withMean=True, withStd=True)]) \
+                             PopulationScaler("__num", "__nums")]) \
         .fit(train)
     both = VectorAssembler(inputCols=["__text", "__nums"], outputCol="features")
 
@@ -77,5 +79,7 @@ def fit_predict(df: DataFrame, group_map: dict[int, int], max_features: int = 50
     out = M.two_stage_classify(tr, te, "label", group_map, num_trees=num_trees)
     if pseudo:
         guessed = out.select("id", F.col("prediction").alias("label"), "features")
-        out = M.two_stage_classify(tr.unionByName(guessed), te, "label", group_map, num_trees=num_trees)
+        # the last fit is one model over all labels, on the known and the guessed rows
+        final = M.multiclass_classifier("label", num_trees=num_trees).fit(tr.unionByName(guessed))
+        out = final.transform(te.drop("label"))
     return out.select("id", F.col("prediction").cast("int").alias("label"))

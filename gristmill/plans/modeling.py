@@ -58,16 +58,25 @@ def _estimators(spec: ModelSpec):
     return a, b
 
 
-def _score(model, df: DataFrame, task: str, name: str) -> DataFrame:
+def _scored(df: DataFrame, models: dict, task: str) -> DataFrame:
+    """``df`` with one prediction column per model, without a join: each model
+    writes under names of its own."""
     from pyspark.ml.functions import vector_to_array
-    out = model.transform(df)
-    col = vector_to_array("probability")[1] if task == "binary" else F.col("prediction")
-    return out.select("__id", "__label", col.alias(name))
+    for name, model in models.items():
+        model.setPredictionCol(f"{name}_label" if task == "binary" else name)
+        if task == "binary":
+            model.setProbabilityCol(f"{name}_vector").setRawPredictionCol(f"{name}_raw")
+        df = model.transform(df)
+        if task == "binary":
+            df = df.withColumn(name, vector_to_array(f"{name}_vector")[1])
+    return df
 
 
 def train_predict(df: DataFrame, spec: ModelSpec) -> DataFrame:
     """Fit, validate, blend and predict; returns ``(id, prediction)`` of the test rows.
-    Fitted choices (blend weight, threshold, validation metric) land in ``spec.info``."""
+    One fitted feature router serves both models, and both score the same rows in
+    sequence, so rows with NULL or repeated ids stay.  Fitted choices (blend weight, threshold, validation metric) land in ``spec.info``."""
+    from pyspark.ml import Pipeline
     label = F.col(spec.target).cast("double")
     if spec.transform is not None:
         label = spec.transform(label)
@@ -77,13 +86,12 @@ def train_predict(df: DataFrame, spec: ModelSpec) -> DataFrame:
     is_val = V.holdout_flag(V.key_hash(F.col("__id"), spec.seed), spec.holdout) == 1
     fit_part, val_part = train.where(~is_val), train.where(is_val)
 
-    stages = M.feature_assembler(list(spec.numeric), list(spec.categorical))
+    router = Pipeline(stages=M.feature_assembler(list(spec.numeric), list(spec.categorical))).fit(fit_part)
     est_a, est_b = _estimators(spec)
-    model_a, _ = M.fit_apply(stages + [est_a], fit_part, val_part)
-    model_b, _ = M.fit_apply(stages + [est_b], fit_part, val_part)
+    ready = router.transform(fit_part).select("__label", "features")
+    models = {"__pa": est_a.fit(ready), "__pb": est_b.fit(ready)}
 
-    val = _score(model_a, val_part, spec.task, "__pa").join(
-        _score(model_b, val_part, spec.task, "__pb").drop("__label"), "__id")
+    val = _scored(router.transform(val_part), models, spec.task).select("__label", "__pa", "__pb")
     sweep = M.blend_sweep(val, "__label", "__pa", "__pb", spec.blend_metric)
     best = sweep.where(F.col("best") == 1).first()
     w = float(best["w"])
@@ -98,8 +106,7 @@ def train_predict(df: DataFrame, spec: ModelSpec) -> DataFrame:
         threshold = float(tbest["threshold"])
         spec.info.update(threshold=threshold, f1=float(tbest["f1"]))
 
-    scored = _score(model_a, test, spec.task, "__pa").join(
-        _score(model_b, test, spec.task, "__pb").drop("__label"), "__id")
+    scored = _scored(router.transform(test), models, spec.task)
     p = M.apply_blend("__pa", "__pb", w)
     if spec.task == "binary":
         if spec.output == "probability":

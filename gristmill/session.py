@@ -49,7 +49,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir()
-    # Unset: local/test run only.  A cluster always names a shared folder.
+    if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    # Unset in a local or test run: a private folder of this machine.
     local = tempfile.mkdtemp(prefix="gristmill-ckpt-")
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

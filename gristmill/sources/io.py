@@ -23,25 +23,36 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Sequence[str] = NA_TOKENS,
-             header: bool = True) -> DataFrame:
+             header: bool = True, multiline: bool | None = None) -> DataFrame:
     """Header CSV with a declared schema; NA tokens -> NULL for every column.
 
     Columns are read as text first so that tokens such as ``NA`` in numeric
     columns become NULL instead of failing the parse, then cast with
-    ``try_cast`` to the declared types.
+    ``try_cast`` to the declared types.  Text cells are compared with the NA
+    tokens as they stand (a blank cell is not missing).
+
+    Quoted cells may hold newlines when ``multiline`` (by default: if the schema
+    has a text column).  Such a file is read by one task, so large free text
+    should come as many files or as Parquet.  A record with the wrong number of
+    cells fails the read.
     """
+    if multiline is None:
+        multiline = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = (spark.read.schema(text_schema).option("header", header).option("quote", '"')
                 .option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "")
-                .option("mode", "PERMISSIVE").csv(path))
+                .option("multiLine", multiline).option("ignoreLeadingWhiteSpace", False)
+                .option("ignoreTrailingWhiteSpace", False).option("lineSep", "\n").option("maxCharsPerColumn", -1)
+                .option("mode", "FAILFAST").csv(path))
     na = list(na_tokens)
     cols = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
-        cleaned = F.when(c.isNull() | F.trim(c).isin(na), F.lit(None)).otherwise(c)
         if isinstance(f.dataType, T.StringType):
-            cols.append(cleaned.alias(f.name))
-        elif isinstance(f.dataType, T.BooleanType):
+            cols.append(F.when(~c.isin(na), c).alias(f.name))
+            continue
+        cleaned = F.when(~F.trim(c).isin(na), c)
+        if isinstance(f.dataType, T.BooleanType):
             low = F.lower(F.trim(cleaned))
             cols.append(F.when(low == "true", True).when(low == "false", False).alias(f.name))
         else:
@@ -50,8 +61,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Se
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Processed table as header CSV, no index (S4, S5, S6); a directory of parts."""
-    df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').csv(path)
+    """Processed table as header CSV, no index (S4, S5, S6); a directory of parts.
+    Cells with quotes, commas or newlines are quoted; white space stays."""
+    (df.write.mode(mode).option("header", True).option("quote", '"').option("escape", '"').option("lineSep", "\n")
+       .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
     return path
 
 
@@ -80,33 +93,7 @@ def prediction_table(df: DataFrame, id_col: str, pred_col: str, id_name: str | N
     return df.select(F.col(id_col).alias(id_name or id_col), F.col(pred_col).alias(pred_name or pred_col))
 
 
-def ensure_parallelism(df: DataFrame) -> DataFrame:
-    """Spread a small input before heavy row-local work.
-
-    A scan of one unsplittable file (one row group) is a single task, so
-    expensive per-row work (regular expressions over long texts, array
-    functions) would run on one core.  When the optimizer's size estimate of
-    the input is below one ``spark.sql.files.maxPartitionBytes`` split per core,
-    the rows are round-robin repartitioned to the cluster's parallelism.  A
-    large input is left untouched, so at scale this adds no shuffle.
-    """
-    spark = df.sparkSession
-    target = spark.sparkContext.defaultParallelism
-    try:
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - no estimate: leave the plan alone
-        return df
-    split = _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes", "128m"))
-    if target > 1 and size < target * split:
-        return df.repartition(target)
-    return df
-
-
-def _bytes(text: str) -> int:
-    text = str(text).strip().lower()
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    for suffix in ("kb", "mb", "gb", "tb", "k", "m", "g", "t", "b"):
-        if text.endswith(suffix):
-            num = text[: -len(suffix)]
-            return int(float(num) * units.get(suffix[0], 1))
-    return int(text)
+def spread(df: DataFrame, partitions: int | None) -> DataFrame:
+    """Round-robin ``df`` over ``partitions`` tasks before heavy row-local work, for
+    inputs in one unsplittable file.  The caller decides; None leaves it alone."""
+    return df.repartition(partitions) if partitions else df

@@ -11,13 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources.io import read_table
+from ..sources.io import read_table, spread
 
 
 def T(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_table(spark, d, name)
 
 
+def wide(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """The small scales' tables are one unsplittable file each: deal their rows out
+    over the cores before heavy work on texts and arrays."""
+    return spread(df, spark.sparkContext.defaultParallelism) if df.inputFiles()[1:] == [] else df
+
+
 def O(spark, d) -> DataFrame:
     o = T(spark, d, "orders")
     k = F.col("o_orderkey")
@@ -42,8 +48,8 @@ def OC(spark, d) -> DataFrame:
 def OCN(spark, d) -> DataFrame:
     n = T(spark, d, "nation")
     r = T(spark, d, "region")
-    return (OC(spark, d).join(F.broadcast(n), F.col("c_nationkey") == F.col("n_nationkey"))
-                        .join(F.broadcast(r), F.col("n_regionkey") == F.col("r_regionkey")))
+    return (OC(spark, d).join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+                        .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
 
 
 def S(spark, d) -> DataFrame:

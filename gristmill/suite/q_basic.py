@@ -14,7 +14,7 @@ from ..functions.dates import season
 from ..operators.quantile import global_quantiles
 from ..session import ensure_checkpoint_dir
 from ..sources import io
-from .inputs import O, O_SQL, T as tbl
+from .inputs import O, O_SQL, T as tbl, wide
 from .registry import register
 
 R6 = 6
@@ -326,7 +326,7 @@ SELECT vec_id, round(list_avg(v), 6) AS mean, round(list_stddev_samp(v), 6) AS s
   round(list_max(v) - list_min(v), 6) AS vrange, round(list_sum(v), 6) AS vsum
 FROM E2""")
 def row_stats(spark, d):
-    e = io.ensure_parallelism(tbl(spark, d, "embeddings"))
+    e = wide(spark, tbl(spark, d, "embeddings"))
     v = F.transform("embedding", lambda x: F.when(x.cast("double") >= -0.2, x.cast("double")))
     e = e.select("vec_id", v.alias("v"))
     return e.select("vec_id", r(C.row_mean("v")).alias("mean"), r(C.row_std("v")).alias("std"),

@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import strings as S
 from ..operators.text import TfidfLong
-from ..sources.io import ensure_parallelism
-from .inputs import OC, OC_SQL, T as tbl
+from .inputs import OC, OC_SQL, T as tbl, wide
 from .registry import register
 
 WS_SQL = r"[\s\p{Z}]"
@@ -208,7 +207,7 @@ def _clean_sql(expr: str) -> str:
 @register("clean_text", sql=f"""
 SELECT item_id, {_clean_sql("coalesce(text, '') || '" + EXTRA_MATH + "'")} AS cleaned FROM benchmark""")
 def clean_text(spark, d):
-    b = ensure_parallelism(tbl(spark, d, "benchmark"))
+    b = wide(spark, tbl(spark, d, "benchmark"))
     return b.select("item_id", S.clean_math_text(F.concat(F.coalesce("text", F.lit("")), F.lit(EXTRA_MATH)))
                     .alias("cleaned"))
 
@@ -219,7 +218,7 @@ def clean_text(spark, d):
 SELECT doc_id, CAST(length(coalesce(text, '')) AS BIGINT) AS length,
        round(ln(1 + length(coalesce(text, ''))), 6) AS log_length FROM documents""")
 def text_length(spark, d):
-    doc = ensure_parallelism(tbl(spark, d, "documents"))
+    doc = wide(spark, tbl(spark, d, "documents"))
     n = S.text_length("text")
     return doc.select("doc_id", n.alias("length"), F.round(F.log1p(n), 6).alias("log_length"))
 
@@ -227,7 +226,7 @@ def text_length(spark, d):
 @register("word_count", sql=f"""
 SELECT doc_id, CAST(len({_tokens_sql("coalesce(text, '')")}) AS BIGINT) AS word_count FROM documents""")
 def word_count(spark, d):
-    return ensure_parallelism(tbl(spark, d, "documents")).select("doc_id", S.word_count("text").cast("long").alias("word_count"))
+    return wide(spark, tbl(spark, d, "documents")).select("doc_id", S.word_count("text").cast("long").alias("word_count"))
 
 
 # Topic patterns counted in the math-text features.
@@ -248,7 +247,7 @@ TOPIC_PATTERNS = {
     f"CAST(len(regexp_extract_all(lower(coalesce(text, '')), '{p}')) AS BIGINT) AS {n}"
     for n, p in TOPIC_PATTERNS.items()) + " FROM documents")
 def regex_counts(spark, d):
-    doc = ensure_parallelism(tbl(spark, d, "documents"))
+    doc = wide(spark, tbl(spark, d, "documents"))
     low = F.lower(F.coalesce("text", F.lit("")))
     return doc.select("doc_id", *[S.regex_count(low, p).alias(n) for n, p in TOPIC_PATTERNS.items()])
 
@@ -262,7 +261,7 @@ KEYWORDS = {"is_proof": ["prove", "show that"], "is_compute": ["compute", "calcu
     "CAST(" + " OR ".join(f"contains(lower(coalesce(text, '')), '{w}')" for w in ws) + f" AS INTEGER) AS {n}"
     for n, ws in KEYWORDS.items()) + " FROM documents")
 def keyword_flags(spark, d):
-    doc = ensure_parallelism(tbl(spark, d, "documents"))
+    doc = wide(spark, tbl(spark, d, "documents"))
     low = F.lower(F.coalesce("text", F.lit("")))
     return doc.select("doc_id", *[S.contains_any(low, ws).alias(n) for n, ws in KEYWORDS.items()])
 
@@ -289,6 +288,6 @@ w AS (SELECT item_id, term, tf * idf AS w FROM tf JOIN vocab USING (term)),
 norms AS (SELECT item_id, sqrt(sum(w * w)) AS norm FROM w GROUP BY item_id)
 SELECT item_id, term, round(w / norm, 6) AS weight FROM w JOIN norms USING (item_id)""")
 def tfidf_terms(spark, d):
-    b = ensure_parallelism(tbl(spark, d, "benchmark"))
+    b = wide(spark, tbl(spark, d, "benchmark"))
     model = TfidfLong("item_id", "text", 5000).fit(b.where(F.col("item_id") % 4 != 0))
     return model.transform(b).select("item_id", "term", F.round("weight", 6).alias("weight"))

@@ -163,14 +163,14 @@ def test_clock_and_calendar(spark):
 
 # ---- quantiles, modes, order -----------------------------------------------------------
 
-@pytest.mark.parametrize("max_exact", [10_000, 7])
-def test_group_quantiles_exact(spark, max_exact):
+@pytest.mark.parametrize("buckets", [1, 7, 64])
+def test_group_quantiles_exact(spark, buckets):
     rnd = random.Random(3)
     rows = [("hot", float(rnd.randint(0, 20))) for _ in range(300)] + \
            [("cold", float(rnd.random())) for _ in range(9)] + [("one", 5.0), ("nul", None)]
     df = spark.createDataFrame(rows, "g string, v double")
     probs = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = {r.g: r for r in group_quantiles(df, "v", probs, by=["g"], max_exact=max_exact, accuracy=50).collect()}
+    got = {r.g: r for r in group_quantiles(df, "v", probs, by=["g"], buckets=buckets).collect()}
     for g in ("hot", "cold", "one"):
         vals = np.array([v for k, v in rows if k == g and v is not None])
         for i, p in enumerate(probs):
@@ -178,10 +178,18 @@ def test_group_quantiles_exact(spark, max_exact):
     assert "nul" not in got  # no non-null value: no row
 
 
-def test_global_quantiles_banded(spark):
+def test_quantiles_do_not_depend_on_the_buckets(spark):
+    rnd = random.Random(5)
+    df = spark.createDataFrame([("hot" if i % 3 else "x", rnd.gauss(0, 1e5)) for i in range(700)], "g string, v double")
+    probs = [0.07, 1 / 3, 0.37, 0.999]
+    few, many = (sorted(group_quantiles(df, "v", probs, by=["g"], buckets=b).collect()) for b in (1, 90))
+    assert few == many  # bit for bit
+
+
+def test_global_quantiles_of_ties(spark):
     vals = [float(i % 37) for i in range(500)]
     df = spark.createDataFrame([(v,) for v in vals], "v double")
-    got = global_quantiles(df, "v", [0.25, 0.5, 0.75], max_exact=20, accuracy=30)
+    got = global_quantiles(df, "v", [0.25, 0.5, 0.75], buckets=30)
     assert got == [float(np.quantile(vals, p)) for p in (0.25, 0.5, 0.75)]
 
 
@@ -351,3 +359,91 @@ def test_attach_stats_matches_separate_stats(spark):
     sep = attach_group_stat(sep, ["h"], "y", "rate", "r", where=F.col("tr"))
     key = lambda r: (r.g, r.h, r.v)
     assert sorted((key(r), r.m, r.r) for r in fused.collect()) == sorted((key(r), r.m, r.r) for r in sep.collect())
+
+
+# ---- answers follow the data; nothing is cached ----------------------------------------
+
+def test_answers_follow_a_replaced_file_and_leave_no_cache(spark, tmp_path):
+    from gristmill.operators.encode import CategoryCoder, Factorizer
+    from gristmill.operators.score import mi_discrete
+    from gristmill.operators.validate import contiguous_folds, roc_auc, stratified_folds, stratified_holdout
+    path = str(tmp_path / "t")
+
+    def answers(n, flip):
+        rows = [(i, f"l{(i + 7 * flip) % 9}{flip}", i % 5, (i % 2) ^ flip, i / n) for i in range(n)]
+        spark.createDataFrame(rows, "k long, level string, h int, y int, p double").repartition(3) \
+            .write.mode("overwrite").parquet(path)
+        spark.catalog.refreshByPath(path)
+        df = spark.read.parquet(path)
+        return (contiguous_folds(df, "k", 4).count(), stratified_folds(df, "k", "y", 3).count(),
+                stratified_holdout(df, "y", "h", "k", 0.3).where("is_test = 1").count(), round(roc_auc(df, "y", "p"), 6),
+                Factorizer("level", "k", "c").fit(df).transform(df).where("c = -1").count(),
+                CategoryCoder("level", "c").fit(df).transform(df).where("c = -1").count(),
+                dense_rank_in_group(df, ["y"], "level", "r").where("r is null").count(),
+                round(mi_discrete(df, ["level"], "y").first()["mi"], 9),
+                global_quantiles(df, "p", [0.5])[0])
+
+    first, second = answers(100, 0), answers(250, 1)
+    assert first[:3] == (100, 100, 30) and second[:3] == (250, 250, 76)
+    assert second[4:7] == first[4:7] == (0, 0, 0)
+    assert first[3] < 0.6 and first[3] != second[3] and first[7] != second[7]
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) == 0
+
+
+def test_stratified_folds_with_many_classes(spark):
+    from gristmill.operators.validate import stratified_folds
+    df = spark.range(24_000).selectExpr("id", "cast(id % 20000 as string) c").unionByName(
+        spark.range(24_000, 24_010).selectExpr("id", "cast(null as string) c"))
+    out = stratified_folds(df, "id", "c", 4)
+    sizes = {r["fold"]: r["count"] for r in out.groupBy("fold").count().collect()}
+    assert sizes == {0: 6000, 1: 6000, 2: 6000, 3: 6000, None: 10}
+
+
+def test_one_hot_vector_takes_many_levels(spark):
+    from gristmill.operators.encode import OneHot, OneHotVector
+    df = spark.range(5_000).selectExpr("id", "concat('v', lpad(id, 5, '0')) c")
+    out = OneHotVector("c", "vec").fit(df).transform(df.unionByName(spark.sql("select -1L id, 'new' c union all select -2L, null")))
+    got = {r["id"]: r["vec"] for r in out.where("id in (0, 7, 4999, -1, -2)").collect()}
+    assert [list(got[i].indices) for i in (0, 7, 4999, -1, -2)] == [[0], [7], [4999], [], []]
+    assert len(got[0]) == 5000
+    assert len(OneHot("c").fit(df.where("id < 1200")).levels) == 1200
+
+
+def test_kmeans_keeps_rows_with_nulls(spark):
+    from gristmill.operators.cluster import cluster_with_distances, kmeans_label
+    rows = [(i, float(i % 2) * 10 + i / 100, None if i % 10 == 3 else float(i % 2)) for i in range(60)]
+    df = spark.createDataFrame(rows + [(60, float("nan"), 1.0)], "id int, a double, b double")
+    _, centres, out = kmeans_label(df, ["a", "b"], 2, restarts=3)
+    got = {r["id"]: r["Cluster"] for r in out.collect()}
+    assert len(got) == 61 and {i for i, c in got.items() if c is None} == {3, 13, 23, 33, 43, 53, 60}
+    assert len({got[i] for i in range(0, 60, 2)}) == 1 and got[0] != got[1] and len(centres) == 2
+    far = cluster_with_distances(df, ["a", "b"], 2, restarts=2).collect()
+    for r in far:
+        d = [r["Centroid0"], r["Centroid1"]]
+        assert (r["Cluster"] is None) == (None in d) and (r["Cluster"] is None or d[r["Cluster"]] == min(d))
+
+
+def test_csv_keeps_newlines_blanks_and_quotes(spark, tmp_path):
+    from pyspark.sql import types as T
+    from gristmill.sources import io
+    rows = [(1, "two\nlines"), (2, 'a "quoted", cell'), (3, "   "), (4, " lead and trail "), (5, "NA"), (6, None), (7, "\n"), (8, "é\\")]
+    path = io.write_csv(spark.createDataFrame(rows, "id int, t string"), str(tmp_path / "c"))
+    schema = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("t", T.StringType())])
+    got = {r["id"]: r["t"] for r in io.read_csv(spark, path, schema).collect()}
+    assert got == {**dict(rows), 5: None}
+
+
+def test_keys_with_null_parts_stay_apart(spark):
+    from gristmill.functions.strings import concat_keys
+    df = spark.createDataFrame([("a", None), (None, "a"), ("a", "b")], "x string, y string")
+    assert [r[0] for r in df.select(concat_keys("x", "y")).collect()] == ["a_nan", "nan_a", "a_b"]
+
+
+def test_population_scaler(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from gristmill.operators.scaling import PopulationScaler
+    df = VectorAssembler(inputCols=["a", "b"], outputCol="v").transform(
+        spark.createDataFrame([(1.0, 5.0), (2.0, 5.0), (6.0, 5.0)], "a double, b double"))
+    got = [list(r["z"]) for r in PopulationScaler("v", "z").fit(df).transform(df).collect()]
+    x = np.array([1.0, 2.0, 6.0])
+    assert np.allclose([g[0] for g in got], (x - x.mean()) / x.std()) and all(g[1] == 0 for g in got)
