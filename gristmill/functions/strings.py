@@ -129,6 +129,25 @@ def has_digit_run(c) -> Column:
     return padded.rlike("|".join(DIGIT_RUNS)).cast("int")
 
 
+def is_round_or_patterned(n) -> Column:
+    """A number of up to three digits that stands out: one digit, a round ten or
+    hundred, a three-digit run, or a last digit equal to the first (P12)."""
+    n = col_of(n)
+    hundreds, last = F.floor(n / 100), n % 10
+    one = (n >= 1) & (n <= 9)
+    round_ten = (n >= 10) & (n <= 90) & (last == 0)
+    round_hundred = (n >= 100) & (n <= 900) & (n % 100 == 0)
+    mirrored = (n >= 100) & (n <= 999) & (hundreds == last)
+    run = (n >= 100) & (n <= 999) & (has_digit_run(n) == 1)
+    return one | round_ten | round_hundred | mirrored | run
+
+
+def is_mirrored_letters(c, alphabet: str) -> Column:
+    """Three letters of ``alphabet``, the first equal to the third."""
+    c = col_of(c)
+    return c.rlike(f"^[{alphabet}]{{3}}$") & (F.substring(c, 1, 1) == F.substring(c, 3, 1))
+
+
 # Symbol -> word replacements of the math-text cleaner, in order.
 MATH_SYMBOLS = [
     ("$", " dollar_expr "), ("=", " equals "), ("<", " less than "), (">", " greater than "),
@@ -137,7 +156,7 @@ MATH_SYMBOLS = [
     ("∑", " sum_expr "), ("∫", " integral_expr "), ("∞", " infinity_expr "),
 ]
 
-# (pattern, replacement) steps after the symbol words; Java replacement syntax.
+# Fixed values: (pattern, replacement) steps after the symbol words; Java replacement syntax.
 MATH_CLEAN_STEPS = [
     (r"\\[a-zA-Z]+", " "),
     (r"\{([^}]*)\}", " $1 "),

@@ -123,16 +123,17 @@ def cross_validate(estimator, evaluator, df: DataFrame, fold_col: str, param_map
     return cv.fit(df.withColumn(fold_col, F.col(fold_col).cast("int")))
 
 
-def random_search(estimator, evaluator, df: DataFrame, fold_col: str, space: dict, trials: int = 4,
-                  seed: int = 0, refine: bool = True, parallelism: int = 2):
-    """Seeded random search in continuous bounds (V9), then one narrowing round
-    around the best candidate.  ``space`` maps a Param to (low, high, kind)."""
+def random_search(estimator, evaluator, df: DataFrame, fold_col: str, space: dict, trials: int = 5,
+                  seed: int = 0, refine: int = 15, parallelism: int = 2):
+    """Seeded random search in continuous bounds (V9), then one narrowing round of
+    ``refine`` trials around the best candidate.  ``space`` maps a Param to
+    (low, high, kind)."""
     import random
     rnd = random.Random(seed)
 
-    def draw(bounds):
+    def draw(bounds, count):
         maps = []
-        for _ in range(trials):
+        for _ in range(count):
             pm = {}
             for param, (lo, hi, kind) in bounds.items():
                 v = rnd.uniform(lo, hi)
@@ -140,7 +141,7 @@ def random_search(estimator, evaluator, df: DataFrame, fold_col: str, space: dic
             maps.append(pm)
         return maps
 
-    maps = draw(space)
+    maps = draw(space, trials)
     model = cross_validate(estimator, evaluator, df, fold_col, maps, parallelism)
     scores = list(model.avgMetrics)
     best_i = max(range(len(scores)), key=lambda i: scores[i]) if evaluator.isLargerBetter() else \
@@ -151,7 +152,7 @@ def random_search(estimator, evaluator, df: DataFrame, fold_col: str, space: dic
         for param, (lo, hi, kind) in space.items():
             half = (hi - lo) / 4
             narrow[param] = (max(lo, best[param] - half), min(hi, best[param] + half), kind)
-        maps2 = draw(narrow)
+        maps2 = draw(narrow, refine)
         model2 = cross_validate(estimator, evaluator, df, fold_col, maps2, parallelism)
         maps, scores = maps + maps2, scores + list(model2.avgMetrics)
         better = (lambda a, b: a > b) if evaluator.isLargerBetter() else (lambda a, b: a < b)

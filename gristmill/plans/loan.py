@@ -30,7 +30,8 @@ def _qcut(df, column, labels):
     return B.cut_right(_c(column), edges, labels, include_lowest=True)
 
 
-def preprocess(df: DataFrame, k: int = 10, restarts: int = 5, select: bool = True, threshold: float = 0.0) -> DataFrame:
+def features(df: DataFrame) -> DataFrame:
+    """The deterministic features, before clusters."""
     df = fill_constant(df, {"Years in current job": "None", "Purpose": "None", "Term": "None",
                             "Months since last delinquent": 0.0, "Bankruptcies": 0.0})
     df = df.withColumn("Credit Default", F.coalesce(_c("Credit Default"), F.lit(0)))
@@ -62,8 +63,11 @@ def preprocess(df: DataFrame, k: int = 10, restarts: int = 5, select: bool = Tru
     df = GroupImputer("Credit Score", [HOME], "median").fit(df).transform(df)
     df = df.withColumns({"Log Credit Score": C.log1p(_c("Credit Score")),
                          "Debt Score Interaction": _c("Dept Income Ratio") * _c("Credit Score")})
-    df = df.withColumn("Credit Score Group", _qcut(df, "Credit Score", ["Bad", "Average", "Good", "Excellent"]))
-    df = cut_lineage(df)
+    return df.withColumn("Credit Score Group", _qcut(df, "Credit Score", ["Bad", "Average", "Good", "Excellent"]))
+
+
+def preprocess(df: DataFrame, k: int = 10, restarts: int = 50, select: bool = True, threshold: float = 0.0) -> DataFrame:
+    df = cut_lineage(features(df))
     feats = ["Log Monthly Income", "Log Credit Score", "Debt Score Interaction", "Log Current Loan Amount",
              "Log Maximum Open Credit"]
     df = cluster_with_distances(df, feats, k=k, restarts=restarts)

@@ -21,7 +21,8 @@ DROPPED = ["age_bin", "mean_price_by_age_bin", "month_of_experience", "years_of_
            "total_subject_binary"]
 
 
-def preprocess(df: DataFrame, k: int = 10, restarts: int = 5, select: bool = True, threshold: float = 0.0) -> DataFrame:
+def features(df: DataFrame) -> DataFrame:
+    """The deterministic features, before clusters."""
     df = df.withColumn("mean_exam_points", F.coalesce(F.col("mean_exam_points"), F.lit(0.0)))
     df = C.cast_numeric(df)
     df = df.withColumn("log_age", C.ln("age"))
@@ -40,8 +41,11 @@ def preprocess(df: DataFrame, k: int = 10, restarts: int = 5, select: bool = Tru
                          "total_subject": sum((F.col(s) for s in SUBJECTS), F.lit(0.0)),
                          "total_subject_binary": C.bitpack(list(reversed(SUBJECTS)))})
     df = attach_group_stat(df, ["total_subject_binary"], "lesson_price", "mean", "mean_price_by_subject_binary")
-    df = cut_lineage(df.withColumn("lesson_subject_binary",
-                                   F.col("lesson_price") / F.col("mean_price_by_subject_binary")))
+    return df.withColumn("lesson_subject_binary", F.col("lesson_price") / F.col("mean_price_by_subject_binary"))
+
+
+def preprocess(df: DataFrame, k: int = 10, restarts: int = 50, select: bool = True, threshold: float = 0.0) -> DataFrame:
+    df = cut_lineage(features(df))
     # the label only: this domain keeps no centroid distances
     df = cluster_with_distances(df, CLUSTER_FEATURES, k=k, restarts=restarts, label="cluster")
     df = df.drop(*[c for c in df.columns if c.startswith("Centroid")])

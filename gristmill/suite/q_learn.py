@@ -90,7 +90,7 @@ def _emb_columns(spark, d):
 @register("kmeans_label")
 def q_kmeans_label(spark, d):
     e = _emb_columns(spark, d)
-    _, _, out = kmeans_label(e, [f"e{i}" for i in range(N_DIMS)], k=10, restarts=2, seed=0, max_iter=10)
+    _, _, out = kmeans_label(e, [f"e{i}" for i in range(N_DIMS)], k=10, seed=0)
     return out.select("vec_id", F.col("Cluster").cast("int").alias("cluster"))
 
 
@@ -122,14 +122,29 @@ def q_pca_project(spark, d):
     return out.select("vec_id", *[F.round(arr[i], 6).alias(f"pc{i + 1}") for i in range(3)])
 
 
-@register("feature_vector")
+_ONE_HOT = ", ".join(f"CAST(a.c = {i} AS INTEGER) AS f{2 + i}" for i in range(5)) + ", " + ", ".join(
+    f"CAST(b.c = {i} AS INTEGER) AS f{7 + i}" for i in range(5))
+
+
+@register("feature_vector", sql=f"""
+WITH {OC_SQL},
+m AS (SELECT avg(price_n) AS mp, avg(c_acctbal) AS ma FROM OC WHERE is_train),
+f AS (SELECT o_orderkey, is_train, o_orderpriority, c_mktsegment, coalesce(price_n, mp) AS p, coalesce(c_acctbal, ma) AS q FROM OC CROSS JOIN m),
+s AS (SELECT avg(p) AS pm, stddev_pop(p) AS ps, avg(q) AS qm, stddev_pop(q) AS qs FROM f WHERE is_train),
+a AS (SELECT o_orderpriority, row_number() OVER (ORDER BY count(*) DESC, o_orderpriority) - 1 AS c FROM OC WHERE is_train GROUP BY 1),
+b AS (SELECT c_mktsegment, row_number() OVER (ORDER BY count(*) DESC, c_mktsegment) - 1 AS c FROM OC WHERE is_train GROUP BY 1)
+SELECT o_orderkey, round((p - pm) / ps, 6) AS f0, round((q - qm) / qs, 6) AS f1, {_ONE_HOT}
+FROM f CROSS JOIN s JOIN a USING (o_orderpriority) JOIN b USING (c_mktsegment)""")
 def feature_vector(spark, d):
+    """Mean fill, population z-score and one-hot (levels by frequency) as one vector."""
     from pyspark.ml import Pipeline
     from pyspark.ml.functions import vector_to_array
     oc = OC(spark, d)
     stages = M.feature_assembler(["price_n", "c_acctbal"], ["o_orderpriority", "c_mktsegment"])
     model = Pipeline(stages=stages).fit(oc.where(F.col("is_train")))
-    return model.transform(oc).select("o_orderkey", vector_to_array("features").alias("features"))
+    x = model.transform(oc).select("o_orderkey", vector_to_array("features").alias("f"))
+    return x.select("o_orderkey", *[F.round(F.col("f")[i], 6).alias(f"f{i}") for i in range(2)],
+                    *[F.col("f")[i].cast("int").alias(f"f{i}") for i in range(2, 12)])
 
 
 # ---- V1-V3 -----------------------------------------------------------------------------
@@ -404,7 +419,7 @@ def random_search(spark, d):
     est = M.gbt_classifier("label_cls", max_iter=3)
     ev = BinaryClassificationEvaluator(labelCol="label_cls")
     space = {est.maxDepth: (2, 4, "int"), est.stepSize: (0.05, 0.3, "float")}
-    _, trials = V.random_search(est, ev, data, "fold", space, trials=2, seed=0, parallelism=2)
+    _, trials = V.random_search(est, ev, data, "fold", space, seed=0, parallelism=8)
     rows = [(int(pm[est.maxDepth]), float(pm[est.stepSize]), float(s)) for pm, s in trials]
     return spark.createDataFrame(rows, "max_depth int, step_size double, auc double")
 
@@ -431,7 +446,7 @@ def impute_model_rf(spark, d):
     from ..operators.impute import ModelImputer
     p = tbl(spark, d, "part").withColumn(
         "p_size", F.when(F.col("p_partkey") % 9 == 0, F.lit(None).cast("int")).otherwise(F.col("p_size")))
-    model = ModelImputer("p_size", ["p_brand", "p_type"], ["p_retailprice"], num_trees=10).fit(p)
+    model = ModelImputer("p_size", ["p_brand", "p_type"], ["p_retailprice"]).fit(p)
     return model.transform(p).select("p_partkey", "p_size")
 
 

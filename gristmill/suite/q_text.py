@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import strings as S
 from ..operators.text import TfidfLong
+from ..plans import math_prob
 from .inputs import OC, OC_SQL, T as tbl, wide
 from .registry import register
 
@@ -229,18 +230,7 @@ def word_count(spark, d):
     return wide(spark, tbl(spark, d, "documents")).select("doc_id", S.word_count("text").cast("long").alias("word_count"))
 
 
-# Topic patterns counted in the math-text features.
-TOPIC_PATTERNS = {
-    "num_count": r"\p{Nd}+",
-    "symbol_count": r"[\p{Nd}+\-*/=()<>^√π÷%.]",
-    "equation_count": r"equals|equation|formula|solve for",
-    "function_count": r"function|f\(x\)|derivative|integral",
-    "geometry_count": r"angle|triangle|circle|area|volume",
-    "algebra_count": r"variable|polynomial|matrix|vector",
-    "calculus_count": r"derivative|integral|limit|differentiation",
-    "prob_count": r"probability|random|random variable",
-    "topo_count": r"ring|abelian|nonabelian",
-}
+TOPIC_PATTERNS = {"num_count": r"\p{Nd}+", "symbol_count": math_prob.SYMBOLS, **math_prob.TOPICS}
 
 
 @register("regex_counts", sql="SELECT doc_id, " + ", ".join(
@@ -252,9 +242,7 @@ def regex_counts(spark, d):
     return doc.select("doc_id", *[S.regex_count(low, p).alias(n) for n, p in TOPIC_PATTERNS.items()])
 
 
-# Keyword groups of the math-text flags.
-KEYWORDS = {"is_proof": ["prove", "show that"], "is_compute": ["compute", "calculate"],
-            "is_find": ["find", "determine"], "is_matrix": ["matrix", "matrices"]}
+KEYWORDS = math_prob.FLAGS
 
 
 @register("keyword_flags", sql="SELECT doc_id, " + ", ".join(

@@ -44,7 +44,7 @@ def test_rows_only_queries_run(spark, name):
 
 
 def test_every_query_has_oracle_or_is_a_fit():
-    fits = {"kmeans_label", "pca_project", "feature_vector", "fit_gbt_regressor", "fit_gbt_classifier",
+    fits = {"kmeans_label", "pca_project", "fit_gbt_regressor", "fit_gbt_classifier",
             "fit_multiclass", "two_stage_classify", "pseudo_label", "cv_score", "grid_search",
             "random_search", "fit_apply_model", "impute_model_rf"}
     assert set(QUERIES) - set(ORACLE) == fits
