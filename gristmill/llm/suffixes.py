@@ -17,9 +17,10 @@ strings of that run lie in its context, and all share the bytes of its
    and each bucket sorts them by multikey quicksort over 8-byte tokens.  Longest
    common prefixes to the right, and to the left of the anchor, give for each
    offset the classes of equal strings.
-3. The groups of equal leads at a bucket's ends may go on in its neighbours.
-   Their strings are compared across the boundaries by 128-bit hashes; a hot
-   group that spans many buckets is treated so as a whole, spread over all tasks.
+3. A group of equal leads lies in one bucket as long as it has at most
+   ``bucket_rows`` contexts.  A larger one is split by the bytes behind the lead;
+   its strings are compared across the bucket boundaries by 128-bit hashes, so
+   the result is the same.
 
 Equal whole texts are recognised by their digest first: all their bytes repeat
 (if there are at least ``length``), and one of them stands for all from then on.
@@ -103,9 +104,9 @@ def _emit_contexts(length: int):
     def emit(batches):
         for batch in batches:
             for digest, text, wanted in zip(batch["digest"], batch["text"], batch["wanted"]):
-                rows = [(digest, w["pos"], w["far"], w["near"], w["shared"], text[w["pos"]:w["pos"] - w["near"] + length],
+                rows = [(digest, w["pos"], w["far"], w["near"], w["shared"], w["hot"], text[w["pos"]:w["pos"] - w["near"] + length],
                          text[w["pos"] - w["far"]:w["pos"]][::-1]) for w in wanted]
-                yield pd.DataFrame(rows, columns=["digest", "pos", "far", "near", "shared", "right", "left"])
+                yield pd.DataFrame(rows, columns=["digest", "pos", "far", "near", "shared", "hot", "right", "left"])
     return emit
 
 
@@ -189,8 +190,7 @@ def _runs(marks: np.ndarray):
 
 
 def _sort_bucket(length: int):
-    """One bucket of suffixes to spans to remove, and the strings of its end groups."""
-    lead_size = length - WINDOW + 1
+    """One bucket of suffixes to spans to remove, and the strings of its split groups."""
     columns = ["digest", "start", "stop", "h1", "h2", "shared"]
 
     def sort(batches):
@@ -206,10 +206,8 @@ def _sort_bucket(length: int):
         out = [(digest[i], pos[i] - b, pos[i] - a + length, None, None, None)
                for i, a, b in _runs(marks) if not shared[i]]
         yield pd.DataFrame(out, columns=columns)
-        leads = [r[:lead_size] for r in right]
-        ends = {min(leads), max(leads)}
-        for i, lead in enumerate(leads):
-            if lead in ends:
+        for i, split in enumerate(rows["hot"].tolist()):
+            if split:
                 whole = left[i][::-1] + right[i]
                 out = []
                 for offset in range(int(near[i]), int(far[i]) + 1):
@@ -220,21 +218,31 @@ def _sort_bucket(length: int):
     return sort
 
 
-def _cut(text: bytes, spans) -> tuple[int, int, bytes]:
-    """(bytes removed, maximal runs, what is left)."""
-    kept, removed, runs = [], 0, 0
-    at = -1  # end of the last removed run
-    for start, stop in sorted((s["start"], s["stop"]) for s in spans):
-        if start > at:
-            kept.append(text[max(at, 0):start])
-            runs += 1
-            removed += stop - start
-            at = stop
-        elif stop > at:
-            removed += stop - at
-            at = stop
-    kept.append(text[max(at, 0):])
-    return removed, runs, b"".join(kept)
+def _merged(rows: pd.Series) -> pd.Series:
+    """Overlapping and touching spans of each row become one."""
+    out = []
+    for spans in rows:
+        runs = []
+        for start, stop in sorted((s["start"], s["stop"]) for s in spans):
+            if runs and start <= runs[-1][1]:
+                runs[-1][1] = max(runs[-1][1], stop)
+            else:
+                runs.append([start, stop])
+        out.append([{"start": a, "stop": b} for a, b in runs])
+    return pd.Series(out, dtype=object)
+
+
+def _cut(text: bytes | None, spans) -> tuple[int, int, bytes | None]:
+    """(bytes removed, runs, what is left) of a text and its merged spans."""
+    if text is None:
+        return 0, 0, None
+    at, kept = 0, []
+    for s in spans:
+        kept.append(text[at:s["start"]])
+        at = s["stop"]
+    kept.append(text[at:])
+    left = b"".join(kept)
+    return len(text) - len(left), len(spans), left
 
 
 def _small(df: DataFrame, items: str, limit: int) -> DataFrame:
@@ -243,7 +251,8 @@ def _small(df: DataFrame, items: str, limit: int) -> DataFrame:
     return F.broadcast(df) if max(size["rows"], size["items"] or 0) <= limit else df
 
 
-def repeated_spans(keyed: DataFrame, copies: DataFrame, scratch: Scratch, length: int, broadcast_rows: int) -> DataFrame:
+def repeated_spans(keyed: DataFrame, copies: DataFrame, scratch: Scratch, length: int, broadcast_rows: int,
+                   bucket_rows: int) -> DataFrame:
     """(digest, start, stop) of removed strings, for texts that occur once as a whole.
 
     ``keyed``: (digest, id, text as binary); ``copies``: (digest, n, first_id)."""
@@ -265,16 +274,22 @@ def repeated_spans(keyed: DataFrame, copies: DataFrame, scratch: Scratch, length
     whole = (matched.join(shared, (F.col("lead") == F.col("of")) & (F.col("context") == F.col("with")))
              .select("digest", (F.col("pos") - F.col("far")).alias("start"), (F.col("pos") - F.col("near") + length).alias("stop")))
 
-    suffixes = contexts.where("several").select("o.*", "shared")
+    several = contexts.where("several")
+    hot = scratch.table(several.groupBy(F.col("lead").alias("of")).agg(F.count("*").alias("n"))
+                        .where(F.col("n") > bucket_rows).select("of"), "hot")
+    suffixes = (several.join(hot, F.col("lead") == F.col("of"), "left")
+                .select("o.*", "shared", F.col("of").isNotNull().alias("hot")))
     wanted = scratch.table(suffixes.groupBy("digest").agg(
-        F.collect_list(F.struct("pos", "far", "near", "shared")).alias("wanted"))
+        F.collect_list(F.struct("pos", "far", "near", "shared", "hot")).alias("wanted"))
         .join(copies.select(F.col("digest").alias("c_digest"), "first_id"), F.col("digest") == F.col("c_digest"))
         .select(F.col("digest").alias("of"), "first_id", "wanted"), "wanted")
     text_rows = keyed.join(_small(wanted, "wanted", broadcast_rows), (F.col("digest") == F.col("of")) & F.col("id").eqNullSafe(F.col("first_id")))
     suffixes = scratch.table(text_rows.select("digest", "text", "wanted").mapInPandas(
-        _emit_contexts(length), "digest binary, pos int, far int, near int, shared boolean, right binary, left binary"), "suffixes")
-    buckets = max(shuffle_partitions(spark), -(-suffixes.count() // 20_000))
-    sorted_ = scratch.table(suffixes.repartitionByRange(buckets, "right", "left", "digest", "pos").mapInPandas(
+        _emit_contexts(length), "digest binary, pos int, far int, near int, shared boolean, hot boolean, right binary, left binary"), "suffixes")
+    buckets = max(shuffle_partitions(spark), -(-suffixes.count() // bucket_rows))
+    leading = F.substring("right", 1, length - WINDOW + 1)
+    split = [F.when(F.col("hot"), F.col(c)) for c in ("right", "left")]
+    sorted_ = scratch.table(suffixes.repartitionByRange(buckets, leading, *split).mapInPandas(
         _sort_bucket(length), "digest binary, start int, stop int, h1 long, h2 long, shared boolean"), "sorted")
     ends = sorted_.where(F.col("h1").isNotNull())
     start = F.xxhash64("digest", "start")
@@ -287,7 +302,7 @@ def repeated_spans(keyed: DataFrame, copies: DataFrame, scratch: Scratch, length
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 400,
-                   broadcast_rows: int = 1_000_000) -> DataFrame:
+                   broadcast_rows: int = 1_000_000, bucket_rows: int = 20_000) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, kept) per row; kept is the remaining bytes."""
     if length <= WINDOW + _GRAM:
         raise ValueError(f"length must be over {WINDOW + _GRAM}")
@@ -295,10 +310,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     text = text_or_empty(text_col).cast("binary")
     keyed = docs.select(F.col(id_col).alias("id"), F.unhex(F.md5(text)).alias("digest"), text.alias("text"))
     copies = scratch.table(keyed.groupBy("digest").agg(F.count("*").alias("n"), F.min("id").alias("first_id")), "copies")
-    spans = repeated_spans(keyed, copies, scratch, length, broadcast_rows)
+    spans = repeated_spans(keyed, copies, scratch, length, broadcast_rows, bucket_rows)
+    merged = F.pandas_udf(_merged, "array<struct<start:int,stop:int>>")
     repeated = copies.where("n > 1").select(F.col("digest").alias("again"))
-    spans = (spans.distinct().groupBy("digest").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
-             .join(repeated, F.col("digest") == F.col("again"), "left_anti"))
+    spans = (spans.groupBy("digest").agg(F.collect_set(F.struct("start", "stop")).alias("all"))
+             .select("digest", merged("all").alias("spans")).join(repeated, F.col("digest") == F.col("again"), "left_anti"))
     cuts = repeated.select(F.col("again").alias("of"), F.lit(True).alias("copy"),
                            F.lit(None).cast("array<struct<start:int,stop:int>>").alias("spans"))
     cuts = scratch.table(cuts.unionByName(spans.select(F.col("digest").alias("of"), F.lit(False).alias("copy"), "spans")), "cuts")
@@ -309,13 +325,16 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     joined = keyed.join(_small(cuts, "spans", broadcast_rows), F.col("digest") == F.col("of"), "left")
     size = F.length("text").cast("long")
+    touched = F.col("spans").isNotNull()
     gone = F.coalesce(F.col("copy"), F.lit(False)) & (size >= length)
-    partly = joined.where(F.col("spans").isNotNull()).select("id", size.alias("n_bytes"), cut("text", "spans").alias("c"))
-    rest = joined.where(F.col("spans").isNull())
-    return rest.select(
-        F.col("id").alias(id_col), size.alias("n_bytes"), F.when(gone, size).otherwise(F.lit(0)).cast("long").alias("n_removed"),
-        gone.cast("long").alias("n_spans"), F.when(gone, F.lit("").cast("binary")).otherwise(F.col("text")).alias("kept"),
-    ).unionByName(partly.select(F.col("id").alias(id_col), "n_bytes", "c.*"))
+    done = joined.select("id", "text", size.alias("n_bytes"), touched.alias("touched"), gone.alias("gone"),
+                         cut(F.when(touched, F.col("text")), "spans").alias("c"))  # only touched texts go to Python
+    return done.select(
+        F.col("id").alias(id_col), "n_bytes",
+        F.when(F.col("gone"), F.col("n_bytes")).otherwise(F.col("c.n_removed")).alias("n_removed"),
+        F.when(F.col("gone"), F.lit(1)).otherwise(F.col("c.n_spans")).cast("long").alias("n_spans"),
+        F.when(F.col("gone"), F.lit("").cast("binary")).when(F.col("touched"), F.col("c.kept"))
+         .otherwise(F.col("text")).alias("kept"))
 
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:

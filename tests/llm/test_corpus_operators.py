@@ -354,8 +354,8 @@ def brute_cut(texts, length):
     return out
 
 
-@pytest.mark.parametrize("broadcast_rows", [1_000_000, 0])
-def test_suffix_dedup_exact(spark, broadcast_rows):
+@pytest.mark.parametrize("broadcast_rows,bucket_rows", [(1_000_000, 20_000), (0, 3)])
+def test_suffix_dedup_exact(spark, broadcast_rows, bucket_rows):
     rng = random.Random(7)
     base = "".join(rng.choice("abcdefg hij") for _ in range(1600))
 
@@ -371,7 +371,8 @@ def test_suffix_dedup_exact(spark, broadcast_rows):
         texts.append("".join(rng.choice("klmnop") for _ in range(rng.randrange(300))) + base[a:a + rng.randrange(380, 600)]
                      + "".join(rng.choice("klmnopé") for _ in range(rng.randrange(300))))
     rows = [(i % 40 if i != 3 else None, t) for i, t in enumerate(texts)] + [(50, texts[37])]
-    got = suffixes.remove_repeats(docs_frame(spark, rows).repartition(3), broadcast_rows=broadcast_rows).collect()
+    got = suffixes.remove_repeats(docs_frame(spark, rows).repartition(3), broadcast_rows=broadcast_rows,
+                                  bucket_rows=bucket_rows).collect()
     cut = brute_cut([t for _, t in rows], 400)
     assert Counter((r["doc_id"], r["n_bytes"], r["n_removed"], r["n_spans"], bytes(r["kept"])) for r in got) == Counter(
         (d, *c) for (d, _), c in zip(rows, cut))
