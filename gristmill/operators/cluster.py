@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +12,9 @@ from ..core import col_of, cut_lineage
 from .encode import Standardizer
 
 
+PARALLEL_RESTARTS = 8
+
+
 def kmeans_label(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 50, seed: int = 0,
                  standardize: bool = True, label: str = "Cluster", max_iter: int = 300):
     """Z-score the columns (sample std), fit ``restarts`` k-means models with
@@ -37,13 +41,14 @@ def _clustered(df, columns, k, restarts, seed, standardize, label, max_iter):
     complete = df.select(F.array(*scaled).alias("__v")).where(F.forall("__v", lambda x: x.isNotNull()))
     # iterative fits read the narrow, written copy of the complete rows
     vectors = cut_lineage(complete.select(array_to_vector("__v").alias("__kv")))
-    best = None
-    for r in range(restarts):
+
+    def fit(r: int):
         model = KMeans(k=k, seed=seed + r, featuresCol="__kv", predictionCol=label, maxIter=max_iter).fit(vectors)
-        cost = model.summary.trainingCost
-        if best is None or cost < best[0]:
-            best = (cost, model)
-    model = best[1]
+        return model.summary.trainingCost, r, model
+
+    # a restart is a chain of small jobs; several chains share the cluster
+    with ThreadPool(PARALLEL_RESTARTS) as pool:
+        _, _, model = min(pool.map(fit, range(restarts), chunksize=1), key=lambda x: x[:2])
     centres = [list(map(float, c)) for c in model.clusterCenters()]
     distances = list(centroid_distances(scaled, centres).values())
     near = F.array(*distances)

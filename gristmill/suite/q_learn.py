@@ -90,7 +90,7 @@ def _emb_columns(spark, d):
 @register("kmeans_label")
 def q_kmeans_label(spark, d):
     e = _emb_columns(spark, d)
-    _, _, out = kmeans_label(e, [f"e{i}" for i in range(N_DIMS)], k=10, seed=0)
+    _, _, out = kmeans_label(e, [f"e{i}" for i in range(N_DIMS)], k=10, restarts=10, seed=0)
     return out.select("vec_id", F.col("Cluster").cast("int").alias("cluster"))
 
 
