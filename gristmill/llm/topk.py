@@ -84,7 +84,11 @@ def search_block(q_ids, q, q_norm, floor, c_ids, c, c_norm, k: int):
                 feasible = norms >= (floor[i] / q_norm[i]) * (1 - _SLACK)
                 for f in np.argsort(-np.abs(u))[:_FOCUS]:
                     reach = np.sqrt(max(0.0, (1 - t * t) * (1 - u[f] * u[f]))) + 1e-7
-                    feasible &= (unit[:, f] >= u[f] * t - reach) & (unit[:, f] <= u[f] * t + reach)
+                    # within the threshold's angle of the axis itself, the interval reaches its end
+                    if u[f] < t:
+                        feasible &= unit[:, f] <= u[f] * t + reach
+                    if u[f] > -t:
+                        feasible &= unit[:, f] >= u[f] * t - reach
                 at = np.flatnonzero(feasible)
                 kept.append((i, at, run[at] @ q[i]))
         for i, at, scores in kept:

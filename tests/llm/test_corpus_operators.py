@@ -249,6 +249,25 @@ def test_topk_prunes_by_coordinate_without_loss():
         assert [(int(a), -b) for a, b in zip(*found[i])] == [(int(j), s) for s, j in best]
 
 
+@pytest.mark.parametrize("noise", [0, 10, 80, 300])
+def test_topk_keeps_candidates_along_a_dominant_coordinate(noise):
+    rng = np.random.default_rng(6)
+    axes = np.concatenate([np.eye(16)[:3], -np.eye(16)[:3]])
+    # the longer a candidate, the farther it lies from its axis; the best scores are in later runs
+    cosine = rng.uniform(0.8, 1, 6000)
+    side = np.concatenate([np.zeros((6000, 3)), rng.normal(size=(6000, 13))], axis=1)
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    c = cosine[:, None] * axes[rng.integers(0, 6, 6000)] + np.sqrt(1 - cosine ** 2)[:, None] * side
+    c = np.floor(c * (2000 - 800 * cosine + rng.normal(size=6000) * 20)[:, None])
+    q = np.floor(axes * 1000 + rng.normal(size=(6, 16)) * noise)
+    norm = np.linalg.norm
+    ids = np.arange(6000)
+    found = topk.search_block(np.arange(6) + 9000, q, norm(q, axis=1), np.full(6, -np.inf), ids, c, norm(c, axis=1), 10)
+    for i in range(6):
+        best = sorted(zip(-(c @ q[i]), ids))[:10]
+        assert [(int(a), -b) for a, b in zip(*found[i])] == [(int(j), s) for s, j in best]
+
+
 # Decontamination
 
 def brute_items(docs, items, k=5):
