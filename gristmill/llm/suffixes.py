@@ -59,6 +59,7 @@ def _signed(h: int) -> int:
 def anchors(text: bytes, length: int):
     """(anchor position, greatest and least offset of the starts that choose it)."""
     last = len(text) - length
+    held = None  # the anchor chosen at a block's end may go on in the next block
     for lo in range(0, last + 1, _BLOCK):
         hi = min(last, lo + _BLOCK - 1)
         part = np.frombuffer(text, np.uint8, hi - lo + WINDOW + _GRAM - 1, lo)
@@ -75,7 +76,15 @@ def anchors(text: bytes, length: int):
         first = np.flatnonzero(np.diff(chosen, prepend=-1))
         final = np.append(first[1:], len(chosen)) - 1
         spot = chosen[first]
-        yield from zip((spot + lo).tolist(), (spot - first).tolist(), (spot - final).tolist())
+        found = list(zip((spot + lo).tolist(), (spot - first).tolist(), (spot - final).tolist()))
+        if held and held[0] == found[0][0]:
+            found[0] = (held[0], held[1], found[0][2])
+        elif held:
+            yield held
+        held = found.pop()
+        yield from found
+    if held:
+        yield held
 
 
 def _emit_anchors(length: int):

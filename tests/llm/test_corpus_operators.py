@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 import tiktoken
@@ -397,6 +398,47 @@ def test_suffix_dedup_exact(spark, broadcast_rows, bucket_rows):
         (d, *c) for (d, _), c in zip(rows, cut))
 
 
+def test_suffix_anchors_at_block_edges(monkeypatch):
+    rng = random.Random(3)
+    passage = bytes(rng.choice(b"abcdefgh") for _ in range(500))
+    texts = [bytes(rng.choice(b"ijklmnop") for _ in range(n)) + passage + bytes(rng.choice(b"qrstuvwx") for _ in range(900))
+             for n in (0, 130, 260, 700, 1001)] + [b"a" * 1500, b"ab" * 700, b"x" * 400]
+    whole = [list(suffixes.anchors(t, 400)) for t in texts]
+    for block in (1, 7, 100, 256, 300, 1024):
+        monkeypatch.setattr(suffixes, "_BLOCK", block)
+        for text, expected in zip(texts, whole):
+            got = list(suffixes.anchors(text, 400))
+            assert got == expected
+            assert len({pos for pos, _, _ in got}) == len(got)
+            assert sorted(pos - k for pos, far, near in got for k in range(near, far + 1)) == list(range(len(text) - 399))
+
+
+def test_suffix_dedup_passages_across_block_edges(monkeypatch):
+    # one task's steps in this process, as executors do not see a changed block size
+    monkeypatch.setattr(suffixes, "_BLOCK", 300)
+    rng = random.Random(5)
+    passage = bytes(rng.choice(b"abcdefgh") for _ in range(520))
+    texts = [bytes(rng.choice(b"ijklmnop") for _ in range(n)) + passage + bytes(rng.choice(b"qrstuvwx") for _ in range(300))
+             for n in range(0, 600, 29)]
+    rows = pd.concat(pd.DataFrame([(bytes([i]), pos, far, near, False, False, t[pos:pos - near + 400], t[pos - far:pos][::-1])
+                                   for pos, far, near in suffixes.anchors(t, 400)],
+                                  columns=["digest", "pos", "far", "near", "shared", "hot", "right", "left"])
+                     for i, t in enumerate(texts))
+    covered = defaultdict(set)
+    for part in suffixes._sort_bucket(400)([rows]):
+        for digest, start, stop in zip(part["digest"], part["start"], part["stop"]):
+            covered[digest[0]].update(range(start, stop))
+    starts = defaultdict(list)
+    for i, t in enumerate(texts):
+        for at in range(len(t) - 399):
+            starts[t[at:at + 400]].append((i, at))
+    expected = defaultdict(set)
+    for places in starts.values():
+        for i, at in places if len(places) > 1 else ():
+            expected[i].update(range(at, at + 400))
+    assert covered == expected and len(expected) == len(texts)
+
+
 def test_suffix_dedup_empty(spark):
     assert suffixes.remove_repeats(docs_frame(spark, [])).count() == 0
 
