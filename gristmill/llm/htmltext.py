@@ -8,8 +8,10 @@ support it and, for tags, if it has several tokens or stands on most pages;
 valid classes nest by their paths into the host's template.  The rest of a page
 fills the template's slots: a text belongs to the slot of its deepest template
 path.  Slots of menus, headers, footers, sidebars, notices, adverts, forms,
-scripts and comments are left out, by the elements on their path; if the
-page has an article (or main) slot, that alone is kept; else texts that are
+scripts and comments are left out, by the elements on their path (whole
+class words and ids, no ids of headings, never html, body, article or main
+themselves; an element around the article leaves it out only if the page has
+another); if the page has an article (or main) slot, that alone is kept; else texts that are
 template tokens themselves (the same on most pages of the host) go too.
 
 Occurrence vectors are compared by a hash that is summed (xor) over pages, so a
@@ -58,31 +60,39 @@ SCOPES = frozenset("article main section div td th ul ol table body html nav hea
 
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|math|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
                    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<""", re.S | re.I)
-ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
-WORD = re.compile(r"[a-z]+")
+ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+#: Elements that are never left out by themselves, and those whose id names a title, not a role.
+WHOLE = frozenset("html body article main".split())
+TITLES = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
-def _names(attributes: str) -> tuple[str, bool]:
+def _names(element: str, attributes: str) -> tuple[str, bool]:
     """An element's class and id for its path; whether they mark it as no main text."""
-    if not attributes or "=" not in attributes and "hidden" not in attributes:
+    if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
         return "", False
-    label, chrome = "", False
+    label, chrome, seen = "", False, set()
     for name, a, b, c in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), (a or b or c).lower()
+        if name in seen:
+            continue
+        seen.add(name)
         if name in ("class", "id"):
-            label += ("." if name == "class" else "#") + " ".join(value.split())
-            chrome = chrome or not CHROME_WORDS.isdisjoint(WORD.findall(value))
+            words = value.split()
+            label += ("." if name == "class" else "#") + " ".join(words)
+            chrome = chrome or not (name == "id" and element in TITLES) and not CHROME_WORDS.isdisjoint(words)
         elif name == "role":
             chrome = chrome or value in CHROME_ROLES
-        else:
-            chrome = chrome or name == "hidden" or value == "true"
-    return label, chrome
+        elif name == "hidden" or name == "aria-hidden" and value == "true":
+            chrome = True
+    return label, chrome and element not in WHOLE
 
 
 def parse(html: str):
-    """(paths of the opened elements, blocks), a block being (path, in article, no main text, text)."""
+    """(paths of the opened elements, blocks), a block being (path, in article, no main text, text).
+
+    No main text: 0 for none, 1 if only elements around the article say so, 2 otherwise."""
     paths, blocks = [], []
-    stack = [("", "", False, False)]  # element, path, inside an article, left out
+    stack = [("", "", False, 0)]  # element, path, inside an article, left out
     parts: list[str] = []
 
     def flush():
@@ -126,14 +136,16 @@ def parse(html: str):
             if element in SCOPES:
                 break
         _, above, article, out = stack[-1]
-        label, chrome = _names(m[4])
+        label, chrome = _names(name, m[4])
         path = f"{above}/{name}{label}"
         paths.append(path)
         if name in VOID or m[4].endswith("/"):
             continue
-        article = article or name in ("article", "main")
+        if not article and name in ("article", "main"):
+            article, out = True, min(out, 1)
         # a header inside of an article holds its title
-        out = out or name in CHROME or name in SILENT or chrome or name == "header" and not article
+        if name in CHROME or name in SILENT or chrome or name == "header" and not article:
+            out = 2
         stack.append((name, path, article, out))
     flush()
     return paths, blocks
@@ -196,10 +208,12 @@ def extract(html: str | None, template: set[str] | None) -> str:
             path = path.rpartition("/")[0]
         return path
 
-    main = {slot(path) for path, article, out, _ in blocks if article and not out}
+    # an article inside of an element that is left out counts if the page has no other
+    least = min((out for _, article, out, _ in blocks if article), default=0) % 2
+    main = {slot(path) for path, article, out, _ in blocks if article and out == least}
     kept = []
     for path, article, out, text in blocks:
-        if out or (main and not (article and slot(path) in main)):
+        if out != least or (main and not (article and slot(path) in main)):
             continue
         if not main and _text_token(path, text) in template:
             continue

@@ -502,6 +502,19 @@ def test_html_parse_and_extract():
     assert out("<script>never closed <p>x</p>") == "" and out("<p>" * 3 + "q" + "<div><!-- open") == "q"
 
 
+def test_html_exclusion_spares_main_text():
+    out = lambda h: htmltext.extract(h, None)
+    assert out('<body class="has-sidebar"><p>a</p><article class="no-comments"><p>b</p></article></body>') == "b"
+    assert out('<body class="search" id="menu"><p>a</p></body>') == "a"
+    assert out('<article class="related"><h2 id="related-work">Related</h2><h2 id="share">Share</h2>'
+               '<section id="search-methods"><h3 id="share-prices">s</h3><p>t</p></section></article>') == "Related\nShare\ns\nt"
+    assert out('<p data-id="share">1</p><p title="a hidden gem">2</p><p title="class=ad">3</p><p aria-hidden=false>4</p>') == "1\n2\n3\n4"
+    assert out('<p HIDDEN>1</p><p aria-hidden="true">2</p><p id=comments>3</p><p class="x ad">4</p><p class=a class=ad>5</p>') == "5"
+    assert out('<form><nav>n</nav><div class="modal">m<main><p>a</p><div class="ad">b</div></main></div></form>') == "a"
+    assert out('<aside><article>teaser</article></aside><article><p>a</p></article>') == "a"
+    assert out('<main><nav>n</nav></main><p>a</p>') == "a"
+
+
 def test_html_templates(spark):
     rows = [(i, f"http://h.example:80/{i}", f"<html><head><title>t{i}</title></head><body><div class=x><p>Always the same</p></div>"
              f"<div class=y><p>text {i}</p><p>more {i % 2} {i}</p></div></body></html>", None, i) for i in range(8)]
