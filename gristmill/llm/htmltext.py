@@ -1,22 +1,29 @@
 """HTML main-text extraction by equivalence-class template deduction.
 
 A page's tokens are its tags, told apart by their path from the root (with the
-element's class and id), and the texts of blocks outside of an article.  Tokens
-of the same host whose occurrence vectors over the host's distinct pages agree
-form an equivalence class.  A class is valid if at least ``min_pages`` pages
-support it and, for tags, if it has several tokens or stands on most pages;
-valid classes nest by their paths into the host's template.  The rest of a page
-fills the template's slots: a text belongs to the slot of its deepest template
-path.  Slots of menus, headers, footers, sidebars, notices, adverts, forms,
-scripts and comments are left out, by the elements on their path (whole
-class words and ids, no ids of headings, never html, body, article or main
-themselves; an element around the article leaves it out only if the page has
-another); if the page has an article (or main) slot, that alone is kept; else texts that are
-template tokens themselves (the same on most pages of the host) go too.
+element's class words that hold no digit; an id or a number names a thing, not
+a slot), and the texts of its blocks, told apart by path and text.  Tokens of
+the same host whose occurrence vectors over the host's distinct pages agree form
+an equivalence class of tags and texts.  A class is valid if at least
+``min_pages`` pages support it and it has several tokens or stands on at least
+``most`` of the pages; valid classes nest by their paths into the host's
+template.  A text's slot is the deepest template path around it.  A text of a
+valid class that stands on at least ``most`` of the pages with its slot is part
+of the template; the rest fills the slots.
+
+Slots of menus, headers, footers, sidebars, notices, adverts, forms, scripts and
+comments are left out, by the elements on their path (whole class words and ids,
+no ids of headings, never html, body, article or main themselves; an element
+around the article leaves it out only if the page has another).  If the page has
+an article (or main) slot, that alone is kept.  What is left loses its template
+texts.  If those are more than half of it by length, the page is a near copy and
+no frame of other text, so it keeps them; texts outside of an article that stand
+on ``most`` of the host's pages always go.
 
 Occurrence vectors are compared by a hash that is summed (xor) over pages, so a
-host with a third of all pages is aggregated map-side.  A host's template is
-bounded by the size of a page.  Identical pages count once.
+host with a third of all pages is aggregated map-side.  A page receives the
+template tokens that it holds, so no row grows with its host.  Tokens are 64-bit
+hashes.  Identical pages count once.
 
 Blocks: character references are decoded, white space in a block becomes one
 space, blocks are trimmed, empty ones go, the rest are joined by one newline.
@@ -61,13 +68,14 @@ SCOPES = frozenset("article main section div td th ul ol table body html nav hea
 TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|svg|math|textarea)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
                    r"""|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>|<[!?/][^>]*(?:>|\Z)|[^<]+|<""", re.S | re.I)
 ATTRIBUTE = re.compile(r"""([^\s=/>"']+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""")
+DIGIT = re.compile(r"\d")
 #: Elements that are never left out by themselves, and those whose id names a title, not a role.
 WHOLE = frozenset("html body article main".split())
 TITLES = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
 def _names(element: str, attributes: str) -> tuple[str, bool]:
-    """An element's class and id for its path; whether they mark it as no main text."""
+    """An element's class for its path; whether class, id and the like mark it as no main text."""
     if not attributes or "=" not in attributes and "hidden" not in attributes.lower():
         return "", False
     label, chrome, seen = "", False, set()
@@ -78,7 +86,8 @@ def _names(element: str, attributes: str) -> tuple[str, bool]:
         seen.add(name)
         if name in ("class", "id"):
             words = value.split()
-            label += ("." if name == "class" else "#") + " ".join(words)
+            if name == "class":
+                label = "".join("." + w.replace("/", "-") for w in words if not DIGIT.search(w))
             chrome = chrome or not (name == "id" and element in TITLES) and not CHROME_WORDS.isdisjoint(words)
         elif name == "role":
             chrome = chrome or value in CHROME_ROLES
@@ -151,14 +160,21 @@ def parse(html: str):
     return paths, blocks
 
 
-def _text_token(path: str, text: str) -> str:
-    return f"={path}={xxhash.xxh64_hexdigest(text)}"
+def _token(path: str, text: str | None = None) -> int:
+    h = xxhash.xxh64_intdigest(path if text is None else f"{path}={text}")
+    return h - (1 << 64) if h >> 63 else h
+
+
+ROOT = _token("")
 
 
 def page_tokens(html: str) -> Counter:
     paths, blocks = parse(html)
-    tokens = Counter(paths)
-    tokens.update(_text_token(path, text) for path, article, _, text in blocks if not article)
+    tokens = Counter({ROOT: 1})
+    for path, n in Counter(paths).items():
+        tokens[_token(path)] += n
+    for path, _, _, text in blocks:
+        tokens[_token(path, text)] += 1
     return tokens
 
 
@@ -173,75 +189,75 @@ def host_of(url_col: str) -> Column:
     return F.lower(F.coalesce(F.regexp_extract(F.col(url_col), r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/:?#]+)", 1), F.lit("")))
 
 
-def templates(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = 3,
-              most: float = 0.5) -> DataFrame:
-    """(host, template): the tokens of the host's valid classes."""
+def host_tokens(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(host, page, token, n): how often each distinct page of a host holds a token."""
     source = pages.where(F.col(html_col).isNotNull()).select(host_of(url_col).alias("host"), F.xxhash64(html_col).alias("page"),
                                                              F.col(html_col).alias("html"))
-    counts = source.select("host", "page").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    tokens = source.mapInPandas(_emit_tokens, "host string, page long, token string, n int").distinct()
+    return source.mapInPandas(_emit_tokens, "host string, page long, token long, n int").distinct()
+
+
+def templates(tokens: DataFrame, min_pages: int = 3, most: float = 0.5) -> DataFrame:
+    """(host, token, support): the tokens of the hosts' valid classes and the pages that hold them."""
+    counts = tokens.where(F.col("token") == ROOT).groupBy("host").agg(F.count("*").alias("pages"))
     vectors = (tokens.groupBy("host", "token")
                .agg(F.count("*").alias("support"), F.bit_xor(F.xxhash64("page", "n")).alias("vector"))
                .where(F.col("support") >= min_pages))
-    share = F.col("support") >= F.col("pages") * F.lit(most)
-    vectors = vectors.join(counts, "host").withColumn("share", share)
-    # A text token needs most pages; a tag token needs them, or a class of several.
-    alike = (vectors.where(~F.col("token").startswith("="))
-             .groupBy("host", "vector", "support").agg(F.count("*").alias("members"), F.first("share").alias("share"),
-                                                       F.collect_list("token").alias("tokens"))
-             .where("share OR members > 1").select("host", F.explode("tokens").alias("token")))
-    texts = vectors.where(F.col("token").startswith("=") & F.col("share")).select("host", "token")
-    return (alike.unionByName(texts).groupBy("host").agg(F.sort_array(F.collect_list("token")).alias("template")))
-
-
-def extract(html: str | None, template: set[str] | None) -> str:
-    """The texts of the main slots."""
+    # tokens of a class stand on the same pages, so a class is not larger than a page
+    classes = (vectors.groupBy("host", "vector", "support").agg(F.collect_list("token").alias("tokens"))
+               .join(counts, "host").where((F.size("tokens") > 1) | (F.col("support") >= F.col("pages") * F.lit(most))))
+    return classes.select("host", F.explode("tokens").alias("token"), "support")
+
+
+def extract(html: str | None, template: dict[int, int] | None, most: float = 0.5) -> str:
+    """The texts that fill the main slots; ``template``: the page's template tokens and their support."""
     if not html:
         return ""
     _, blocks = parse(html)
-    template = template or set()
-    tags = {t for t in template if t[0] != "="}
-
-    def slot(path: str) -> str:
-        """The deepest template path around a text."""
-        while path and path not in tags:
-            path = path.rpartition("/")[0]
-        return path
-
     # an article inside of an element that is left out counts if the page has no other
     least = min((out for _, article, out, _ in blocks if article), default=0) % 2
-    main = {slot(path) for path, article, out, _ in blocks if article and out == least}
-    kept = []
-    for path, article, out, text in blocks:
-        if out != least or (main and not (article and slot(path) in main)):
-            continue
-        if not main and _text_token(path, text) in template:
+    main = any(article and out == least for _, article, out, _ in blocks)
+    kept = [(path, article, text) for path, article, out, text in blocks if out == least and (article or not main)]
+    if not template:
+        return "\n".join(text for _, _, text in kept)
+
+    def slot(path: str) -> int:
+        """The pages that hold the deepest template path around a text."""
+        while path and _token(path) not in template:
+            path = path.rpartition("/")[0]
+        return template.get(_token(path), 0)
+
+    filled, repeated, size = [], set(), 0
+    for path, article, text in kept:
+        support = template.get(_token(path, text), 0)
+        if support and not article and support >= most * template.get(ROOT, 0):
             continue
-        kept.append(text)
-    return "\n".join(kept)
+        if support and support >= most * slot(path):
+            repeated.add(len(filled))
+            size += len(text)
+        filled.append(text)
+    if 2 * size <= sum(map(len, filled)):
+        filled = [text for i, text in enumerate(filled) if i not in repeated]
+    return "\n".join(filled)
 
 
 def extract_pages(pages: DataFrame, url_col: str = "url", html_col: str = "html", min_pages: int = 3) -> DataFrame:
     """``pages`` plus ``text`` (a column of this name is replaced)."""
-    found = Scratch(pages.sparkSession, "htmltext").table(templates(pages, url_col, html_col, min_pages), "templates")
-    host, of, known = fresh(pages, "host", "of", "template")
-    found = found.select(F.col("host").alias(of), F.col("template").alias(known))
+    scratch = Scratch(pages.sparkSession, "htmltext")
+    tokens = scratch.table(host_tokens(pages, url_col, html_col), "tokens")
+    found = scratch.table(templates(tokens, min_pages), "templates")
+    host, page, of, copy, known = fresh(pages, "host", "page", "of", "copy", "known")
+    held = (tokens.join(found, ["host", "token"]).groupBy(F.col("host").alias(of), F.col("page").alias(copy))
+            .agg(F.collect_list(F.struct("token", "support")).alias(known)))
 
     @F.pandas_udf("string")
-    def texts(html: pd.Series, template: pd.Series) -> pd.Series:
-        seen, out = {}, []
-        for h, t in zip(html, template):
-            known = None
-            if t is not None:
-                key = (len(t), t[0], t[-1])
-                if key not in seen or len(seen[key][0]) != len(t) or any(a != b for a, b in zip(seen[key][0], t)):
-                    seen[key] = (t, set(t))
-                known = seen[key][1]
-            out.append(extract(h, known))
-        return pd.Series(out, dtype=object)
-
-    joined = pages.withColumn(host, host_of(url_col)).join(found, F.col(host) == F.col(of), "left")
-    return joined.select(*[c for c in pages.columns if c != "text"], texts(F.col(html_col), F.col(known)).alias("text"))
+    def texts(html: pd.Series, held_tokens: pd.Series, support: pd.Series) -> pd.Series:
+        return pd.Series([extract(h, None if t is None else dict(zip(t.tolist(), s.tolist())))
+                          for h, t, s in zip(html, held_tokens, support)], dtype=object)
+
+    joined = (pages.withColumns({host: host_of(url_col), page: F.xxhash64(html_col)})
+              .join(held, (F.col(host) == F.col(of)) & (F.col(page) == F.col(copy)), "left"))
+    return joined.select(*[c for c in pages.columns if c != "text"],
+                         texts(F.col(html_col), F.col(f"{known}.token"), F.col(f"{known}.support")).alias("text"))
 
 
 def op10_html_text(spark, sf_dir: str) -> DataFrame:

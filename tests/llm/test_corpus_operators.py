@@ -528,3 +528,39 @@ def test_html_templates(spark):
     expected.update((40 + i, "a copy", 0) for i in range(9))
     assert got == expected
     assert htmltext.extract_pages(frame.where("false")).count() == 0
+
+
+def test_html_template_texts_inside_the_article(spark):
+    story = lambda i: "".join(f"<p>story {i} part {k} of many</p>" for k in range(4))
+    promo = "<div class='promo-{0} offer'><p>Take our offer</p></div>"
+    rows = [(i, "http://h.example/%d" % i, f"<body><article id=post-{i}>{story(i)}<p>All rights kept</p>"
+             + (promo.format(i) if i < 4 else "") + "</article></body>") for i in range(12)]
+    # the same post on index, tag and archive pages, and near copies of one page, keep their text
+    rows += [(20 + i, f"http://h.example/list{i}", f"<body><article id=post-50>{story(50)}</article><p>list {i}</p></body>") for i in range(3)]
+    rows += [(30 + i, f"http://copy.example/{i}", f"<body><article>{story(60)}<p>read {i} times</p></article></body>") for i in range(4)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["text"] for r in htmltext.extract_pages(frame).collect()}
+    lines = lambda i: [f"story {i} part {k} of many" for k in range(4)]
+    expected = {i: lines(i) for i in range(12)} | {20 + i: lines(50) for i in range(3)}
+    expected |= {30 + i: lines(60) + [f"read {i} times"] for i in range(4)}
+    assert got == {i: "\n".join(x) for i, x in expected.items()}
+
+    # the tags of the template decide: without them the offer is text of the whole host, on 4 of 15 pages
+    tokens = htmltext.host_tokens(frame)
+    template = {r["token"]: r["support"] for r in htmltext.templates(tokens).where("host = 'h.example'").collect()}
+    paths, _ = htmltext.parse(rows[0][2])
+    tags = {htmltext._token(p) for p in paths}
+    assert tags & set(template)
+    no_tags = {t: n for t, n in template.items() if t not in tags}
+    assert htmltext.extract(rows[0][2], template) == got[0]
+    assert htmltext.extract(rows[0][2], no_tags) == got[0] + "\nTake our offer"
+    assert htmltext.extract(rows[0][2], {}) == got[0] + "\nAll rights kept\nTake our offer"
+
+
+def test_html_pages_receive_only_their_template_tokens(spark):
+    rows = [(i, "http://h.example/%d" % i, f"<body class=k{'abcdefghij'[i // 3]}><div><p>text {i}</p></div></body>") for i in range(30)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    found = htmltext.templates(htmltext.host_tokens(frame))
+    assert set(found.columns) == {"host", "token", "support"}
+    assert found.groupBy("host", "token").count().where("count > 1").count() == 0
+    assert {r["page_id"]: r["text"] for r in htmltext.extract_pages(frame).collect()} == {i: f"text {i}" for i in range(30)}
