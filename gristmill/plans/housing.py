@@ -58,7 +58,7 @@ def clean_encode_impute(df: DataFrame, reference_compat: bool = False) -> DataFr
     return GlobalImputer(None, "median", exclude=["Id", TARGET, "OverallQual"]).fit(df).transform(df)
 
 
-def preprocess(df: DataFrame, k: int = 20, restarts: int = 5, num_trees: int = 100, select: bool = True,
+def preprocess(df: DataFrame, k: int = 20, restarts: int = 50, num_trees: int = 100, select: bool = True,
                threshold: float = 1e-5, reference_compat: bool = False) -> DataFrame:
     df = cut_lineage(clean_encode_impute(df, reference_compat))
     df = df.withColumns({"HouseAge": elapsed_years("YrSold", "YearBuilt"),

@@ -19,7 +19,7 @@ DEST_CODES = {"TRAPPIST-1e": 1, "PSO J318.5-22": 2, "55 Cancri e": 3}
 SERVICES = ["RoomService", "FoodCourt", "ShoppingMall", "Spa", "VRDeck"]
 
 
-def preprocess(df: DataFrame, k: int = 10, restarts: int = 5, reference_compat: bool = False) -> DataFrame:
+def preprocess(df: DataFrame, k: int = 10, restarts: int = 50, reference_compat: bool = False) -> DataFrame:
     df = df.withColumn("Transported", F.coalesce(F.col("Transported").cast("int"), F.lit(-1)))
     df = df.withColumns({"HomePlanet": C.remap("HomePlanet", HOME_CODES).cast("int"),
                          "Destination": C.remap("Destination", DEST_CODES).cast("int")})

@@ -90,7 +90,7 @@ def _emb_columns(spark, d):
 @register("kmeans_label")
 def q_kmeans_label(spark, d):
     e = _emb_columns(spark, d)
-    _, _, out = kmeans_label(e, [f"e{i}" for i in range(N_DIMS)], k=10, restarts=10, seed=0)
+    _, _, out = kmeans_label(e, [f"e{i}" for i in range(N_DIMS)], k=10, seed=0)
     return out.select("vec_id", F.col("Cluster").cast("int").alias("cluster"))
 
 
@@ -328,7 +328,7 @@ def _oc_features(spark, d):
 @register("fit_gbt_regressor")
 def fit_gbt_regressor(spark, d):
     oc, stages = _oc_features(spark, d)
-    est = M.gbt_regressor("label_reg", max_iter=5, max_depth=3)
+    est = M.gbt_regressor("label_reg")
     _, pred = M.fit_apply(stages + [est], oc.where(F.col("is_train")), oc.where(~F.col("is_train")))
     return pred.select("o_orderkey", F.expm1("prediction").alias("prediction"))
 
@@ -339,7 +339,7 @@ def fit_gbt_classifier(spark, d):
     oc, stages = _oc_features(spark, d)
     # early stopping on a 10 % hash hold-out of the train rows (M2)
     oc = oc.withColumn("is_val", V.holdout_flag(_hash(), 0.1, 10007).cast("boolean"))
-    est = M.gbt_classifier("label_cls", max_iter=5, max_depth=3, validation_col="is_val")
+    est = M.gbt_classifier("label_cls", validation_col="is_val")
     _, pred = M.fit_apply(stages + [est], oc.where(F.col("is_train")), oc.where(~F.col("is_train")))
     return pred.select("o_orderkey", vector_to_array("probability")[1].alias("p_default"),
                        F.col("prediction").cast("int").alias("prediction"))
@@ -356,7 +356,7 @@ def _emb_vec(spark, d):
 def fit_multiclass(spark, d):
     e = _emb_vec(spark, d)
     train, test = e.where(F.col("vec_id") % 5 != 0), e.where(F.col("vec_id") % 5 == 0)
-    model = M.multiclass_classifier("label", num_trees=10, max_depth=4).fit(train)
+    model = M.multiclass_classifier("label").fit(train)
     return model.transform(test).select("vec_id", F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -368,7 +368,7 @@ COARSE = {0: 0, 1: 0, 2: 0, 3: 0, 4: 1, 5: 1, 6: 1, 7: 2, 8: 2, 9: 2}
 def two_stage_classify(spark, d):
     e = _emb_vec(spark, d)
     train, test = e.where(F.col("vec_id") % 5 != 0), e.where(F.col("vec_id") % 5 == 0)
-    out = M.two_stage_classify(train, test, "label", COARSE, num_trees=5)
+    out = M.two_stage_classify(train, test, "label", COARSE)
     return out.select("vec_id", F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -376,8 +376,7 @@ def two_stage_classify(spark, d):
 def pseudo_label(spark, d):
     e = _emb_vec(spark, d)
     train, test = e.where(F.col("vec_id") % 5 != 0), e.where(F.col("vec_id") % 5 == 0)
-    out = M.pseudo_label(train, test.drop("label"), "label",
-                         lambda: M.multiclass_classifier("label", num_trees=5, max_depth=4))
+    out = M.pseudo_label(train, test.drop("label"), "label", lambda: M.multiclass_classifier("label"))
     return out.select("vec_id", F.col("prediction").cast("int").alias("prediction"))
 
 
@@ -395,28 +394,36 @@ def cv_score(spark, d):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     data = _cv_frame(spark, d)
     ev = BinaryClassificationEvaluator(labelCol="label_cls")
-    model = V.cross_validate(M.gbt_classifier("label_cls", max_iter=3, max_depth=3), ev, data, "fold")
+    model = V.cross_validate(M.gbt_classifier("label_cls"), ev, data, "fold")
     return spark.createDataFrame([("areaUnderROC", float(model.avgMetrics[0]))], "metric string, value double")
 
 
+def search_grid(est):
+    """The 144 combinations (V8).  Spark's trees have no L2 leaf penalty and no bagging
+    temperature; the least rows of a node and the sampled share stand for them."""
+    from pyspark.ml.tuning import ParamGridBuilder
+    return (ParamGridBuilder().addGrid(est.maxDepth, [3, 5, 7, 9]).addGrid(est.stepSize, [0.01, 0.1, 0.2, 0.3])
+            .addGrid(est.minInstancesPerNode, [1, 5, 10]).addGrid(est.subsamplingRate, [1.0, 0.8, 0.6]).build())
+
+
 @register("grid_search")
 def grid_search(spark, d):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    from pyspark.ml.tuning import ParamGridBuilder
     data = _cv_frame(spark, d)
-    est = M.gbt_classifier("label_cls", max_iter=3)
-    grid = ParamGridBuilder().addGrid(est.maxDepth, [2, 3]).addGrid(est.stepSize, [0.1, 0.3]).build()
+    est = M.gbt_classifier("label_cls")
+    grid = search_grid(est)
     ev = BinaryClassificationEvaluator(labelCol="label_cls")
-    model = V.cross_validate(est, ev, data, "fold", grid, parallelism=4)
-    rows = [(int(pm[est.maxDepth]), float(pm[est.stepSize]), float(m)) for pm, m in zip(grid, model.avgMetrics)]
-    return spark.createDataFrame(rows, "max_depth int, step_size double, auc double")
+    model = V.cross_validate(est, ev, data, "fold", grid, parallelism=8)
+    rows = [(int(pm[est.maxDepth]), float(pm[est.stepSize]), int(pm[est.minInstancesPerNode]), float(pm[est.subsamplingRate]),
+             float(m)) for pm, m in zip(grid, model.avgMetrics)]
+    return spark.createDataFrame(rows, "max_depth int, step_size double, min_instances int, subsample double, auc double")
 
 
 @register("random_search")
 def random_search(spark, d):
     from pyspark.ml.evaluation import BinaryClassificationEvaluator
     data = _cv_frame(spark, d)
-    est = M.gbt_classifier("label_cls", max_iter=3)
+    est = M.gbt_classifier("label_cls")
     ev = BinaryClassificationEvaluator(labelCol="label_cls")
     space = {est.maxDepth: (2, 4, "int"), est.stepSize: (0.05, 0.3, "float")}
     _, trials = V.random_search(est, ev, data, "fold", space, seed=0, parallelism=8)
@@ -433,7 +440,7 @@ def fit_apply_model(spark, d):
     from pyspark.ml import PipelineModel
     from pyspark.ml.regression import RandomForestRegressor
     oc, stages = _oc_features(spark, d)
-    model, _ = M.fit_apply(stages + [RandomForestRegressor(labelCol="label_reg", numTrees=5, maxDepth=4, seed=0)],
+    model, _ = M.fit_apply(stages + [RandomForestRegressor(labelCol="label_reg", seed=0)],
                            oc.where(F.col("is_train")), oc.limit(0))
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
     model.write().overwrite().save(path)

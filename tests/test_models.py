@@ -79,3 +79,54 @@ def test_tfidf_vector_is_unit_norm(spark):
     long = TfidfLong("item_id", "text", 200).fit(b).transform(b)
     sq = long.groupBy("item_id").agg(F.sum(F.col("weight") * F.col("weight")).alias("s")).collect()
     assert all(abs(r.s - 1.0) < 1e-9 for r in sq)
+
+
+def test_learning_queries_do_the_full_work(spark, monkeypatch):
+    import inspect
+    from types import SimpleNamespace
+
+    from gristmill.plans import housing, spaceship
+    from gristmill.suite import QUERIES, q_learn
+    for plan in (housing, spaceship):
+        assert inspect.signature(plan.preprocess).parameters["restarts"].default == 50
+
+    asked = {}
+
+    class Asked(Exception):
+        pass
+
+    def clusters(*args, **kw):
+        asked["restarts"] = inspect.signature(kmeans_label).bind(*args, **kw).arguments.get("restarts", 50)
+        raise Asked
+    kmeans_label = q_learn.kmeans_label
+    monkeypatch.setattr(q_learn, "kmeans_label", clusters)
+    with pytest.raises(Asked):
+        QUERIES["kmeans_label"](spark, SF_SMALL)
+    assert asked["restarts"] == 50
+
+    def validated(est, ev, data, fold, grid=None, parallelism=2):
+        asked["grid"], asked["rounds"] = grid or [{}], est.getMaxIter()
+        return SimpleNamespace(avgMetrics=[0.5] * len(asked["grid"]))
+    monkeypatch.setattr(q_learn.V, "cross_validate", validated)
+    assert QUERIES["grid_search"](spark, SF_SMALL).distinct().count() == 144
+    assert len({tuple(sorted((p.name, v) for p, v in pm.items())) for pm in asked["grid"]}) == 144 and asked["rounds"] == 20
+    for name, rows in (("cv_score", 1), ("random_search", 20)):
+        asked.clear()
+        assert QUERIES[name](spark, SF_SMALL).count() == rows and asked["rounds"] == 20
+
+    def fitted(kind):
+        def make(*args, **kw):
+            bound = inspect.signature(kind).bind(*args, **kw)
+            bound.apply_defaults()
+            asked.update(bound.arguments)
+            raise Asked
+        return make
+    for name, kind, setting in (("fit_gbt_regressor", "gbt_regressor", "max_iter"), ("fit_gbt_classifier", "gbt_classifier", "max_iter"),
+                                ("fit_multiclass", "multiclass_classifier", "num_trees"), ("two_stage_classify", "multiclass_classifier", "num_trees"),
+                                ("pseudo_label", "multiclass_classifier", "num_trees")):
+        asked.clear()
+        with monkeypatch.context() as m:
+            m.setattr(q_learn.M, kind, fitted(getattr(q_learn.M, kind)))
+            with pytest.raises(Asked):
+                QUERIES[name](spark, SF_SMALL)
+        assert asked[setting] == 20 and asked["max_depth"] == 5
