@@ -1,7 +1,8 @@
 """Benchmark decontamination: size-partitioned MinHash containment search.
 
 Texts are lower-cased and cut into words ``[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+``;
-shingles are five words (fewer words: the whole sequence).  An item is found in
+shingles are five words (fewer words: the whole sequence, so an item under five
+words is found only in a document that equals it).  An item is found in
 a document if at least ``threshold`` of its distinct shingles occur there.
 
 Search: items are partitioned by size (powers of two of their distinct
