@@ -1,6 +1,6 @@
 """The registered ``opN_<name>`` queries and the oracle SQL of those that SQL can express."""
 
-from . import bpe, decontaminate, htmltext, licenses, linededup, quality, sharding, simhash, suffixes, topk
+from . import (bpe, decontaminate, filteraudit, htmltext, licenses, linededup, quality, sharding, simhash, suffixes, topk)
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -13,10 +13,12 @@ QUERIES = {
     "op8_suffix_dedup": suffixes.op8_suffix_dedup,
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_html_text": htmltext.op10_html_text,
+    "op11_filter_audit": filteraudit.op11_filter_audit,
 }
 
 ORACLE = {
     "op4_exact_topk": topk.OP4_SQL,
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op9_line_dedup": linededup.OP9_SQL,
+    "op11_filter_audit": filteraudit.OP11_SQL,
 }
