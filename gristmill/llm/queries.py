@@ -1,6 +1,6 @@
 """The registered ``opN_<name>`` queries and the oracle SQL of those that SQL can express."""
 
-from . import (bpe, decontaminate, filteraudit, htmltext, licenses, linededup, quality, sharding, simhash, suffixes, topk)
+from . import (bpe, centroids, decontaminate, filteraudit, htmltext, licenses, linededup, quality, sharding, simhash, suffixes, topk)
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_line_dedup": linededup.op9_line_dedup,
     "op10_html_text": htmltext.op10_html_text,
     "op11_filter_audit": filteraudit.op11_filter_audit,
+    "op12_centroids": centroids.op12_centroids,
 }
 
 ORACLE = {
@@ -21,4 +22,5 @@ ORACLE = {
     "op5_decontaminate": decontaminate.OP5_SQL,
     "op9_line_dedup": linededup.OP9_SQL,
     "op11_filter_audit": filteraudit.OP11_SQL,
+    "op12_centroids": centroids.OP12_SQL,
 }
