@@ -1,6 +1,6 @@
 """The registered ``opN_<name>`` queries and the oracle SQL of those that SQL can express."""
 
-from . import (bpe, centroids, decontaminate, filteraudit, htmltext, licenses, linededup, quality, sharding, simhash, suffixes, topk)
+from . import (bpe, centroids, chat, decontaminate, filteraudit, htmltext, licenses, linededup, quality, sharding, simhash, suffixes, topk)
 
 QUERIES = {
     "op1_simhash": simhash.op1_simhash,
@@ -15,6 +15,7 @@ QUERIES = {
     "op10_html_text": htmltext.op10_html_text,
     "op11_filter_audit": filteraudit.op11_filter_audit,
     "op12_centroids": centroids.op12_centroids,
+    "op13_chat_format": chat.op13_chat_format,
 }
 
 ORACLE = {
@@ -23,4 +24,5 @@ ORACLE = {
     "op9_line_dedup": linededup.OP9_SQL,
     "op11_filter_audit": filteraudit.OP11_SQL,
     "op12_centroids": centroids.OP12_SQL,
+    "op13_chat_format": chat.OP13_SQL,
 }
