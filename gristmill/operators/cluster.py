@@ -1,77 +1,239 @@
-"""K-means labels (F3) and centroid distances."""
+"""K-means labels with batched restarts (F3) and centroid distances."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from multiprocessing.pool import ThreadPool
+import sys
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..core import col_of, cut_lineage
-from .encode import Standardizer
 
+#: A restart has converged when none of its centres moves farther than this.
+TOLERANCE = 1e-4
+#: Distances held in memory at once by a task, whatever the batch and the number of centres.
+_CELLS = 1 << 21
 
-PARALLEL_RESTARTS = 8
 
+@dataclass
+class KMeansFit:
+    centres: list[list[float]]  # of the best restart, in the scaled space
+    cost: float  # its sum of squared distances
+    restart: int
+    costs: list[float]  # of every restart
+    iterations: list[int]  # of every restart
+    scaled: Column  # the scaled vector of a row, NULL where a component is missing
+    distances: Column  # array of its distances to the centres
 
-def kmeans_label(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 50, seed: int = 0,
+
+def kmeans_label(df: DataFrame, columns, k: int, restarts: int = 50, seed: int = 0,
                  standardize: bool = True, label: str = "Cluster", max_iter: int = 300):
     """Z-score the columns (sample std), fit ``restarts`` k-means models with
     seeds ``seed..seed+restarts-1`` on the complete rows and keep the lowest
-    training cost.  Returns (model, centres, labelled df).
+    cost.  Returns (fit, centres, labelled df).
 
-    Every row stays: the label is the nearest centre, as Column arithmetic, and
-    NULL where a column is NULL or NaN.  Centres live in the z-scored space."""
-    labelled, model, centres, _ = _clustered(df, columns, k, restarts, seed, standardize, label, max_iter)
-    return model, centres, labelled
+    ``columns`` are numeric columns, or the name of one array column.  All restarts move
+    together, one job per step: see :func:`fit_restarts`.  Every row stays: the label is
+    the nearest centre (ties: the smaller number), and NULL where a component is NULL or
+    NaN.  Centres live in the z-scored space."""
+    fit = _clustered(df, columns, k, restarts, seed, standardize, max_iter)
+    nearest = F.array_position(fit.distances, F.array_min(fit.distances)) - 1
+    return fit, fit.centres, df.withColumn(label, nearest.cast("int"))
 
 
-def _clustered(df, columns, k, restarts, seed, standardize, label, max_iter):
-    from pyspark.ml.clustering import KMeans
-    from pyspark.ml.functions import array_to_vector
-    # NaN counts as missing, for the scale as well as for the rows
-    numbers = [F.col(f"`{c}`").cast("double") for c in columns]
-    scaled = [F.when(~F.isnan(x), x) for x in numbers]
-    if standardize:
-        names = [f"c{i}" for i in range(len(columns))]
-        stats = Standardizer(names, ddof=1).fit(df.select(*[x.alias(n) for n, x in zip(names, scaled)])).stats
-        scaled = [(x - F.lit(m)) / F.lit(s if s not in (None, 0.0) else 1.0)
-                  for x, (m, s) in zip(scaled, (stats[n] for n in names))]
-    complete = df.select(F.array(*scaled).alias("__v")).where(F.forall("__v", lambda x: x.isNotNull()))
-    # iterative fits read the narrow, written copy of the complete rows
-    vectors = cut_lineage(complete.select(array_to_vector("__v").alias("__kv")))
-
-    def fit(r: int):
-        model = KMeans(k=k, seed=seed + r, featuresCol="__kv", predictionCol=label, maxIter=max_iter).fit(vectors)
-        return model.summary.trainingCost, r, model
-
-    # a restart is a chain of small jobs; several chains share the cluster
-    with ThreadPool(PARALLEL_RESTARTS) as pool:
-        _, _, model = min(pool.map(fit, range(restarts), chunksize=1), key=lambda x: x[:2])
-    centres = [list(map(float, c)) for c in model.clusterCenters()]
-    distances = list(centroid_distances(scaled, centres).values())
-    near = F.array(*distances)
-    nearest = F.when(F.forall(near, lambda x: x.isNotNull()), F.array_position(near, F.array_min(near)) - 1)
-    return df.withColumn(label, nearest.cast("int")), model, centres, distances
-
-
-def centroid_distances(columns: Sequence, centres: Sequence[Sequence[float]],
-                       prefix: str = "Centroid") -> dict[str, Column]:
-    """Euclidean distance of each row to each centre as ``{prefix}{i}`` columns."""
-    out = {}
-    for i, c in enumerate(centres):
-        sq = None
-        for x, ci in zip(columns, c):
-            d = (col_of(x) - F.lit(float(ci)))
-            sq = d * d if sq is None else sq + d * d
-        out[f"{prefix}{i}"] = F.sqrt(sq)
-    return out
-
-
-def cluster_with_distances(df: DataFrame, columns: Sequence[str], k: int, restarts: int = 50, seed: int = 0,
+def cluster_with_distances(df: DataFrame, columns, k: int, restarts: int = 50, seed: int = 0,
                            label: str = "Cluster", prefix: str = "Centroid", max_iter: int = 300) -> DataFrame:
     """F3 + F4 on one DataFrame: the cluster label and the distance of every row
     to each centre (in the z-scored space; NULL where a column is NULL)."""
-    out, _, _, distances = _clustered(df, columns, k, restarts, seed, True, label, max_iter)
-    return out.withColumns({f"{prefix}{i}": d for i, d in enumerate(distances)})
+    fit, centres, out = kmeans_label(df, columns, k, restarts, seed, True, label, max_iter)
+    # the array is computed once a row, then read by position
+    out = out.withColumn("__far", fit.distances)
+    return out.withColumns({f"{prefix}{i}": F.get("__far", F.lit(i)) for i in range(len(centres))}).drop("__far")
+
+
+def _vector(columns) -> Column:
+    """One array of doubles; NaN counts as missing, for the scale as well as for the rows."""
+    raw = F.col(columns) if isinstance(columns, str) else F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
+    return F.transform(raw, lambda x: F.when(~F.isnan(x.cast("double")), x.cast("double")))
+
+
+def _clustered(df, columns, k, restarts, seed, standardize, max_iter) -> KMeansFit:
+    raw = vector = _vector(columns)
+    if standardize:
+        # one narrow aggregation for any number of components
+        long = df.select(F.posexplode(vector).alias("i", "x"))
+        stats = sorted(long.groupBy("i").agg(F.avg("x").alias("m"), F.stddev_samp("x").alias("s")).collect())
+        means = _literal([r["m"] if r["m"] is not None else 0.0 for r in stats])
+        scales = _literal([r["s"] if r["s"] not in (None, 0.0) and r["s"] == r["s"] else 1.0 for r in stats])
+        centred = F.zip_with(vector, means, lambda x, m: x - m)
+        vector = F.zip_with(centred, scales, lambda x, s: x / s) if stats else vector
+    whole = F.when(F.forall(vector, lambda x: x.isNotNull()), vector)
+    # the raw vector's hash: a scale's last bits depend on the order of summation
+    complete = df.select(whole.alias("v"), F.xxhash64(raw).alias("h")).where("v is not null")
+    # iterative fits read the narrow, written copy: each distinct vector once, with its rows
+    vectors = cut_lineage(complete.groupBy("v").agg(F.count("*").alias("n"), F.min("h").alias("h")))
+    centres, costs, iterations = fit_restarts(vectors, k, [seed + r for r in range(restarts)], max_iter)
+    best = int(np.argmin(costs)) if costs else 0
+    chosen = centres[best].tolist() if costs else []
+    return KMeansFit(chosen, costs[best] if costs else 0.0, best, costs, iterations, whole, vector_distances(whole, chosen))
+
+
+def fit_restarts(vectors: DataFrame, k: int, seeds: Sequence[int], max_iter: int = 300,
+                 tolerance: float = TOLERANCE) -> tuple[np.ndarray, list[float], list[int]]:
+    """K-means from every seed at once over ``vectors`` (v array<double>, n long weight, h long
+    hash of v; each v once).  Returns centres (seed, centre, component), costs and iterations.
+
+    Starts are drawn by the D^2 rule, one centre a job for all restarts: every vector draws an
+    exponential number divided by (weight x squared distance to the centres so far), from its
+    own hash, and the smallest wins.  So starts depend on the vectors and the seed only, not on
+    the partitions.  Then one job per iteration updates the centres of all live restarts from
+    partial sums per (restart, centre); an empty cluster keeps its centre; a restart leaves
+    when it has converged.  A last job gives all costs.  The driver holds restarts x k x
+    components numbers, whatever the number of vectors."""
+    first = vectors.select(F.size("v").alias("d")).limit(1).collect()
+    if not first or not seeds:
+        return np.zeros((0, 0, 0)), [], []
+    d = first[0]["d"]
+    k = min(k, len(vectors.select("v").limit(k).collect()))  # no more centres than distinct vectors
+    centres = np.empty((len(seeds), 0, d))
+    for step in range(k):
+        drawn = _draw(vectors, centres, np.array(seeds, np.int64), step)
+        nxt = {r["restart"]: r["v"] for r in drawn}
+        centres = np.concatenate([centres, np.array([nxt[r] for r in range(len(seeds))])[:, None, :]], axis=1)
+    live, iterations = list(range(len(seeds))), [0] * len(seeds)
+    for _ in range(max_iter):
+        if not live:
+            break
+        moved = centres[live].copy()
+        for row in _sums(vectors, centres[live]):
+            moved[row["restart"], row["centre"]] = [row[f"s{i}"] / row["n"] for i in range(d)]
+        far = np.sqrt(((moved - centres[live]) ** 2).sum(axis=2)).max(axis=1)
+        centres[live] = moved
+        for r in live:
+            iterations[r] += 1
+        live = [r for r, step in zip(live, far) if step > tolerance]
+    costs = {r["restart"]: r["cost"] for r in _costs(vectors, centres)}
+    return centres, [costs[r] for r in range(len(seeds))], iterations
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Vectors, weights and hashes, in runs of which ``width`` numbers a vector fit in memory."""
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+        n, h = batch.column("n").to_numpy(), batch.column("h").to_numpy()
+        rows = max(1, _CELLS // max(width, x.shape[1]))
+        for i in range(0, len(x), rows):
+            yield x[i:i + rows], n[i:i + rows].astype(float), h[i:i + rows]
+
+
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances (vector, restart, centre)."""
+    flat = centres.reshape(-1, centres.shape[-1])
+    out = (x * x).sum(axis=1)[:, None] - 2.0 * (x @ flat.T) + (flat * flat).sum(axis=1)[None, :]
+    return np.maximum(out, 0.0).reshape(len(x), *centres.shape[:2])
+
+
+def _uniform(h: np.ndarray, seeds: np.ndarray, step: int) -> np.ndarray:
+    """A number in (0, 1) per (vector, seed), mixed from the vector's hash."""
+    z = h.view(np.uint64)[:, None] ^ (seeds.view(np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
+                                      + np.uint64((step + 1) * 0xD1B54A32D192ED03 % 2**64))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        z = (z ^ (z >> np.uint64(shift))) * np.uint64(factor)
+    return ((z ^ (z >> np.uint64(31))) >> np.uint64(11)).astype(float) / 2.0**53 + 2.0**-54
+
+
+def _draw(vectors: DataFrame, centres: np.ndarray, seeds: np.ndarray, step: int) -> list:
+    """The next centre of every restart."""
+    def race(batches):
+        best = {}
+        for x, n, h in _blocks(batches, len(seeds) * max(1, centres.shape[1], centres.shape[2])):
+            near = _squares(x, centres).min(axis=2) if centres.shape[1] else np.ones((len(x), len(seeds)))
+            for c in range(centres.shape[1]):  # a centre is at distance 0 from itself, whatever the rounding
+                near[(x[:, None, :] == centres[None, :, c]).all(axis=2)] = 0.0
+            with np.errstate(divide="ignore"):
+                key = -np.log(_uniform(h, seeds, step)) / (n[:, None] * near)
+            for r, i in enumerate(key.argmin(axis=0)):
+                if r not in best or (key[i, r], h[i]) < best[r][:2]:
+                    best[r] = (key[i, r], h[i], x[i].copy())
+        if best:
+            yield pa.RecordBatch.from_pydict({
+                "restart": pa.array(list(best), pa.int32()), "key": pa.array([float(b[0]) for b in best.values()], pa.float64()),
+                "h": pa.array([int(b[1]) for b in best.values()], pa.int64()),
+                "v": pa.array([b[2].tolist() for b in best.values()], pa.list_(pa.float64()))})
+    found = vectors.mapInArrow(race, "restart int, key double, h long, v array<double>")
+    return found.groupBy("restart").agg(F.min_by("v", F.struct("key", "h")).alias("v")).collect()
+
+
+def _sums(vectors: DataFrame, centres: np.ndarray) -> list:
+    """Rows (restart, centre, n, s0, s1, ...) of the vectors nearest to each centre."""
+    restarts, k, d = centres.shape
+
+    def partial(batches):
+        total, count = np.zeros((restarts, k, d)), np.zeros((restarts, k))
+        for x, n, _ in _blocks(batches, restarts * k):
+            at = _squares(x, centres).argmin(axis=2)
+            weighted = x * n[:, None]
+            for r in range(restarts):
+                member = np.zeros((len(x), k))
+                member[np.arange(len(x)), at[:, r]] = 1.0
+                total[r] += member.T @ weighted
+                count[r] += n @ member
+        r, c = np.nonzero(count)
+        if len(r):
+            yield pa.RecordBatch.from_pydict({"restart": pa.array(r, pa.int32()), "centre": pa.array(c, pa.int32()),
+                                              "n": pa.array(count[r, c], pa.float64()),
+                                              "s": pa.array(total[r, c].tolist(), pa.list_(pa.float64()))})
+    parts = vectors.select("v", "n", "h").mapInArrow(partial, "restart int, centre int, n double, s array<double>")
+    return parts.groupBy("restart", "centre").agg(F.sum("n").alias("n"), *[F.sum(F.get("s", F.lit(i))).alias(f"s{i}") for i in range(d)]).collect()
+
+
+def _costs(vectors: DataFrame, centres: np.ndarray) -> list:
+    """Rows (restart, cost)."""
+    restarts, k, _ = centres.shape
+
+    def partial(batches):
+        cost = np.zeros(restarts)
+        for x, n, _ in _blocks(batches, restarts * k):
+            cost += n @ _squares(x, centres).min(axis=2)
+        yield pa.RecordBatch.from_pydict({"restart": pa.array(range(restarts), pa.int32()), "cost": pa.array(cost, pa.float64())})
+    parts = vectors.select("v", "n", "h").mapInArrow(partial, "restart int, cost double")
+    return parts.groupBy("restart").agg(F.sum("cost").alias("cost")).collect()
+
+
+def _literal(values: Sequence[float]) -> Column:
+    """A literal array of doubles."""
+    return F.expr("array(" + ", ".join(f"double('{float(v)!r}')" for v in values) + ")")
+
+
+def vector_distances(vector, centres: Sequence[Sequence[float]]) -> Column:
+    """Euclidean distances of an array column to each centre, as one array; NULL where the
+    vector or a component is NULL."""
+    if not len(centres):
+        return F.array().cast("array<double>")
+
+    def distance(c: Column) -> Column:
+        squares = F.zip_with(col_of(vector), c, lambda a, b: (a - b) * (a - b))
+        return F.sqrt(F.aggregate(squares, F.lit(0.0), lambda s, x: s + x))
+    table = F.expr("array(" + ", ".join("array(" + ", ".join(f"double('{float(x)!r}')" for x in c) + ")" for c in centres) + ")")
+    far = F.transform(table, distance)
+    return F.when(F.forall(far, lambda x: x.isNotNull()), far)
+
+
+def centroid_distances(columns, centres: Sequence[Sequence[float]], prefix: str = "Centroid") -> dict[str, Column]:
+    """Distance of each row to each centre as ``{prefix}{i}`` columns (F4); ``columns`` are
+    numeric columns or one array column.  Compute :func:`vector_distances` as a column first
+    where several of them are read."""
+    vector = F.array(*[col_of(c).cast("double") for c in columns]) if not isinstance(columns, (str, Column)) else col_of(columns)
+    far = vector_distances(vector, centres)
+    return {f"{prefix}{i}": F.get(far, F.lit(i)) for i in range(len(centres))}
+
+
+# executors need no copy of this package on their import path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

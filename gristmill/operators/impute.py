@@ -146,7 +146,7 @@ class ModelImputer(Estimator):
         stages = []
         if self.categorical:
             stages += [StringIndexer(inputCols=self.categorical, outputCols=idx, handleInvalid="keep"),
-                       OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="keep")]
+                       OneHotEncoder(inputCols=idx, outputCols=ohe, dropLast=True, handleInvalid="error")]
         stages += [VectorAssembler(inputCols=ohe + self.numeric, outputCol="__feat", handleInvalid="keep"),
                    RandomForestRegressor(featuresCol="__feat", labelCol="__label", predictionCol="__pred",
                                          numTrees=self.num_trees, seed=self.seed)]

@@ -110,11 +110,15 @@ def post_adjust(pred, add: float = 0.0, step_threshold: float | None = None, ste
 # ---- Spark ML models (M1-M6, M15) ------------------------------------------------------
 
 def feature_assembler(numeric: Sequence[str], categorical: Sequence[str], output: str = "features",
-                      scale: bool = True):
+                      scale: bool = True, categorical_fill: str | None = None, constant: str = "missing"):
     """Column-type router (E9): impute + scale numerics, one-hot categoricals
-    (unknown -> zeros), assemble one vector.  Returns a list of ML stages."""
+    (unknown -> zeros), assemble one vector.  Returns a list of ML stages.
+
+    ``categorical_fill``: None leaves a NULL category unknown, ``"most_frequent"``
+    fills it with the fitted rows' mode, ``"constant"`` with ``constant``, which is a
+    level of its own if fitted rows hold it."""
     from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-    from .scaling import PopulationScaler
+    from .scaling import CategoryFill, PopulationScaler
     stages = []
     num_in = list(numeric)
     if num_in:
@@ -127,8 +131,13 @@ def feature_assembler(numeric: Sequence[str], categorical: Sequence[str], output
     if categorical:
         idx = [f"__idx_{c}" for c in categorical]
         cat_out = [f"__ohe_{c}" for c in categorical]
-        stages.append(StringIndexer(inputCols=list(categorical), outputCols=idx, handleInvalid="keep"))
-        stages.append(OneHotEncoder(inputCols=idx, outputCols=cat_out, dropLast=True, handleInvalid="keep"))
+        source = list(categorical)
+        if categorical_fill:
+            source = [f"__cat_{c}" for c in categorical]
+            stages.append(CategoryFill(list(categorical), source, categorical_fill, constant))
+        # the indexer files unknown levels last and the encoder drops the last one: they become all zeros
+        stages.append(StringIndexer(inputCols=source, outputCols=idx, handleInvalid="keep"))
+        stages.append(OneHotEncoder(inputCols=idx, outputCols=cat_out, dropLast=True, handleInvalid="error"))
     parts = (["__nums"] if scale else ["__num"]) if num_in else []
     stages.append(VectorAssembler(inputCols=parts + cat_out, outputCol=output, handleInvalid="keep"))
     return stages

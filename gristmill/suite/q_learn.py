@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..operators import models as M
 from ..operators import score as SC
 from ..operators import validate as V
-from ..operators.cluster import centroid_distances, kmeans_label
+from ..operators.cluster import kmeans_label, vector_distances
 from ..operators.encode import pca_project
 from ..session import ensure_checkpoint_dir
 from .inputs import OC, OC_SQL, S, S_SQL, T as tbl
@@ -89,8 +89,8 @@ def _emb_columns(spark, d):
 
 @register("kmeans_label")
 def q_kmeans_label(spark, d):
-    e = _emb_columns(spark, d)
-    _, _, out = kmeans_label(e, [f"e{i}" for i in range(N_DIMS)], k=10, seed=0)
+    """Every row's cluster, from 50 restarts over the one array column."""
+    _, _, out = kmeans_label(tbl(spark, d, "embeddings"), "embedding", k=10, seed=0)
     return out.select("vec_id", F.col("Cluster").cast("int").alias("cluster"))
 
 
@@ -108,9 +108,9 @@ def _centre_sql(j, c):
 @register("centroid_distance", sql="SELECT vec_id, " + ", ".join(
     _centre_sql(j, c) for j, c in enumerate(centres())) + " FROM embeddings")
 def centroid_distance(spark, d):
-    e = _emb_columns(spark, d)
-    cols = centroid_distances([f"e{i}" for i in range(N_DIMS)], centres())
-    return e.select("vec_id", *[F.round(v, 6).alias(k) for k, v in cols.items()])
+    vector = F.transform("embedding", lambda x: x.cast("double"))
+    e = tbl(spark, d, "embeddings").select("vec_id", vector_distances(vector, centres()).alias("far"))
+    return e.select("vec_id", *[F.round(F.get("far", F.lit(i)), 6).alias(f"Centroid{i}") for i in range(3)])
 
 
 @register("pca_project")
