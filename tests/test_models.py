@@ -85,6 +85,7 @@ def test_learning_queries_do_the_full_work(spark, monkeypatch):
     import inspect
     from types import SimpleNamespace
 
+    from gristmill.operators import boosting as B
     from gristmill.plans import housing, spaceship
     from gristmill.suite import QUERIES, q_learn
     for plan in (housing, spaceship):
@@ -104,15 +105,16 @@ def test_learning_queries_do_the_full_work(spark, monkeypatch):
         QUERIES["kmeans_label"](spark, SF_SMALL)
     assert asked["restarts"] == 50
 
-    def validated(est, ev, data, fold, grid=None, parallelism=2):
-        asked["grid"], asked["rounds"] = grid or [{}], est.getMaxIter()
-        return SimpleNamespace(avgMetrics=[0.5] * len(asked["grid"]))
-    monkeypatch.setattr(q_learn.V, "cross_validate", validated)
-    assert QUERIES["grid_search"](spark, SF_SMALL).distinct().count() == 144
-    assert len({tuple(sorted((p.name, v) for p, v in pm.items())) for pm in asked["grid"]}) == 144 and asked["rounds"] == 20
-    for name, rows in (("cv_score", 1), ("random_search", 20)):
+    def trained(df, features, label, jobs, key, fold=None, rounds=100, loss="logistic", **kw):
+        asked.setdefault("jobs", []).extend(jobs)
+        asked["rounds"] = rounds
+        return B.Boosted([B.Booster(j, loss, 0.0, []) for j in jobs], [[(1.0, 1.0, 0.5)] * rounds for _ in jobs])
+    monkeypatch.setattr(B, "boost", trained)
+    for name, rows, models in (("grid_search", 144, 432 + 1), ("cv_score", 1, 3), ("random_search", 20, 60 + 1)):
         asked.clear()
-        assert QUERIES[name](spark, SF_SMALL).count() == rows and asked["rounds"] == 20
+        assert QUERIES[name](spark, SF_SMALL).count() == rows
+        assert len(asked["jobs"]) == models and asked["rounds"] == 100
+    assert len({c for c in q_learn.SEARCH_GRID}) == 144
 
     def fitted(kind):
         def make(*args, **kw):
