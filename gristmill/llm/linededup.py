@@ -23,7 +23,7 @@ passes through).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, ascii_lower, fresh, shuffle_partitions, text_or_empty
@@ -46,6 +46,14 @@ def _lines(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> DataF
             .select("doc", "tkey", "pos", F.xxhash64("key").alias("h1"), F.hash("key").alias("h2")))
 
 
+def first_occurrences(lines: DataFrame) -> DataFrame:
+    """The first line (h1, h2, doc, pos) per hash and document, streamed from sorted range partitions:
+    the window's sort (hash, document, position) runs inside them, without another shuffle."""
+    ranged = lines.select("h1", "h2", "doc", "pos").repartitionByRange(shuffle_partitions(lines.sparkSession), "h1", "h2", "doc")
+    run = Window.partitionBy("h1", "h2", "doc").orderBy("pos")
+    return ranged.withColumn("place", F.row_number().over(run)).where("place = 1").drop("place")
+
+
 def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  min_chars: int = 40, min_docs: int = 5, scratch: Scratch | None = None) -> DataFrame:
     """One row (id, tkey, keep_bitmap) per distinct (id, text) that loses a line.
@@ -56,10 +64,7 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spark = docs.sparkSession
     scratch = scratch or Scratch(spark, "linededup")
     lines = scratch.table(_lines(docs, id_col, text_col, min_chars), "lines")
-    ranged = (lines.select("h1", "h2", "doc", "pos")
-              .repartitionByRange(shuffle_partitions(spark), "h1", "h2", "doc")
-              .sortWithinPartitions("h1", "h2", "doc", "pos"))
-    first = ranged.groupBy("h1", "h2", "doc").agg(F.min("pos").alias("pos"))
+    first = first_occurrences(lines)
     shared = (first.groupBy("h1", "h2").agg(F.count("*").alias("n_docs"), F.max("doc").alias("keeper"))
               .where(F.col("n_docs") >= min_docs).select("h1", "h2", "keeper"))
     shared = scratch.table(shared, "shared")

@@ -348,7 +348,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def op8_suffix_dedup(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return remove_repeats(docs).select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    return remove_repeats(docs).select(
+        "doc_id", "n_removed", "n_spans", "n_bytes", F.length("kept").cast("long").alias("n_kept"),
+        (F.col("n_removed") > 0).alias("repeats"), F.sha2("kept", 256).alias("kept_sha256"))
 
 
 ship_by_value(__name__)

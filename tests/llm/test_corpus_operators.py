@@ -484,6 +484,15 @@ def test_line_dedup_exact(spark):
     assert linededup.dedup_lines(docs_frame(spark, [])).count() == 0
 
 
+def test_first_occurrences_are_sorted_and_streamed(spark):
+    lines = spark.createDataFrame([(1, 1, 5, 3), (1, 1, 5, 0), (1, 1, 4, 2), (2, 1, 5, 9)], "h1 long, h2 int, doc long, pos int")
+    first = linededup.first_occurrences(lines)
+    assert sorted(tuple(r) for r in first.collect()) == [(1, 1, 4, 2), (1, 1, 5, 0), (2, 1, 5, 9)]
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning(h1" in plan
+    assert re.search(r"Sort \[h1\S* ASC NULLS FIRST, h2\S* ASC NULLS FIRST, doc\S* ASC NULLS FIRST, pos", plan)
+
+
 # HTML
 
 def page(body, host="a.example"):
