@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .quoted import quoted_records
+
 # Text read as missing by default (pandas read_csv NA tokens).
 NA_TOKENS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND",
              "1.#QNAN", "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
@@ -32,18 +34,22 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Se
     tokens as they stand (a blank cell is not missing).
 
     Quoted cells may hold newlines when ``multiline`` (by default: if the schema
-    has a text column).  Such a file is read by one task, so large free text
-    should come as many files or as Parquet.  A record with the wrong number of
-    cells fails the read.
+    has a text column); such files are split by quote parity (``quoted.py``) and read by
+    many tasks.  A record with the wrong number of cells fails the read.
     """
     if multiline is None:
         multiline = any(isinstance(f.dataType, T.StringType) for f in schema.fields)
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = (spark.read.schema(text_schema).option("header", header).option("quote", '"')
-                .option("escape", '"').option("nullValue", "\u0000").option("emptyValue", "")
-                .option("multiLine", multiline).option("ignoreLeadingWhiteSpace", False)
-                .option("ignoreTrailingWhiteSpace", False).option("lineSep", "\n").option("maxCharsPerColumn", -1)
-                .option("mode", "FAILFAST").csv(path))
+    options = {"quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": "", "ignoreLeadingWhiteSpace": "false",
+               "ignoreTrailingWhiteSpace": "false", "maxCharsPerColumn": "-1", "mode": "FAILFAST"}
+    if multiline:
+        records = quoted_records(spark, path).where("record <> ''")
+        records = records.where("NOT first") if header else records
+        # a record has one line for the parser: newlines stand inside its cells
+        parsed = F.from_csv("record", _ddl(text_schema), options | {"lineSep": "\u0001"})
+        raw = records.select(parsed.alias("r")).select("r.*")
+    else:
+        raw = spark.read.schema(text_schema).options(**options).option("header", header).option("lineSep", "\n").csv(path)
     na = list(na_tokens)
     cols = []
     for f in schema.fields:
@@ -60,6 +66,10 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, na_tokens: Se
     return raw.select(*cols)
 
 
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     """Processed table as header CSV, no index (S4, S5, S6); a directory of parts.
     Cells with quotes, commas or newlines are quoted; white space stays."""
