@@ -7,6 +7,7 @@ picked inside Spark -- nothing but the final small table reaches the driver.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -22,37 +23,81 @@ def blend_sweep(df: DataFrame, label, pred_a, pred_b, metric: str = "accuracy",
                 cutoff: float = 0.5) -> DataFrame:
     """Evaluate ``w*a + (1-w)*b`` for w = 0, step, ..., 1 in one pass.
 
-    One aggregation with a column per weight, so no row is multiplied; its one
-    row is then unpivoted.  Returns (w, metric, best, i); ``best`` marks the
-    first weight reaching the best value (ties -> lowest weight, as a strict
-    ``>`` sweep keeps).  Metrics: accuracy (``> cutoff``, maximised), rmsle, mae
-    and rmse (minimised).
+    Returns (w, metric, best, i); ``best`` marks the first weight reaching the best
+    value (ties -> lowest weight, as a strict ``>`` sweep keeps).  Metrics: accuracy
+    (``> cutoff``, maximised), rmsle, mae and rmse (minimised).  Rows with a NULL do
+    not count.
+
+    A row's blend is linear in w, so no row is evaluated per weight: its class, or the sign
+    of its error, turns at one grid point at most.  Rows are summed per turning point (at
+    most one group per weight), and running sums over the grid give every weight's accuracy
+    or absolute error; the squared error is a quadratic with three sums.  Only the logarithmic
+    error needs a term per weight.
     """
     n = int(round(1 / step)) + 1
-    cols = df.select(col_of(label).cast("double").alias("__y"), col_of(pred_a).cast("double").alias("__a"),
-                     col_of(pred_b).cast("double").alias("__b"))
-    y = F.col("__y")
-
+    cols = df.select(col_of(label).cast("double").alias("y"), col_of(pred_a).cast("double").alias("a"),
+                     col_of(pred_b).cast("double").alias("b")).where("y is not null and a is not null and b is not null")
+    sweep = {"accuracy": _sweep_accuracy, "mae": _sweep_absolute, "rmse": _sweep_squared, "rmsle": _sweep_logarithmic}.get(metric)
+    if sweep is None:
+        raise ValueError(metric)
+    values = sweep(cols, n, step, cutoff)
+    known = [v for v in values if v is not None]
+    best = (max if metric == "accuracy" else min)(known) if known else None
+    first = next((i for i, v in enumerate(values) if v == best), -1) if known else -1
+    rows = [(i * step, v, int(i == first), i) for i, v in enumerate(values)]
+    return df.sparkSession.createDataFrame(rows, "w double, metric double, best int, i int")
+
+
+def _turns(per: list, n: int, before, after) -> list[float]:
+    """Per weight: ``before(row, i)`` of the groups that turn later, and ``after(row, i)`` of the others."""
+    return [sum(before(r, i) if r["k"] > i else after(r, i) for r in per) for i in range(n)]
+
+
+def _sweep_accuracy(cols: DataFrame, n: int, step: float, cutoff: float) -> list[float | None]:
+    def chosen(i):
+        w = i.cast("double") * F.lit(step)
+        return w * F.col("a") + (F.lit(1.0) - w) * F.col("b") > cutoff
+    ends = cols.withColumns({"p0": chosen(F.lit(0)), "p1": chosen(F.lit(n - 1))})
+    # near the crossing the blend itself decides, as rounding may move it by a grid point
+    crossing = F.floor(F.try_divide(F.lit(cutoff) - F.col("b"), (F.col("a") - F.col("b")) * F.lit(step)))
+    at = ends.withColumn("g", F.greatest(F.lit(0), F.least(crossing - 1, F.lit(n - 1))).cast("int"))
+    k = F.col("g")
+    for d in range(4):
+        i = F.col("g") + d
+        k = k + ((i < n) & (chosen(i) == F.col("p0"))).cast("int")
+    turn = F.when(F.col("p0") == F.col("p1"), F.lit(n)).otherwise(k)
+    right = (F.col("p0").cast("double") == F.col("y")).cast("long"), ((~F.col("p0")).cast("double") == F.col("y")).cast("long")
+    per = at.groupBy(turn.alias("k")).agg(F.count("*").alias("n"), F.sum(right[0]).alias("r0"), F.sum(right[1]).alias("r1")).collect()
+    total = sum(r["n"] for r in per)
+    return [x / total if total else None for x in _turns(per, n, lambda r, i: r["r0"], lambda r, i: r["r1"])]
+
+
+def _sweep_absolute(cols: DataFrame, n: int, step: float, cutoff: float) -> list[float | None]:
+    e = cols.select((F.col("b") - F.col("y")).alias("d"), (F.col("a") - F.col("b")).alias("s"), (F.col("a") - F.col("y")).alias("z"))
+    up = (F.col("d") > 0) | ((F.col("d") == 0) & (F.col("z") > 0))
+    crosses = F.col("d") * F.col("z") < 0
+    k = F.when(crosses, F.floor(F.try_divide(-F.col("d"), F.col("s") * F.lit(step))) + 1).otherwise(F.lit(n)).cast("int")
+    sign = F.when(up, F.lit(1.0)).otherwise(F.lit(-1.0))
+    per = e.groupBy(k.alias("k")).agg(F.count("*").alias("n"), F.sum(sign * F.col("d")).alias("d"), F.sum(sign * F.col("s")).alias("s")).collect()
+    total = sum(r["n"] for r in per)
+    sums = _turns(per, n, lambda r, i: r["d"] + i * step * r["s"], lambda r, i: -(r["d"] + i * step * r["s"]))
+    return [x / total if total else None for x in sums]
+
+
+def _sweep_squared(cols: DataFrame, n: int, step: float, cutoff: float) -> list[float | None]:
+    d, s = F.col("b") - F.col("y"), F.col("a") - F.col("b")
+    r = cols.agg(F.count("*").alias("n"), F.sum(d * d).alias("dd"), F.sum(d * s).alias("ds"), F.sum(s * s).alias("ss")).first()
+    if not r["n"]:
+        return [None] * n
+    return [math.sqrt(max(r["dd"] + 2 * i * step * r["ds"] + (i * step) ** 2 * r["ss"], 0.0) / r["n"]) for i in range(n)]
+
+
+def _sweep_logarithmic(cols: DataFrame, n: int, step: float, cutoff: float) -> list[float | None]:
     def of(i: int) -> Column:
         w = F.lit(i) * F.lit(step)
-        p = w * F.col("__a") + (F.lit(1.0) - w) * F.col("__b")
-        if metric == "accuracy":
-            return F.avg(((p > cutoff).cast("double") == y).cast("double"))
-        if metric == "rmsle":
-            d = F.log1p(p) - F.log1p(y)
-            return F.sqrt(F.avg(d * d))
-        if metric == "mae":
-            return F.avg(F.abs(p - y))
-        if metric == "rmse":
-            return F.sqrt(F.avg((p - y) * (p - y)))
-        raise ValueError(metric)
-
-    row = cols.agg(F.array(*[of(i) for i in range(n)]).alias("m"))
-    out = row.select(F.posexplode("m").alias("i", "metric")).withColumn("w", F.col("i") * F.lit(step))
-    # the candidate table has n rows: a window without keys over it is bounded
-    best_val = (F.max if metric == "accuracy" else F.min)("metric").over(Window.partitionBy())
-    first_best = F.min(F.when(F.col("metric") == best_val, F.col("i"))).over(Window.partitionBy())
-    return out.select("w", "metric", (F.col("i") == first_best).cast("int").alias("best"), "i")
+        d = F.log1p(w * F.col("a") + (F.lit(1.0) - w) * F.col("b")) - F.log1p("y")
+        return F.sqrt(F.avg(d * d))
+    return list(cols.agg(F.array(*[of(i) for i in range(n)]).alias("m")).first()["m"])
 
 
 def apply_blend(pred_a, pred_b, w: float) -> Column:
