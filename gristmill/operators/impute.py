@@ -12,11 +12,13 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..core import Estimator, Model, col_of, scalar_row
+from ..core import Estimator, Model, col_of, materialize, scalar_row
 from ..functions.columns import numeric_columns
 from .groupstats import GroupStat, global_stat
 from .quantile import group_quantiles
+from .valuecounts import ValueCounts
 
 
 def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
@@ -40,7 +42,10 @@ class GlobalImputer(Estimator):
         elif self.strategy == "median":
             vals = _global_medians(src, cols)
         elif self.strategy == "mode":
-            vals = {c: global_stat(src, c, "mode") for c in cols}
+            texts = [f.name for f in src.schema.fields if f.name in cols and isinstance(f.dataType, T.StringType)]
+            vals = {c: global_stat(src, c, "mode") for c in cols if c not in texts}
+            if texts:  # one job for all text columns
+                vals |= {r["column"]: r["mode"] for r in ValueCounts.fit(src, texts=texts).modes().collect()}
         else:
             raise ValueError(self.strategy)
         return ConstantFillModel({c: v for c, v in vals.items() if v is not None})
@@ -92,6 +97,19 @@ class GroupFillModel(Model):
         return out.withColumn(self.column, F.coalesce(*parts)).drop("__fill")
 
 
+def fill_groups(df: DataFrame, columns: Sequence[str], by: Sequence[str], stat: str = "median") -> DataFrame:
+    """Fill several numeric columns with their group's median, mean or mode (I5, I8): one
+    value-count table for all of them, and one join."""
+    columns, by = list(columns), list(by)
+    counts = ValueCounts.fit(df, numbers=columns, by=by)
+    long = {"median": lambda: counts.quantiles([0.5], ["x"]), "mean": lambda: counts.means().withColumnRenamed("mean", "x"),
+            "mode": lambda: counts.modes().withColumnRenamed("mode", "x")}[stat]()
+    names = {c: f"__fill{i}" for i, c in enumerate(columns)}
+    table = long.groupBy(*by).agg(*[F.max(F.when(F.col("column") == c, F.col("x"))).alias(n) for c, n in names.items()])
+    out = materialize(table).attach(df, by, "left")
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(n)) for c, n in names.items()}).drop(*names.values())
+
+
 def impute_cascade(df: DataFrame, column: str, stages: Sequence[tuple], fit_on=None) -> DataFrame:
     """Run fills in order; each stage is ``(by, stat)`` or ``(by, stat, cast)``
     and is fitted on the previous stage's output (I4, I6).  An empty ``by``

@@ -42,6 +42,15 @@ def group_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
         bounds = sorted(set(sketch or []))
     counts = (base.withColumn("__b", bucket_of(F.col("__v"), bounds, "double"))
               .groupBy(*by, "__b", "__v").agg(F.count(F.lit(1)).alias("__c")))
+    return quantiles_of_counts(counts, probs, by, names)
+
+
+def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = (),
+                        names: Sequence[str] | None = None) -> DataFrame:
+    """:func:`group_quantiles` of values that are counted already: one row per (``by``, bucket
+    ``__b``, value ``__v``) with the count ``__c``; buckets are monotone in the value."""
+    by = list(by)
+    names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     table = offsets(counts, by, "__b", {"__k": F.sum("__c")})
     table = table.withColumn("__upto", F.lead("__k_before").over(_by(table).orderBy("__at")))
     table = table.withColumn("__upto", F.coalesce("__upto", "__k_all"))

@@ -11,7 +11,7 @@ from ..functions import columns as C
 from ..functions import strings as S
 from ..operators.cluster import cluster_with_distances
 from ..operators.encode import OneHotTimes
-from ..operators.impute import GlobalImputer, GroupImputer, flag_from_threshold, impute_cascade
+from ..operators.impute import GlobalImputer, fill_groups, flag_from_threshold, impute_cascade
 
 # Planet and destination codes.
 HOME_CODES = {"Earth": 1, "Europa": 2, "Mars": 3}
@@ -47,9 +47,7 @@ def preprocess(df: DataFrame, k: int = 10, restarts: int = 50, reference_compat:
     df = df.withColumn("CryoSleep", F.coalesce(F.col("CryoSleep"), F.when(F.col("Active"), 0).otherwise(1)))
     df = df.withColumns({s: F.when(F.col(s).isNull() & (F.col("CryoSleep") == 1), F.lit(0.0)).otherwise(F.col(s))
                          for s in SERVICES})
-    for s in SERVICES:
-        df = GroupImputer(s, ["CryoSleep"], "median").fit(df).transform(df)
-    df = cut_lineage(df)
+    df = cut_lineage(fill_groups(df, SERVICES, ["CryoSleep"], "median"))
     df = df.withColumn("TotalBill", sum((F.col(s) for s in SERVICES), F.lit(0.0)))
     df = flag_from_threshold(df, "VIP", "TotalBill")
     df = OneHotTimes("Destination", "TotalBill", "Hp").fit(df).transform(df)

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..core import cut_lineage, materialize
 from ..functions.binning import cut_right
 from ..operators.groupstats import attach_stats
-from ..operators.impute import GroupImputer
-from ..operators.quantile import global_quantiles
+from ..operators.valuecounts import ValueCounts
 from .inputs import OC, OC_SQL
 from .registry import register
 
@@ -20,12 +20,19 @@ QUARTILE_LABELS = ["Low", "Medium", "High", "Very High"]
 
 
 def order_features(df):
-    """The flagship feature plan on an OC-shaped DataFrame."""
-    df = GroupImputer("price_n", ["o_orderpriority"], "median").fit(df).transform(df)
+    """The flagship feature plan on an OC-shaped DataFrame.
+
+    The joined columns are written once; one value-count table gives the medians and, with
+    the filled values in their places, the quartiles."""
+    df = cut_lineage(df.select("o_orderkey", "price_n", "o_orderpriority", "c_mktsegment", "c_nationkey", "y", "is_train"))
+    counts = ValueCounts.fit(df, numbers=["price_n"], by=["o_orderpriority"])
+    medians = materialize(counts.quantiles([0.5], ["__median"]).drop("n", "column"))
+    edges = counts.filled(medians, "__median").quantiles([0.0, 0.25, 0.5, 0.75, 1.0], by=()).first()
+    edges = [edges[f"q{i}"] for i in range(5)] if edges else [None] * 5
+    df = medians.attach(df, ["o_orderpriority"]).withColumn("price_n", F.coalesce("price_n", "__median")).drop("__median")
     # segment mean (all rows) and nation delay rate (train rows): one scan
     df = attach_stats(df, [("c_mktsegment", "price_n", "mean", "__seg_mean", None),
                            ("c_nationkey", "y", "rate", "nation_rate", F.col("is_train"))])
-    edges = global_quantiles(df, "price_n", [0.0, 0.25, 0.5, 0.75, 1.0])
     return df.select(
         "o_orderkey",
         F.round("price_n", 4).alias("price_f"),
