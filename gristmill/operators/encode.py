@@ -6,8 +6,13 @@ unbounded level sets stay in a distributed table joined back.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import sys
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -178,15 +183,75 @@ class StandardizerModel(Model):
         return df.withColumns(out)
 
 
-def pca_project(df: DataFrame, columns: Sequence[str], k: int, output: str = "pca"):
-    """Centre the columns, then project on the top ``k`` principal components
-    (E10).  Spark's PCA does not centre, so a mean-only scaler comes first."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import PCA, StandardScaler, VectorAssembler
-    pipe = Pipeline(stages=[
-        VectorAssembler(inputCols=list(columns), outputCol="__pca_in", handleInvalid="keep"),
-        StandardScaler(inputCol="__pca_in", outputCol="__pca_c", withMean=True, withStd=False),
-        PCA(k=k, inputCol="__pca_c", outputCol=output),
-    ])
-    model = pipe.fit(df)
-    return model, model.transform(df).drop("__pca_in", "__pca_c")
+@dataclass
+class PcaModel(Model):
+    """Principal components: ``components[i]`` is a unit vector, ``variances[i]`` the variance along it."""
+    columns: str | Sequence[str]
+    mean: list[float]
+    components: list[list[float]]
+    variances: list[float]
+    covariance: np.ndarray
+    output: str
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        """``output``: the array of projections; NULL where a component of the row is missing."""
+        number = lambda v: f"double('{float(v)!r}')"
+        lit = lambda row: "array(" + ", ".join(map(number, row)) + ")"
+        centred = F.zip_with(vector_of(self.columns), F.expr(lit(self.mean)), lambda x, m: x - m)
+        axes = F.expr("array(" + ", ".join(map(lit, self.components)) + ")")
+        out = F.transform(axes, lambda a: F.aggregate(F.zip_with(F.col("__centred"), a, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x))
+        whole = F.forall("__centred", lambda x: x.isNotNull() & ~F.isnan(x))
+        return df.withColumn("__centred", centred).withColumn(self.output, F.when(whole, out)).drop("__centred")
+
+
+def vector_of(columns: str | Sequence[str]) -> Column:
+    """One array of doubles from numeric columns or an array column."""
+    if isinstance(columns, str):
+        return F.transform(columns, lambda x: x.cast("double"))
+    return F.array(*[F.col(f"`{c}`").cast("double") for c in columns])
+
+
+def fit_pca(df: DataFrame, columns: str | Sequence[str], k: int, output: str = "pca") -> PcaModel:
+    """Top ``k`` principal components of the complete rows.
+
+    One pass: every task sums its rows and their outer products around a common shift (the
+    mean of a few rows, so nothing cancels), Spark adds the d (d + 3) / 2 sums up, and the driver
+    solves the d x d eigenproblem.  A component's largest entry is positive (ties: the first),
+    so signs are the same on every run."""
+    vectors = df.select(vector_of(columns).alias("v")).where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x)))
+    few = np.array([r["v"] for r in vectors.limit(100).collect()], float)
+    if not few.size:
+        raise ValueError("no complete rows")
+    shift = few.mean(axis=0)
+    d = len(shift)
+    rows, cols = np.triu_indices(d)
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, product = np.zeros(d + 1), np.zeros((d, d))
+        for batch in batches:
+            x = batch.column("v").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1) - shift
+            total[0] += len(x)
+            total[1:] += x.sum(axis=0)
+            product += x.T @ x
+        at = np.concatenate([total, product[rows, cols]])
+        yield pa.RecordBatch.from_pydict({"i": pa.array(range(len(at)), pa.int32()), "x": pa.array(at, pa.float64())})
+    got = {r["i"]: r["x"] for r in vectors.mapInArrow(sums, "i int, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()}
+    n, total = got[0], np.array([got[1 + i] for i in range(d)])
+    product = np.zeros((d, d))
+    product[rows, cols] = [got[1 + d + i] for i in range(len(rows))]
+    product = product + np.triu(product, 1).T
+    covariance = (product - np.outer(total, total) / n) / max(n - 1, 1)
+    values, axes = np.linalg.eigh(covariance)
+    chosen = axes[:, ::-1][:, :k].T
+    chosen = chosen * np.sign([[a[np.argmax(np.abs(np.round(a, 12)))]] for a in chosen])
+    return PcaModel(columns, (shift + total / n).tolist(), chosen.tolist(), values[::-1][:k].tolist(), covariance, output)
+
+
+def pca_project(df: DataFrame, columns: str | Sequence[str], k: int, output: str = "pca"):
+    """Centre, then project on the top ``k`` principal components (E10): (model, df with ``output``)."""
+    model = fit_pca(df, columns, k, output)
+    return model, model.transform(df)
+
+
+# executors need no copy of this package on their import path
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

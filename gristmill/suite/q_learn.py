@@ -10,7 +10,7 @@ from ..operators import models as M
 from ..operators import score as SC
 from ..operators import validate as V
 from ..operators.cluster import kmeans_label, vector_distances
-from ..operators.encode import pca_project
+from ..operators.encode import fit_pca, pca_project
 from ..session import ensure_checkpoint_dir
 from .inputs import OC, OC_SQL, S, S_SQL, T as tbl
 from .registry import register
@@ -83,11 +83,6 @@ def select_by_mi(spark, d):
 N_DIMS = 64
 
 
-def _emb_columns(spark, d):
-    e = tbl(spark, d, "embeddings")
-    return e.select("vec_id", "label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(N_DIMS)])
-
-
 @register("kmeans_label")
 def q_kmeans_label(spark, d):
     """Every row's cluster, from 50 restarts over the one array column."""
@@ -116,11 +111,71 @@ def centroid_distance(spark, d):
 
 @register("pca_project")
 def q_pca_project(spark, d):
-    from pyspark.ml.functions import vector_to_array
-    e = _emb_columns(spark, d)
-    _, out = pca_project(e, [f"e{i}" for i in range(N_DIMS)], 3)
-    arr = vector_to_array("pca")
-    return out.select("vec_id", *[F.round(arr[i], 6).alias(f"pc{i + 1}") for i in range(3)])
+    model, out = pca_project(tbl(spark, d, "embeddings"), "embedding", 3)
+    return out.select("vec_id", *[F.round(F.get("pca", F.lit(i)), 6).alias(f"pc{i + 1}") for i in range(3)])
+
+
+@register("pca_covariance", sql="""
+WITH x AS (SELECT vec_id, generate_subscripts(embedding, 1) - 1 AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)
+SELECT CAST(a.i AS INTEGER) AS i, CAST(b.i AS INTEGER) AS j, round(covar_samp(a.v, b.v), 9) AS cov
+FROM x a JOIN x b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.i, b.i""")
+def pca_covariance(spark, d):
+    """The covariance matrix that the one-pass fit sums up."""
+    c = fit_pca(tbl(spark, d, "embeddings"), "embedding", 3).covariance
+    rows = [(i, j, float(c[i, j])) for i in range(len(c)) for j in range(i, len(c))]
+    return spark.createDataFrame(rows, "i int, j int, cov double").withColumn("cov", r("cov", 9))
+
+
+def _checks(spark, values):
+    return spark.createDataFrame([(k, float(v)) for k, v in values.items()], "check string, value double").select(
+        F.col("check").alias("check_name"), r("value").alias("value"))
+
+
+def _checks_sql(**values) -> str:
+    return "\nUNION ALL\n".join(f"SELECT '{k}' AS check_name, round(CAST(({v}) AS DOUBLE), 6) AS value" for k, v in values.items())
+
+
+_DIMS_SQL = "(SELECT generate_subscripts(embedding, 1) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings)"
+
+
+@register("pca_checks", sql=_checks_sql(
+    rows="SELECT count(*) FROM embeddings", orthonormal="1", eigen_residual_is_zero="1", variances_are_eigenvalues="1",
+    projections_are_uncorrelated="1", total_variance=f"SELECT sum(s) FROM (SELECT var_samp(v) AS s FROM {_DIMS_SQL} GROUP BY i)"))
+def pca_checks(spark, d):
+    """What makes a projection a principal one: unit axes, C a = lambda a, and projections of
+    variance lambda that do not correlate (E10)."""
+    import numpy as np
+    model, out = pca_project(tbl(spark, d, "embeddings"), "embedding", 3)
+    pc = [F.get("pca", F.lit(i)) for i in range(3)]
+    row = out.agg(F.count("pca").alias("n"), *[F.covar_samp(pc[i], pc[j]).alias(f"c{i}{j}") for i in range(3) for j in range(i, 3)]).first()
+    a, lam = np.array(model.components), np.array(model.variances)
+    return _checks(spark, {
+        "rows": row["n"], "orthonormal": np.allclose(a @ a.T, np.eye(3)),
+        "eigen_residual_is_zero": np.allclose(model.covariance @ a.T, a.T * lam),
+        "variances_are_eigenvalues": np.allclose([row[f"c{i}{i}"] for i in range(3)], lam),
+        "projections_are_uncorrelated": np.allclose([row["c01"], row["c02"], row["c12"]], 0, atol=1e-9),
+        "total_variance": np.trace(model.covariance)})
+
+
+@register("kmeans_checks", sql=_checks_sql(
+    rows="SELECT count(*) FROM embeddings", restarts="50", clusters="10", labels_off_the_nearest_centre="0",
+    centres_are_member_means="1", cost_is_the_sum_of_squares="1", no_restart_is_better="1"))
+def kmeans_checks(spark, d):
+    """What makes labels k-means labels: every row at its nearest centre, every centre the mean of
+    its rows, and the least cost of 50 restarts (F3, F4)."""
+    import numpy as np
+    fit, centres, out = kmeans_label(tbl(spark, d, "embeddings"), "embedding", k=10, seed=0)
+    out = out.select(F.col("Cluster").alias("c"), fit.scaled.alias("v"), fit.distances.alias("far"))
+    off = F.sum((F.get("far", F.col("c")) > F.array_min("far")).cast("long"))
+    per = out.groupBy("c").agg(F.count("*").alias("n"), off.alias("off"), F.sum(F.pow(F.array_min("far"), 2)).alias("cost"),
+                               *[F.avg(F.get("v", F.lit(i))).alias(f"m{i}") for i in range(N_DIMS)]).collect()  # a row per cluster
+    means = {r["c"]: [r[f"m{i}"] for i in range(N_DIMS)] for r in per}
+    return _checks(spark, {
+        "rows": sum(r["n"] for r in per), "restarts": len(fit.costs), "clusters": len(centres),
+        "labels_off_the_nearest_centre": sum(r["off"] for r in per),
+        "centres_are_member_means": all(np.allclose(means[c], centres[c], atol=1e-3) for c in means),
+        "cost_is_the_sum_of_squares": np.isclose(sum(r["cost"] for r in per), fit.cost),
+        "no_restart_is_better": fit.cost == min(fit.costs)})
 
 
 _ONE_HOT = ", ".join(f"CAST(a.c = {i} AS INTEGER) AS f{2 + i}" for i in range(5)) + ", " + ", ".join(
@@ -429,6 +484,30 @@ def random_search(spark, d):
     return _trial_table(spark, B.random_search(train, "x", "label_cls", "o_orderkey", "fold", bounds), test)
 
 
+@register("staged_checks", sql=f"""
+WITH {OC_SQL}, t AS (SELECT y, row_number() OVER (PARTITION BY y ORDER BY {H_SQL}, o_orderkey) AS k, count(*) OVER (PARTITION BY y) AS n FROM OC WHERE is_train),
+v AS (SELECT * FROM t WHERE k <= ceil(0.1 * n))
+""" + _checks_sql(table_rows="30 * 81", holdout_rows="SELECT count(*) FROM v", holdout_positives="SELECT sum(y) FROM v",
+                  counts_add_up="1", best_is_the_largest_f1="1", one_best="1"))
+def staged_checks(spark, d):
+    """Best round and threshold chosen together on a stratified 10 % hold-out."""
+    oc, stages = _oc_features(spark, d)
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    train = V.stratified_holdout(oc.where("is_train").withColumn("h", _hash()), "y", "h", "o_orderkey", 0.1, "is_val")
+    prep = Pipeline(stages=stages).fit(oc.where("is_train"))
+    ready = prep.transform(train).select("o_orderkey", "is_val", "label_cls", vector_to_array("features").alias("x"))
+    model = B.boost(ready.where("is_val = 0"), "x", "label_cls", [B.Job(B.Candidate(4, 0.2))], "o_orderkey", rounds=30).models[0]
+    held = ready.where("is_val = 1")
+    table = B.staged_thresholds(held, model, "x", "label_cls", [t / 100 for t in range(10, 91)]).collect()
+    truth = held.agg(F.count("*").alias("n"), F.sum("label_cls").alias("p")).first()
+    best = [t for t in table if t["best"]]
+    return _checks(spark, {
+        "table_rows": len(table), "holdout_rows": truth["n"], "holdout_positives": truth["p"],
+        "counts_add_up": all(t["tp"] + t["fn"] == truth["p"] and t["fp"] <= truth["n"] - truth["p"] for t in table),
+        "best_is_the_largest_f1": best[0]["f1"] == max(t["f1"] for t in table), "one_best": len(best) == 1})
+
+
 @register("fit_apply_model")
 def fit_apply_model(spark, d):
     """Fit a pipeline on train, save it to the shared folder, load it back and
