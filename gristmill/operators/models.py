@@ -155,35 +155,35 @@ def post_adjust(pred, add: float = 0.0, step_threshold: float | None = None, ste
 # ---- Spark ML models (M1-M6, M15) ------------------------------------------------------
 
 def feature_assembler(numeric: Sequence[str], categorical: Sequence[str], output: str = "features",
-                      scale: bool = True, categorical_fill: str | None = None, constant: str = "missing"):
+                      scale: bool = True, categorical_fill: str | None = None, constant: str = "missing", prefix: str = "__"):
     """Column-type router (E9): impute + scale numerics, one-hot categoricals
     (unknown -> zeros), assemble one vector.  Returns a list of ML stages.
 
     ``categorical_fill``: None leaves a NULL category unknown, ``"most_frequent"``
     fills it with the fitted rows' mode, ``"constant"`` with ``constant``, which is a
-    level of its own if fitted rows hold it."""
+    level of its own if fitted rows hold it.  ``prefix`` keeps two routers of one table apart."""
     from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
     from .scaling import CategoryFill, PopulationScaler
     stages = []
     num_in = list(numeric)
     if num_in:
-        imp = [f"__imp_{c}" for c in num_in]
+        imp = [f"{prefix}imp_{c}" for c in num_in]
         stages.append(Imputer(inputCols=num_in, outputCols=imp, strategy="mean"))
-        stages.append(VectorAssembler(inputCols=imp, outputCol="__num", handleInvalid="keep"))
+        stages.append(VectorAssembler(inputCols=imp, outputCol=f"{prefix}num", handleInvalid="keep"))
         if scale:
-            stages.append(PopulationScaler("__num", "__nums"))
+            stages.append(PopulationScaler(f"{prefix}num", f"{prefix}nums"))
     cat_out = []
     if categorical:
-        idx = [f"__idx_{c}" for c in categorical]
-        cat_out = [f"__ohe_{c}" for c in categorical]
+        idx = [f"{prefix}idx_{c}" for c in categorical]
+        cat_out = [f"{prefix}ohe_{c}" for c in categorical]
         source = list(categorical)
         if categorical_fill:
-            source = [f"__cat_{c}" for c in categorical]
+            source = [f"{prefix}cat_{c}" for c in categorical]
             stages.append(CategoryFill(list(categorical), source, categorical_fill, constant))
         # the indexer files unknown levels last and the encoder drops the last one: they become all zeros
         stages.append(StringIndexer(inputCols=source, outputCols=idx, handleInvalid="keep"))
         stages.append(OneHotEncoder(inputCols=idx, outputCols=cat_out, dropLast=True, handleInvalid="error"))
-    parts = (["__nums"] if scale else ["__num"]) if num_in else []
+    parts = [f"{prefix}nums" if scale else f"{prefix}num"] if num_in else []
     stages.append(VectorAssembler(inputCols=parts + cat_out, outputCol=output, handleInvalid="keep"))
     return stages
 

@@ -41,6 +41,13 @@ class ModelSpec:
     max_depth: int = 5
     num_trees: int = 50
     seed: int = 0
+    #: numeric columns that the second model sees as their first ``pca_k`` principal components
+    pca_columns: Sequence[str] = ()
+    pca_k: int = 3
+    #: one boosted model whose round and threshold are chosen together on a stratified hold-out
+    staged: bool = False
+    rounds: int = 100
+    learning_rate: float = 0.1
     info: dict = field(default_factory=dict)
 
 
@@ -78,6 +85,8 @@ def train_predict(df: DataFrame, spec: ModelSpec) -> DataFrame:
     sequence, so rows with NULL or repeated ids stay.  Fitted choices (blend weight, threshold, validation metric) land in ``spec.info``."""
     from pyspark.ml import Pipeline
     label = F.col(spec.target).cast("double")
+    if spec.staged:
+        return _train_predict_staged(df, spec)
     if spec.transform is not None:
         label = spec.transform(label)
     data = df.withColumns({"__id": F.col(spec.id_col), "__label": label})
@@ -88,10 +97,13 @@ def train_predict(df: DataFrame, spec: ModelSpec) -> DataFrame:
 
     router = Pipeline(stages=M.feature_assembler(list(spec.numeric), list(spec.categorical))).fit(fit_part)
     est_a, est_b = _estimators(spec)
-    ready = router.transform(fit_part).select("__label", "features")
+    route = _with_components(spec, fit_part, router)
+    if spec.pca_columns:
+        est_b.setFeaturesCol("__features_b")
+    ready = route(fit_part).select("__label", "features", *(["__features_b"] if spec.pca_columns else []))
     models = {"__pa": est_a.fit(ready), "__pb": est_b.fit(ready)}
 
-    val = _scored(router.transform(val_part), models, spec.task).select("__label", "__pa", "__pb")
+    val = _scored(route(val_part), models, spec.task).select("__label", "__pa", "__pb")
     sweep = M.blend_sweep(val, "__label", "__pa", "__pb", spec.blend_metric)
     best = sweep.where(F.col("best") == 1).first()
     w = float(best["w"])
@@ -106,7 +118,7 @@ def train_predict(df: DataFrame, spec: ModelSpec) -> DataFrame:
         threshold = float(tbest["threshold"])
         spec.info.update(threshold=threshold, f1=float(tbest["f1"]))
 
-    scored = _scored(router.transform(test), models, spec.task)
+    scored = _scored(route(test), models, spec.task)
     p = M.apply_blend("__pa", "__pb", w)
     if spec.task == "binary":
         if spec.output == "probability":
@@ -121,6 +133,61 @@ def train_predict(df: DataFrame, spec: ModelSpec) -> DataFrame:
     return scored.select(F.col("__id").alias(spec.id_col), pred.alias(spec.target))
 
 
+def _with_components(spec: ModelSpec, fit_part: DataFrame, router) -> Callable[[DataFrame], DataFrame]:
+    """The feature router; with ``pca_columns`` also ``__features_b``, where the principal components
+    of the mean-filled columns stand in their place (E10)."""
+    if not spec.pca_columns:
+        return router.transform
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler, VectorSizeHint
+    from pyspark.ml.functions import array_to_vector
+
+    from ..core import scalar_row
+    from ..operators.encode import fit_pca
+    columns = list(spec.pca_columns)
+    means = scalar_row(fit_part.agg(*[F.avg(c).alias(c) for c in columns]))
+    names = [f"__pca_{c}" for c in columns]
+
+    def filled(df: DataFrame) -> DataFrame:
+        return df.withColumns({n: F.coalesce(F.col(c).cast("double"), F.lit(means[c] or 0.0)) for n, c in zip(names, columns)})
+    pca = fit_pca(filled(fit_part), names, spec.pca_k, "__pca")
+    rest = [c for c in spec.numeric if c not in columns]
+    others = Pipeline(stages=M.feature_assembler(rest, list(spec.categorical), "__rest", prefix="__b")).fit(fit_part)
+    size = VectorSizeHint(inputCol="__pcs", size=len(pca.components), handleInvalid="optimistic")
+    join = VectorAssembler(inputCols=["__pcs", "__rest"], outputCol="__features_b", handleInvalid="keep")
+    spec.info.update(pca_variances=pca.variances)
+
+    def route(df: DataFrame) -> DataFrame:
+        with_pcs = pca.transform(filled(router.transform(df))).withColumn("__pcs", array_to_vector("__pca"))
+        return join.transform(size.transform(others.transform(with_pcs)))
+    return route
+
+
+def _train_predict_staged(df: DataFrame, spec: ModelSpec) -> DataFrame:
+    """One boosted classifier; a stratified hold-out of the train rows chooses its round (early
+    stopping) and its F1 threshold together, from one table over all rounds (M2, V2, M11)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from ..operators import boosting as B
+    data = df.withColumns({"__id": F.col(spec.id_col), "__label": F.col(spec.target).cast("double"),
+                           "__h": V.key_hash(F.col(spec.id_col), spec.seed)})
+    train = data.where(spec.train_rule & F.col("__label").isNotNull())
+    train = V.stratified_holdout(train, "__label", "__h", "__id", spec.holdout, "__val")
+    router = Pipeline(stages=M.feature_assembler(list(spec.numeric), list(spec.categorical))).fit(train.where("__val = 0"))
+    ready = router.transform(train).select("__id", "__val", "__label", vector_to_array("features").alias("__x"))
+    job = B.Job(B.Candidate(depth=spec.max_depth, learning_rate=spec.learning_rate))
+    model = B.boost(ready.where("__val = 0"), "__x", "__label", [job], "__id", rounds=spec.rounds, seed=spec.seed).models[0]
+    table = B.staged_thresholds(ready.where("__val = 1"), model, "__x", "__label", [t / 1000 for t in range(100, 901)])
+    best = table.where("best = 1").first()
+    rounds, threshold = (best["round"], best["threshold"]) if best else (len(model.trees), 0.5)
+    spec.info.update(rounds=rounds, threshold=threshold, f1=best["f1"] if best else None, trees=len(model.trees))
+    scored = router.transform(data.where(~spec.train_rule)).withColumn("__x", vector_to_array("features"))
+    p = model.score("__x", rounds)
+    pred = {"probability": p, "boolean": p > F.lit(threshold)}.get(spec.output, M.apply_threshold(p, threshold))
+    return scored.select(F.col("__id").alias(spec.id_col), pred.alias(spec.target))
+
+
 def feature_lists(df: DataFrame, exclude: Sequence[str]) -> tuple[list[str], list[str]]:
     """Numeric and text feature columns of a processed table."""
     from pyspark.sql import types as T
@@ -138,7 +205,7 @@ def domain_spec(domain: str, df: DataFrame, **overrides) -> ModelSpec:
     # Per-domain target, id, train rule and output settings.
     settings = {
         "titanic": dict(target="Survived", id_col="PassengerId", train_rule=c("PassengerId") <= 891,
-                        task="binary", blend_metric="accuracy"),
+                        task="binary", blend_metric="accuracy", pca_columns=("Sex", "Age", "SibSp", "Parch", "Fare")),
         "housing": dict(target="SalePrice", id_col="Id", train_rule=c("Id") <= 1460, task="regression",
                         blend_metric="rmse", transform=F.log1p, inverse=F.expm1, post_add=2700.0),
         "spaceship": dict(target="Transported", id_col="PassengerId", train_rule=c("Transported") != -1,
@@ -148,7 +215,7 @@ def domain_spec(domain: str, df: DataFrame, **overrides) -> ModelSpec:
         "russian_car": dict(target="price", id_col="id", train_rule=c("id") <= 51635, task="regression",
                             blend_metric="mae", inverse=F.expm1, post_add=-2450.0),
         "loan": dict(target="Credit Default", id_col="Id", train_rule=c("Id") <= 7499, task="binary",
-                     blend_metric="accuracy", tune_threshold=True),
+                     staged=True, holdout=0.1),
         "math_exam": dict(target="mean_exam_points", id_col="Id", train_rule=c("Id") <= 9999, task="regression",
                           blend_metric="mae", post_step_threshold=40.0, post_step=-0.1),
         "delayed_flight": dict(target="dep_delayed_15min", id_col="id", train_rule=c("id") > 99999,
@@ -161,4 +228,6 @@ def domain_spec(domain: str, df: DataFrame, **overrides) -> ModelSpec:
     numeric, text = feature_lists(df, [settings["target"], settings["id_col"]])
     settings.setdefault("numeric", numeric)
     settings.setdefault("categorical", text)
+    if "pca_columns" in settings:  # those that the table holds as numbers
+        settings["pca_columns"] = [x for x in settings["pca_columns"] if x in settings["numeric"]]
     return ModelSpec(**settings)

@@ -63,3 +63,37 @@ def test_titanic_domain_model(spark):
                        categorical=["Embarked", "Title", "CabinLet"])
     out = train_predict(processed, spec)
     assert out.count() == 30 and out.columns == ["PassengerId", "Survived"]
+    assert len(spec.info["pca_variances"]) == 3 and spec.info["pca_variances"] == sorted(spec.info["pca_variances"], reverse=True)
+
+
+def test_staged_training_chooses_round_and_threshold(spark):
+    df = _oc(spark)
+    spec = ModelSpec(target="label_cls", id_col="o_orderkey", train_rule=F.col("is_train"), task="binary", holdout=0.1,
+                     numeric=["c_acctbal", "o_month"], categorical=["o_orderpriority"], staged=True, rounds=12, max_depth=3,
+                     learning_rate=0.4)
+    rows = train_predict(df, spec).collect()
+    truth = {r.o_orderkey: r.label_cls for r in df.where(~F.col("is_train")).collect()}
+    assert len(rows) == len(truth)
+    assert 1 <= spec.info["rounds"] <= spec.info["trees"] == 12 and 0.1 <= spec.info["threshold"] <= 0.9
+    assert spec.info["f1"] > 0.9
+    assert sum(truth[r.o_orderkey] == r.label_cls for r in rows) / len(rows) > 0.9
+
+
+def test_router_has_no_dead_columns_and_fills_categories(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+
+    from gristmill.operators import models as M
+    fit = spark.createDataFrame([(1.0, "a", "x"), (3.0, "a", "y"), (None, "b", "x"), (2.0, None, "it's\\")], "n double, c string, d string")
+    new = spark.createDataFrame([(2.0, "a", "x"), (None, None, "new"), (2.0, "b", None)], "n double, c string, d string")
+
+    def vectors(**kw):
+        model = Pipeline(stages=M.feature_assembler(["n"], ["c", "d"], scale=False, **kw)).fit(fit)
+        return [r["v"] for r in model.transform(new).select(vector_to_array("features").alias("v")).collect()]
+    plain = vectors()
+    assert [len(v) for v in plain] == [1 + 2 + 3] * 3
+    assert plain == [[2.0, 1.0, 0.0, 1.0, 0.0, 0.0], [2.0, 0.0, 0.0, 0.0, 0.0, 0.0], [2.0, 0.0, 1.0, 0.0, 0.0, 0.0]]
+    frequent = vectors(categorical_fill="most_frequent")
+    assert frequent[1][1:3] == [1.0, 0.0] and frequent[2][3] == 1.0 and len(frequent[0]) == 6
+    constant = vectors(categorical_fill="constant")
+    assert len(constant[0]) == 1 + 3 + 3 and constant[1][1:4] == [0.0, 0.0, 1.0]  # "missing" is a level of c only
