@@ -73,9 +73,8 @@ def mi_binned(spark, d):
 def select_by_mi(spark, d):
     oc = OC(spark, d)
     mi = SC.mi_discrete(oc, MI_FEATURES, "y")
-    kept = mi.where(F.col("mi") > 0.0001).select(F.col("feature").alias("column_name"))
-    protected = spark.createDataFrame([("o_orderkey",), ("y",)], "column_name string")
-    return kept.unionByName(protected)
+    _, columns = SC.select_by_score(oc, mi, 0.0001, keep=["o_orderkey", "y"])
+    return spark.createDataFrame([(c,) for c in columns], "column_name string")
 
 
 # ---- F3, F4, E10 -----------------------------------------------------------------------
@@ -534,6 +533,44 @@ def impute_model_rf(spark, d):
     return model.transform(p).select("p_partkey", "p_size")
 
 
+@register("model_checks", sql=_checks_sql(
+    loaded_model_differs="0", class_is_not_the_likeliest="0", probabilities_not_summing_to_one="0", known_values_changed="0",
+    values_left_missing="0", test_rows="SELECT count(*) FROM embeddings WHERE vec_id % 5 = 0"))
+def model_checks(spark, d):
+    """A loaded model predicts as the fitted one (M15), a class is the arg-max of its probabilities
+    (M3), a model fill keeps what is known and leaves nothing missing (I12)."""
+    import uuid
+
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.ml.regression import RandomForestRegressor
+
+    from ..operators.impute import ModelImputer
+    oc, stages = _oc_features(spark, d)
+    test = oc.where(~F.col("is_train"))
+    model, fitted = M.fit_apply(stages + [RandomForestRegressor(labelCol="label_reg", seed=0)], oc.where("is_train"), test)
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/model-{uuid.uuid4().hex}"
+    model.write().save(path)
+    loaded = PipelineModel.load(path).transform(test).select("o_orderkey", F.col("prediction").alias("again"))
+    differs = fitted.join(loaded, "o_orderkey").where(~F.col("prediction").eqNullSafe(F.col("again"))).count()
+
+    e = _emb_vec(spark, d)
+    scored = M.multiclass_classifier("label").fit(e.where(F.col("vec_id") % 5 != 0)).transform(e.where(F.col("vec_id") % 5 == 0))
+    p = vector_to_array("prediction_prob")
+    likeliest = F.array_position(p, F.array_max(p)) - 1
+    row = scored.agg(F.count("*").alias("n"), F.sum((F.col("prediction").cast("int") != likeliest).cast("long")).alias("off"),
+                     F.sum((F.abs(F.aggregate(p, F.lit(0.0), lambda a, x: a + x) - 1) > 1e-9).cast("long")).alias("bad")).first()
+
+    known = F.when(F.col("p_partkey") % 9 != 0, F.col("p_size"))
+    part = tbl(spark, d, "part").withColumns({"p_size": known, "truth": known})
+    filled = ModelImputer("p_size", ["p_brand", "p_type"], ["p_retailprice"], num_trees=20).fit(part).transform(part)
+    f = filled.agg(F.sum((F.col("truth").isNotNull() & (F.col("p_size") != F.col("truth"))).cast("long")).alias("changed"),
+                   F.sum(F.col("p_size").isNull().cast("long")).alias("missing")).first()
+    return _checks(spark, {"loaded_model_differs": differs, "class_is_not_the_likeliest": row["off"],
+                           "probabilities_not_summing_to_one": row["bad"], "known_values_changed": f["changed"],
+                           "values_left_missing": f["missing"], "test_rows": row["n"]})
+
+
 # ---- S5, S6: sinks ---------------------------------------------------------------------
 
 def _shared_path(spark, stem):

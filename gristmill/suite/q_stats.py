@@ -446,6 +446,21 @@ def lookup_composite(spark, d):
     return out.select("c_custkey", "advantage", "significance")
 
 
+@register("lookup_ranges", sql="""
+WITH book AS (SELECT s_nationkey AS nat, (s_suppkey * 37) % 1000 AS lo, (s_suppkey * 37) % 1000 + s_suppkey % 90 AS hi,
+                     s_suppkey AS supplier, s_suppkey AS pos FROM supplier),
+hits AS (SELECT c_custkey, arg_min(supplier, pos) AS supplier FROM customer
+         JOIN book ON c_nationkey = nat AND c_custkey % 1000 BETWEEN lo AND hi GROUP BY c_custkey)
+SELECT c_custkey, coalesce(supplier, -1) AS supplier FROM customer LEFT JOIN hits USING (c_custkey)""")
+def lookup_ranges(spark, d):
+    """Customers' numbers in the suppliers' overlapping ranges per nation; the first listed wins."""
+    lo = (F.col("s_suppkey") * 37) % 1000
+    book = tbl(spark, d, "supplier").select(F.col("s_nationkey").alias("nat"), lo.alias("lo"), (lo + F.col("s_suppkey") % 90).alias("hi"),
+                                            F.col("s_suppkey").alias("supplier"), F.col("s_suppkey").alias("pos"))
+    c = tbl(spark, d, "customer").select("c_custkey", F.col("c_nationkey").alias("nat"), (F.col("c_custkey") % 1000).alias("number"))
+    return J.range_lookup(c, ["nat"], "number", book, "lo", "hi", {"supplier": -1}, pos="pos").select("c_custkey", "supplier")
+
+
 @register("daily_side_join", sql="""
 WITH ev AS (SELECT CAST(ts AS DATE) AS day, event_id, value, event_type FROM events),
 side AS (SELECT day, min(event_id) AS event_id FROM ev GROUP BY day),

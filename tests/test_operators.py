@@ -447,3 +447,26 @@ def test_population_scaler(spark):
     got = [list(r["z"]) for r in PopulationScaler("v", "z").fit(df).transform(df).collect()]
     x = np.array([1.0, 2.0, 6.0])
     assert np.allclose([g[0] for g in got], (x - x.mean()) / x.std()) and all(g[1] == 0 for g in got)
+
+
+@pytest.mark.parametrize("width", [None, 1, 7, 1000])
+def test_range_lookup_equals_brute_force(spark, width):
+    import random
+
+    from gristmill.operators.lookup import range_lookup
+    rng = random.Random(3)
+    book = [(rng.choice("ab"), lo := rng.randint(-40, 80), lo + rng.choice([0, 1, 5, 30, -2]), f"v{i}", i) for i in range(60)]
+    book += [("hot", 0, 10**6, "wide", 100), ("hot", 5, 5, "narrow", 99), ("hot", 7, 9, "late", 101), (None, 0, 9, "null", 102)]
+    rows = [(i, rng.choice(["a", "b", "c", "hot", None]), rng.choice([None, rng.randint(-50, 130)])) for i in range(300)]
+    rows += [(300, "hot", 5), (301, "hot", 7), (302, "hot", 10**6), (303, "hot", 10**6 + 1), (303, "hot", -1)]
+    if width == 1:
+        book, rows = [b for b in book if b[2] < 1000], rows
+    table = spark.createDataFrame(book, "k string, lo int, hi int, v string, pos int")
+    got = range_lookup(spark.createDataFrame(rows, "id int, k string, x int"), ["k"], "x", table, "lo", "hi", {"v": "none"}, "pos", width)
+
+    def want(k, x):
+        hits = [b for b in book if b[0] == k and k is not None and x is not None and b[1] <= x <= b[2]]
+        return min(hits, key=lambda b: b[4])[3] if hits else "none"
+    key = lambda r: (r[0], str(r[1]), str(r[2]), r[3])
+    assert sorted(map(tuple, got.collect()), key=key) == sorted([(i, k, x, want(k, x)) for i, k, x in rows], key=key)
+    assert got.columns == ["id", "k", "x", "v"]
