@@ -47,19 +47,30 @@ def group_quantiles(df: DataFrame, value, probs: Sequence[float], by: Sequence[s
 
 def quantiles_of_counts(counts: DataFrame, probs: Sequence[float], by: Sequence[str] = (),
                         names: Sequence[str] | None = None) -> DataFrame:
-    """:func:`group_quantiles` of values that are counted already: one row per (``by``, bucket
-    ``__b``, value ``__v``) with the count ``__c``; buckets are monotone in the value."""
+    """:func:`group_quantiles` of values that are counted already: rows (``by``, bucket ``__b``,
+    value ``__v``) with the count ``__c``; a value may have several rows, and buckets are monotone
+    in the value."""
     by = list(by)
     names = list(names) if names else [f"q{i}" for i in range(len(probs))]
     table = offsets(counts, by, "__b", {"__k": F.sum("__c")})
     table = table.withColumn("__upto", F.lead("__k_before").over(_by(table).orderBy("__at")))
     table = table.withColumn("__upto", F.coalesce("__upto", "__k_all"))
-    at = [F.lit(p) * (F.col("__k_all") - 1) for p in probs]  # positions, from 0
-    lo, hi = [F.floor(a) for a in at], [F.ceil(a) for a in at]
+    _, lo, hi = _positions(probs)
     wanted = F.lit(False)
     for rank in lo + hi:
         wanted = wanted | ((F.col("__k_before") <= rank) & (rank < F.col("__upto")))
-    placed = attach_offsets(counts, table.where(wanted), by, "__b")
+    return values_at(attach_offsets(counts, table.where(wanted), by, "__b"), by, probs, names)
+
+
+def _positions(probs: Sequence[float]):
+    at = [F.lit(p) * (F.col("__k_all") - 1) for p in probs]  # from 0
+    return at, [F.floor(a) for a in at], [F.ceil(a) for a in at]
+
+
+def values_at(placed: DataFrame, by: Sequence[str], probs: Sequence[float], names: Sequence[str]) -> DataFrame:
+    """Quantiles from the counted values of the buckets that hold the wanted ranks; ``__k_before``
+    values lie in front of a row's bucket and ``__k_all`` in its group."""
+    at, lo, hi = _positions(probs)
     w = Window.partitionBy(*by, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     last = F.col("__k_before") + F.sum("__c").over(w)
     placed = placed.withColumns({"__last": last}).withColumn("__first", F.col("__last") - F.col("__c"))

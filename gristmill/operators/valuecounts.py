@@ -13,16 +13,23 @@ the fill value (:meth:`filled`), and the statistics after the fill need no secon
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..core import StatsTable, cut_lineage
-from .quantile import quantiles_of_counts
+from .quantile import quantiles_of_counts, values_at
 from .ranges import bucket_of, default_buckets
 
 
+#: Bucket totals (column, group, bucket) that may be looked at on the driver; beyond it the ranks
+#: are found by a distributed plan.
+DRIVER_CELLS = 100_000
+
+
 class ValueCounts:
     """``table``: (column, ``by`` columns, b, v, s, n); v is a number's value, s a text's, both
     NULL for missing values."""
@@ -54,9 +61,33 @@ class ValueCounts:
     def quantiles(self, probs: Sequence[float], names: Sequence[str] | None = None, by: Sequence[str] | None = None) -> DataFrame:
         """(column, by, n, one column per prob) of the numbers; ``by`` may be a part of the table's."""
         by = self.by if by is None else list(by)
-        counts = (self.table.where("v is not null").groupBy("column", *by, F.col("b").alias("__b"), F.col("v").alias("__v"))
-                  .agg(F.sum("n").alias("__c")))
-        return quantiles_of_counts(counts, [float(p) for p in probs], ["column", *by], names)
+        counts = self.table.where("v is not null").select("column", *by, F.col("b").alias("__b"), F.col("v").alias("__v"), F.col("n").alias("__c"))
+        probs, keys = [float(p) for p in probs], ["column", *by]
+        names = list(names) if names else [f"q{i}" for i in range(len(probs))]
+        cells = counts.groupBy(*keys, "__b").agg(F.sum("__c").alias("k")).limit(DRIVER_CELLS + 1).collect()
+        if len(cells) > DRIVER_CELLS:
+            return quantiles_of_counts(counts, probs, keys, names)
+        # the few cells that hold the wanted ranks are found here; only their values are put in order
+        wanted = []
+        groups: dict[tuple, list] = {}
+        for c in cells:
+            groups.setdefault(tuple(c[:-2]), []).append((c["__b"], c["k"]))
+        for group, parts in groups.items():
+            total, before = sum(k for _, k in parts), 0
+            ranks = {r for p in probs for r in (math.floor(p * (total - 1)), math.ceil(p * (total - 1)))}
+            for b, k in sorted(parts):
+                if any(before <= r < before + k for r in ranks):
+                    wanted.append((*group, b, before, total))
+                before += k
+        fields = [counts.schema[c] for c in keys]
+        at = [T.StructField(f"__k{i}", f.dataType) for i, f in enumerate(fields)]
+        at += [T.StructField("__at", T.IntegerType()), T.StructField("__k_before", T.LongType()), T.StructField("__k_all", T.LongType())]
+        few = self.table.sparkSession.createDataFrame(wanted, T.StructType(at))
+        on = F.col("__b") == F.col("__at")
+        for i, c in enumerate(keys):
+            on = on & F.col(c).eqNullSafe(F.col(f"__k{i}"))
+        placed = counts.join(F.broadcast(few), on).drop("__at", *[f"__k{i}" for i in range(len(keys))])
+        return values_at(placed, keys, probs, names)
 
     def modes(self, by: Sequence[str] | None = None) -> DataFrame:
         """(column, by, mode): the most frequent value, ties to the smallest; a text where the column is one."""

@@ -51,6 +51,14 @@ def test_statistics_equal_pandas(spark, data):
     assert np.isclose(whole["q0"], pdf["p"].quantile(0.25)) and whole["n"] == pdf["p"].count()
 
 
+def test_quantiles_beyond_the_driver_bound(spark, data, monkeypatch):
+    from gristmill.operators import valuecounts
+    vc = ValueCounts.fit(data[0], numbers=["p", "q"], by=["g"])
+    near = sorted(map(str, vc.quantiles([0.0, 0.3, 1.0]).collect()))
+    monkeypatch.setattr(valuecounts, "DRIVER_CELLS", 2)
+    assert sorted(map(str, vc.quantiles([0.0, 0.3, 1.0]).collect())) == near and len(near) == 7
+
+
 def test_filled_counts_equal_the_filled_rows(spark, data):
     df, _ = data
     vc = ValueCounts.fit(df, numbers=["p"], by=["g"])
