@@ -31,7 +31,8 @@ space, blocks are trimmed, empty ones go, the rest are joined by one newline.
 Edge cases: null html gives an empty text; a null or unreadable url belongs to
 one nameless host; a host with one page has no template, and the elements alone
 decide; unclosed and stray tags are tolerated; repeated rows get equal results;
-an empty table gives an empty result; other columns pass through.
+an empty table gives an empty result; other columns pass through, an input column named
+``text`` is replaced, and helper columns are named around the input's.
 """
 
 from __future__ import annotations

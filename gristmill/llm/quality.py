@@ -15,7 +15,8 @@ Id, language and source are never inputs.
 Edge cases: null and empty texts have an all-zero vector and get a score like
 any other; null labels are left out; several labels of an id count as one, by
 majority; repeated rows get equal scores; without any label the score is the
-prior 0.5; an empty table gives an empty result; other columns pass through.
+prior 0.5; an empty table gives an empty result; other columns pass through, and input columns
+named ``score`` or ``predicted`` are replaced.
 """
 
 from __future__ import annotations

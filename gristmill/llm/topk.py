@@ -19,7 +19,7 @@ with a null id take no part; identical rows count once; an id with several
 vectors is a query for each, and is no candidate of its own; vectors of
 different dimension have no score; an empty vector scores 0; ties go to the
 smaller id; fewer than k candidates give fewer rows; an empty table gives an
-empty result.
+empty result; other columns are not read, whatever their names.
 """
 
 from __future__ import annotations
