@@ -14,7 +14,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..core import StatsTable, materialize
-from .quantile import group_quantiles
+from .ranges import bucket_of
+from .valuecounts import ValueCounts
 
 NULL_LEVEL = "__null__"
 
@@ -58,29 +59,11 @@ def mi_discrete(df: DataFrame, features: Sequence[str], target: str) -> DataFram
     return mi_from_counts(joint)
 
 
-def quantile_bins(df: DataFrame, features: Sequence[str], bins: int) -> dict:
-    """Quantile-bin columns per feature: bin = number of inner edges below the
-    value (right-closed), NULL -> -1.  The edges (features x bins numbers) come
-    from one job over all features and become literals of plain comparisons."""
-    probs = [i / bins for i in range(1, bins)]
-    long = _long_form(df.withColumn("__none", F.lit(0)), features, "__none", cast="double")
-    rows = group_quantiles(long, "value", probs, by=["feature"], names=[f"e{i}" for i in range(1, bins)]).collect()
-    edges = {r["feature"]: [r[f"e{i}"] for i in range(1, bins)] for r in rows}
-    out = {}
-    for f in features:
-        value = F.col(f"`{f}`").cast("double")
-        above = F.lit(0)
-        for e in edges.get(f, []):
-            above = above + (value > F.lit(e)).cast("int")
-        out[f] = F.when(value.isNull(), F.lit(-1)).otherwise(above)
-    return out
-
-
 def mi_binned(df: DataFrame, features: Sequence[str], target: str, bins: int = 10,
               target_bins: int | None = None) -> DataFrame:
-    """MI for continuous features (F2): exact quantile bins, then the plug-in
-    estimate minus its (r-1)(c-1)/2N bias, clamped at 0.  A continuous target
-    is binned the same way when ``target_bins`` is given."""
+    """MI for continuous features (F2): exact quantile bins (missing values and NaN are a bin of
+    their own), then the plug-in estimate minus its (r-1)(c-1)/2N bias, clamped at 0.  A
+    continuous target is binned the same way when ``target_bins`` is given."""
     src = df.where(F.col(target).isNotNull())
     if target_bins:
         from .quantile import global_quantiles
@@ -89,9 +72,16 @@ def mi_binned(df: DataFrame, features: Sequence[str], target: str, bins: int = 1
                          lambda acc, e: acc + F.when(F.col(target) > e, 1).otherwise(0))
         src = src.withColumn("__ybin", yb)
         target = "__ybin"
-    binned = src.select(*[b.alias(f) for f, b in quantile_bins(src, features, bins).items()], F.col(f"`{target}`").alias("__t"))
-    long = _long_form(binned, features, "__t").withColumnRenamed("value", "x")
-    joint = long.groupBy("feature", "x", F.col("__y").alias("y")).agg(F.count(F.lit(1)).alias("n"))
+    # one scan: values are counted per (feature, value, class); edges and bins come from the counts
+    counts = ValueCounts.fit(src.withColumn("__y", F.col(f"`{target}`")), numbers=features, by=["__y"])
+    edges = counts.quantiles([i / bins for i in range(1, bins)], [f"e{i}" for i in range(1, bins)], by=())
+    edges = {r["column"]: [r[f"e{i}"] for i in range(1, bins)] for r in edges.collect()}
+    x = F.lit(-1)  # missing
+    for f in features:
+        number = bucket_of(F.col("v"), sorted(set(edges.get(f, []))), "double")
+        x = F.when((F.col("column") == f) & F.col("v").isNotNull(), number).otherwise(x)
+    joint = (counts.table.groupBy(F.col("column").alias("feature"), x.alias("x"), F.col("__y").alias("y"))
+             .agg(F.sum("n").alias("n")))
     return mi_from_counts(joint, bias_correct=True)
 
 
