@@ -1,11 +1,11 @@
-"""Domain plans (C5-C10) over derived columns of the given tables: the
+"""Domain plans (C1, C4, C6-C10) over derived columns of the given tables: the
 deterministic part of each, with its oracle SQL."""
 
 from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..plans import calories, delayed_flight, loan, math_exam, math_prob
+from ..plans import calories, delayed_flight, loan, math_exam, math_prob, molecular, titanic
 from .inputs import T as tbl, wide
 from .q_dates import _HOLIDAY_SQL
 from .q_text import _clean_sql, _tokens_sql
@@ -203,3 +203,87 @@ def plan_math_prob(spark, d):
         "CAST(CASE WHEN doc_id % 4 <> 0 THEN doc_id % 8 END AS INTEGER) AS label")
     out = math_prob.preprocess(docs).withColumn("question", F.md5(F.col("Question").cast("binary")))
     return _rounded(out, "doc_id", ["label", "length", "log_length", "word_count", *_COUNTS, *math_prob.FLAGS], ["question"])
+
+
+# ---- C1 --------------------------------------------------------------------------------
+
+_PASSENGER = """o_orderkey AS PassengerId, 1 + o_orderkey % 3 AS Pclass,
+  concat('Smith, ', element_at(array('Mr. Jo', 'Mrs. Jo', 'Miss. Jo', 'Master. Jo', 'Dr. Jo', 'Lady. Jo', 'no title'), CAST(o_orderkey % 7 + 1 AS INT))) AS Name,
+  CASE WHEN o_custkey % 2 = 0 THEN 'Male' ELSE 'female' END AS Sex,
+  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey % 70 AS DOUBLE) END AS Age, o_orderkey % 3 AS SibSp, o_custkey % 2 AS Parch,
+  CASE WHEN o_orderkey % 4 = 0 THEN CAST(o_orderkey AS STRING) ELSE concat('PC ', o_orderkey) END AS Ticket,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 10 = 0 THEN 0.0D ELSE round(o_totalprice / 1000, 2) END AS Fare,
+  element_at(array(CAST(NULL AS STRING), 'C85', 'B20 B22', 'F E39', 'T'), CAST(o_custkey % 5 + 1 AS INT)) AS Cabin,
+  CASE WHEN o_orderkey % 13 <> 0 THEN substring('SSC', CAST(o_custkey % 3 + 1 AS INT), 1) END AS Embarked"""
+_PASSENGER_SQL = """o_orderkey AS PassengerId, 1 + o_orderkey % 3 AS Pclass,
+  ['Mr', 'Mrs', 'Miss', 'Master', 'Mr', 'Mrs', NULL][CAST(o_orderkey % 7 + 1 AS INT)] AS title0,
+  CASE WHEN o_custkey % 2 = 0 THEN 1 ELSE 0 END AS Sex,
+  CASE WHEN o_orderkey % 5 <> 0 THEN CAST(o_custkey % 70 AS DOUBLE) END AS Age0, o_orderkey % 3 AS SibSp, o_custkey % 2 AS Parch,
+  CASE WHEN o_orderkey % 4 = 0 THEN 'No' ELSE 'PC' END AS TicketLetter, CAST(o_orderkey AS VARCHAR) AS TicketNumber,
+  CASE WHEN o_orderkey % 9 = 0 THEN NULL WHEN o_orderkey % 10 = 0 THEN 1.0 ELSE CAST(round(o_totalprice / 1000, 2) AS DOUBLE) END AS Fare0,
+  ['N', 'C', 'B', 'F', 'T'][CAST(o_custkey % 5 + 1 AS INT)] AS CabinLet, [-1, 85, 21, 0, 0][CAST(o_custkey % 5 + 1 AS INT)] AS CabinNum,
+  CASE WHEN o_orderkey % 13 <> 0 THEN substring('SSC', CAST(o_custkey % 3 + 1 AS INT), 1) END AS Embarked0"""
+_PASSENGER_OUT = ["Pclass", "Age", "Sex", "SibSp", "Parch", "IsAdult", "FamSize", "hasNanny", "Fare", "CabinNum"]
+
+
+@register("plan_titanic", sql=f"""
+WITH s AS (SELECT {_PASSENGER_SQL} FROM orders),
+a AS (SELECT *, CASE WHEN Age0 IS NOT NULL THEN CAST(Age0 >= 21 AS INTEGER) ELSE CAST(NOT coalesce(title0 IN ('Master', 'Miss'), false) AS INTEGER) END AS IsAdult FROM s),
+t AS (SELECT *, CASE WHEN title0 = 'Miss' AND IsAdult = 1 THEN 'Mrs' WHEN title0 = 'Master' AND IsAdult = 1 THEN 'Mr'
+                     WHEN title0 = 'Mr' AND IsAdult = 0 THEN 'Master' WHEN title0 = 'Mrs' AND IsAdult = 0 THEN 'Miss' ELSE title0 END AS Title FROM a),
+m AS (SELECT Title AS mt, avg(Age0) AS ma FROM t WHERE Title IS NOT NULL GROUP BY 1),
+f AS (SELECT Pclass AS fp, avg(Fare0) AS fa FROM t GROUP BY 1),
+e AS (SELECT Embarked0 AS em FROM t WHERE Embarked0 IS NOT NULL GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+r AS (SELECT *, SibSp + Parch + 1 AS FamSize,
+        coalesce(Age0, floor(ma) + CASE WHEN Title IN ('Mr', 'Master') THEN 0.5 ELSE 0 END, 28.0) AS Age, coalesce(Fare0, fa) AS Fare,
+        coalesce(Embarked0, em) AS Embarked
+      FROM t LEFT JOIN m ON Title = mt LEFT JOIN f ON Pclass = fp CROSS JOIN e)
+SELECT PassengerId AS passengerid, {_round_sql({c: c for c in _PASSENGER_OUT if c != "hasNanny"})},
+  round(CAST(CASE WHEN Title IS NULL THEN CASE WHEN FamSize = 1 THEN NULL ELSE 0 END
+                  ELSE CAST(Title IN ('Master', 'Miss') AND FamSize = 1 AS INTEGER) END AS DOUBLE), 6) AS hasNanny,
+  Title, TicketLetter, TicketNumber, CabinLet, Embarked
+FROM r""")
+def plan_titanic(spark, d):
+    people = tbl(spark, d, "orders").selectExpr(*_columns(_PASSENGER))
+    return _rounded(titanic.preprocess(people), "PassengerId", _PASSENGER_OUT, ["Title", "TicketLetter", "TicketNumber", "CabinLet", "Embarked"])
+
+
+# ---- C4 --------------------------------------------------------------------------------
+
+_FAMILIES = {"T": lambda i: f"CAST(((o_orderkey * {i} + o_custkey) % 97) AS DOUBLE) / 7",
+             "S": lambda i: f"CASE WHEN (o_orderkey + {i}) % 11 <> 0 THEN CAST(((o_orderkey + o_custkey * {i}) % 89) AS DOUBLE) / 9 END",
+             "O": lambda i: f"CAST(((o_orderkey + {i}) % 31) AS DOUBLE)"}
+_SCALARS = ["Mass", "Rg", "NumHeteroatoms", "TPSA", "HDonors", "HAcceptors", "LogP", "LUMO(eV)", "HOMO(eV)", "LUMOp1(eV)", "HOMOm1(eV)",
+            "TDOS3.2", "SDOS3.9", "TDOS3.7", "SDOS3.8", "TDOS4.3", "TDOS2.7", "TDOS3.6", "RDKit_8"]
+
+
+def _molecules(quote: str) -> list[str]:
+    cells = [f"{make(i)} AS {k}{i}" for k, make in _FAMILIES.items() for i in range(1, 21)]
+    return cells + [f"1 + CAST(((o_orderkey * {j + 3} + o_custkey * {j + 1}) % {53 + 2 * j}) AS DOUBLE) / {j + 5} AS {quote}{n}{quote}"
+                    for j, n in enumerate(_SCALARS)]
+
+
+def _list(k: str) -> str:
+    return "[" + ", ".join(f"{k}{i}" for i in range(1, 21)) + "]"
+
+
+_MOLECULE_OUT = {
+    **{f"{k}_{n}": f"list_{f}({_list(k)})" for k in "TS" for n, f in (("mean", "avg"), ("std", "stddev_samp"), ("min", "min"), ("max", "max"))},
+    "O_sum": f"list_sum({_list('O')})", "O_mean": f"list_avg({_list('O')})", "O_std": f"list_stddev_samp({_list('O')})",
+    "T_range": f"list_max({_list('T')}) - list_min({_list('T')})", "S_range": f"list_max({_list('S')}) - list_min({_list('S')})",
+    "min_diff_S_T": f"list_min({_list('S')}) - list_min({_list('T')})", "size_index": "Mass / (Rg + 1e-6)",
+    "hetero_polarity": "NumHeteroatoms * TPSA", "Ncomplexity": "NumHeteroatoms + Rg * 0.5 + TPSA * 0.1",
+    "ratio_HDonors_HAcceptors": "HDonors / (HAcceptors + 1e-6)", "mass_minus_logP": "Mass - LogP", "total_H_bonds": "HDonors + HAcceptors",
+    "energy_gap": "gap", "delta_LUMO": "dl", "delta_HOMO": "dh", "chemical_potential": "mu", "hardness": "gap / 2",
+    "combined_orbital_feature": "dl - dh", "ratio_LUMO": "dl / (gap + 1e-6)", "ratio_HOMO": "dh / (gap + 1e-6)"}
+
+
+@register("plan_molecular", sql=f"""
+WITH s AS (SELECT o_orderkey AS Batch_ID, {", ".join(_molecules('"'))} FROM orders),
+g AS (SELECT *, "LUMO(eV)" - "HOMO(eV)" AS gap, "LUMOp1(eV)" - "LUMO(eV)" AS dl, "HOMO(eV)" - "HOMOm1(eV)" AS dh,
+        ("HOMO(eV)" + "LUMO(eV)") / 2 AS mu FROM s)
+SELECT Batch_ID AS batch_id, {_round_sql(_MOLECULE_OUT)} FROM g""")
+def plan_molecular(spark, d):
+    """The row statistics and ratios (ratios by a difference near zero are left to the fixtures)."""
+    rows = tbl(spark, d, "orders").selectExpr("o_orderkey AS Batch_ID", *_molecules("`"))
+    return _rounded(molecular.preprocess(rows, select=False), "Batch_ID", list(_MOLECULE_OUT))
