@@ -106,16 +106,22 @@ def apply_blend(pred_a, pred_b, w: float) -> Column:
 
 # ---- decision threshold (M11, M12) -----------------------------------------------------
 
+MAX_THRESHOLDS = 100_000
+
+
 def threshold_sweep(df: DataFrame, label, score, thresholds: DataFrame) -> DataFrame:
     """tp, fp, fn, f1 of ``score > t`` for every threshold in ``thresholds(t)``.
 
-    The thresholds are a grid of candidates (collected, so it must be small;
+    The thresholds are a grid of candidates (collected, ``MAX_THRESHOLDS`` at most;
     repeated ones are answered once).  Each score is bucketed by the number of
     thresholds below it, one aggregation counts classes per bucket, and running
     sums over the grid give every threshold's counts.
     """
     y, s = col_of(label), col_of(score).cast("double")
-    grid = sorted({float(r["t"]) for r in thresholds.select(F.col("t").cast("double").alias("t")).collect()})
+    rows = thresholds.select(F.col("t").cast("double").alias("t")).limit(MAX_THRESHOLDS + 1).collect()
+    if len(rows) > MAX_THRESHOLDS:
+        raise ValueError(f"more than {MAX_THRESHOLDS} thresholds")
+    grid = sorted({float(r["t"]) for r in rows})
     per = (df.select(y.alias("__y"), bucket_of(s, grid, "double").alias("at"), s.alias("v")).where(F.col("v").isNotNull())
              .groupBy("at").agg(F.sum((F.col("__y") == 1).cast("long")).alias("pos"),
                                 F.sum((F.col("__y") != 1).cast("long")).alias("neg")))

@@ -18,10 +18,11 @@ def T(spark: SparkSession, d: str, name: str) -> DataFrame:
     return read_table(spark, d, name)
 
 
-def wide(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """The small scales' tables are one unsplittable file each: deal their rows out
-    over the cores before heavy work on texts and arrays."""
-    return spread(df, spark.sparkContext.defaultParallelism) if df.inputFiles()[1:] == [] else df
+def wide(spark: SparkSession, df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The small scales' tables are one unsplittable file each: deal a scan of fewer tasks than
+    ``partitions`` (the cores by default) out before heavy work on texts and arrays."""
+    partitions = partitions or spark.sparkContext.defaultParallelism
+    return spread(df, partitions) if df.rdd.getNumPartitions() < partitions else df
 
 
 def O(spark, d) -> DataFrame:
