@@ -149,3 +149,63 @@ def test_nothing_to_learn(spark, df):
     gaps = df.withColumn("y", F.when(F.col("id") % 2 == 0, F.col("y")))
     model = B.boost(gaps, "x", "y", [B.Job(B.Candidate(2, 0.3))], "id", rounds=2).models[0]
     assert df.select(model.score("x").alias("s")).where("s is null or s <= 0 or s >= 1").count() == 0
+
+
+@pytest.fixture(scope="module")
+def coarse(spark):
+    """3,000 rows in few cells, with keys of their own."""
+    rng = np.random.default_rng(8)
+    rows = [(i, [float(a), float(b), None if a == 3 else float(c)], float((a > 2) + b * c + rng.normal() > 1.5), i % 3)
+            for i, (a, b, c) in enumerate(zip(rng.integers(0, 6, 3000), rng.integers(0, 2, 3000), rng.integers(0, 4, 3000)))]
+    return spark.createDataFrame(rows, "id long, x array<double>, y double, fold int")
+
+
+GRID = [B.Candidate(d, 0.3, 2.0, t) for d in (2, 4) for t in (0.0, 0.5, 1.0)]
+
+
+def test_cells_and_blocks_grow_the_same_trees(spark, coarse, monkeypatch):
+    jobs = [B.Job(c, f) for c in GRID for f in (0, None)]
+    monkeypatch.setattr(B, "BLOCK_ROWS", 400)
+    monkeypatch.setattr(B, "KEY_ROWS", 700)  # cells are cut between tasks
+    monkeypatch.setattr(B, "WEIGHT_BYTES", 8 * 2 * 300)  # chunks of a few rounds
+    cells = B.boost(coarse, "x", "y", jobs, "id", "fold", rounds=5)
+    monkeypatch.setattr(B, "MAX_CELLS", 10)
+    monkeypatch.setattr(B, "CHECKPOINT_ROUNDS", 2)
+    blocks = B.boost(coarse, "x", "y", jobs, "id", "fold", rounds=5)
+    for a, b in zip(cells.models, blocks.models):
+        assert [(t.features, t.bins) for t in a.trees] == [(t.features, t.bins) for t in b.trees] and len(a.trees) == 5
+        assert all(np.allclose(t.values, u.values, atol=1e-5) for t, u in zip(a.trees, b.trees))
+    for a, b in zip(cells.staged, blocks.staged):
+        assert len(a) == len(b) and np.allclose(a, b, rtol=1e-4) if a or b else a == b
+    ends = B.cross_validate(coarse, "x", "y", "id", "fold", GRID, rounds=5, halving=(2, 4))
+    monkeypatch.setattr(B, "MAX_CELLS", 1 << 17)
+    again = B.cross_validate(coarse, "x", "y", "id", "fold", GRID, rounds=5, halving=(2, 4))
+    assert [t["rounds"] for t in ends] == [t["rounds"] for t in again] and sorted(t["rounds"] for t in ends) == [2, 2, 2, 4, 5, 5]
+
+
+def test_jobs_and_trained_rows_do_not_grow_with_the_rows(spark, coarse, monkeypatch):
+    sizes, jobs = [], []
+    grow, tracker = B._boost_cells, spark.sparkContext.statusTracker()
+
+    def seen(blocks, codes, n, *args):
+        sizes.append((len(codes), int(n.sum())))
+        return grow(blocks, codes, n, *args)
+    monkeypatch.setattr(B, "_boost_cells", seen)
+    monkeypatch.setattr(B, "BLOCK_ROWS", 500)
+    tenfold = coarse.crossJoin(spark.range(10).withColumnRenamed("id", "k")).withColumn("id", F.col("id") * 10 + F.col("k"))
+    for df in (coarse, tenfold):
+        group = f"boost-{df.count()}"
+        spark.sparkContext.setJobGroup(group, group)
+        B.boost(df, "x", "y", [B.Job(B.Candidate(4), 0)], "id", "fold", rounds=10)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        jobs.append(len(tracker.getJobIdsForGroup(group)))
+    assert sizes[0][0] == sizes[1][0] <= 6 * 2 * 4 * 2 * 3 and [n for _, n in sizes] == [3000, 30000]
+    assert max(jobs) < 25  # not one job per round and level
+
+
+def test_a_holdout_in_one_task_is_scored_by_many(spark, df):
+    model = B.boost(df, "x", "y", [B.Job(B.Candidate(2, 0.4))], "id", rounds=2).models[0]
+    table = B.staged_thresholds(df.coalesce(1), model, "x", "y", [0.4, 0.5])
+    plan = table._jdf.queryExecution().executedPlan().toString()
+    assert f"RoundRobinPartitioning({spark.sparkContext.defaultParallelism})" in plan
+    assert table.count() == 4
