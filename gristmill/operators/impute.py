@@ -16,10 +16,14 @@ from pyspark.sql import types as T
 
 from ..core import Estimator, Model, col_of, materialize, scalar_row
 from ..functions.columns import numeric_columns
+from ..sources.io import spread
 from .groupstats import GroupStat, global_stat
 from .quantile import group_quantiles
 from .valuecounts import ValueCounts
 
+#: Rows that one task of a forest's fit holds, at most, once there are more of them.
+FOREST_ROWS = 50_000
+
 
 def fill_constant(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     """Constant fill per column."""
@@ -169,6 +173,11 @@ class ModelImputer(Estimator):
                    RandomForestRegressor(featuresCol="__feat", labelCol="__label", predictionCol="__pred",
                                          numTrees=self.num_trees, seed=self.seed)]
         train = df.where(F.col(self.target).isNotNull()).withColumn("__label", F.col(self.target).cast("double"))
+        # the forest keeps its rows, with a weight per tree, in the tasks they come in, and reads them once a level
+        train = train.select("__label", *dict.fromkeys(self.categorical + self.numeric))
+        rows = train.count()
+        if rows > FOREST_ROWS:
+            train = spread(train, max(-(-rows // FOREST_ROWS), df.sparkSession.sparkContext.defaultParallelism))
         return _ModelFill(Pipeline(stages=stages).fit(train), self.target, self.round_result)
 
 
