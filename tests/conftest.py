@@ -24,3 +24,10 @@ def spark():
     ensure_checkpoint_dir(s)
     yield s
     s.stop()
+
+
+@pytest.fixture(autouse=True, scope="module")
+def nothing_stays_cached(spark):
+    """A module's cached rows go with it: other modules count what is persisted."""
+    yield
+    spark.catalog.clearCache()
